@@ -1,0 +1,55 @@
+"""Compare a registered query with its SQL, row by row as multisets."""
+
+from __future__ import annotations
+
+import glob
+import os
+from collections import Counter
+
+import duckdb
+
+# Types that mean the same in both engines.
+_SAME = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
+def _key(value):
+    return "NaN" if value != value else value
+
+
+def differences(spark, name: str, sf_dir: str, build, sql: str) -> list[str]:
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        view = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM '{path}'")
+    result = con.execute(sql)
+    described = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    expected = [dict(zip(names, row)) for row in result.fetchall()]
+
+    df = build(spark, sf_dir)
+    found = []
+    if sorted(df.columns) != sorted(names):
+        return [f"{name}: columns {df.columns} but {names}"]
+    for column, kind in df.dtypes:
+        if _SAME.get(kind) != described[column]:
+            found.append(f"{name}: {column} is {kind} but {described[column]}")
+    order = sorted(names)
+    got = Counter(tuple(_key(row[c]) for c in order) for row in df.collect())
+    want = Counter(tuple(_key(row[c]) for c in order) for row in expected)
+    if got != want:
+        more, less = got - want, want - got
+        found.append(
+            f"{name}: {sum(got.values())} rows but {sum(want.values())}; "
+            f"surplus {sum(more.values())} {list(more)[:2]}; missing {sum(less.values())} {list(less)[:2]}"
+        )
+    return found
