@@ -9,16 +9,22 @@ from barmill.sources.files import FILE, snapshot_of, symbol_of
 
 
 def landing_stream(
-    spark: SparkSession, landing: str, max_bytes_per_batch: str | None = None
+    spark: SparkSession,
+    landing: str,
+    max_bytes_per_batch: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """Lines of new dumps with the symbol and snapshot of their file name.
 
-    ``max_bytes_per_batch`` (such as ``1t``) keeps a first run over a long history from being
-    one single batch.
+    ``max_bytes_per_batch`` keeps a first run over a long history from being one single batch.
+    ``archive`` is a folder that dumps are moved to after the batch they were taken in, so that
+    the listing of the landing folder stays short however many have passed through it.
     """
     reader = spark.readStream.format("text").option("recursiveFileLookup", True)
     if max_bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(landing).select(
         F.col("value").alias("line"),
         symbol_of(F.col(FILE)).alias("symbol"),
@@ -31,7 +37,8 @@ def ingest_landing(
     landing: str,
     table: str,
     checkpoint: str,
-    max_bytes_per_batch: str | None = None,
+    max_bytes_per_batch: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """Append what has landed since the last run and return the whole table.
 
@@ -40,7 +47,7 @@ def ingest_landing(
     between batches but the list of files. Dumps must be moved into place whole.
     """
     query = (
-        landing_stream(spark, landing, max_bytes_per_batch)
+        landing_stream(spark, landing, max_bytes_per_batch, archive)
         .writeStream.format("parquet")
         .option("path", table)
         .option("checkpointLocation", checkpoint)

@@ -1,0 +1,82 @@
+"""What the plans must look like, and how hot keys are spread."""
+
+import ast
+import glob
+import os
+
+import pytest
+from conftest import ROOT, plan
+from pyspark.sql import functions as F
+
+from barmill import adapters
+from barmill.operators import averages, bars, lenient, strict
+from barmill.plans.load import load_bars
+from barmill.queries import QUERIES
+
+
+def test_dedupe_limits_before_the_exchange(spark, sf_dir):
+    text = plan(strict.first_per_key(adapters.bars(spark, sf_dir), ["tstamp"]), "simple")
+    assert text.count("WindowGroupLimit") == 2
+    assert text.index("Final") < text.index("hashpartitioning") < text.index("Partial")
+    assert text.count("Exchange") == 1
+
+
+def test_averages_are_partial_first(spark, sf_dir):
+    text = plan(averages.avg_close(adapters.bars(spark, sf_dir)), "simple")
+    assert text.count("HashAggregate") == 2 and "partial_avg" in text
+    assert "ReadSchema: struct<l_extendedprice:double,l_shipdate:timestamp_ntz>" in text
+
+
+def test_cleaning_does_not_shuffle(lines_of):
+    for df in (strict.clean_lines(lines_of("a")), lenient.close_pairs(lines_of("a"))):
+        assert "Exchange" not in plan(df, "simple")
+
+
+def test_lines_are_parsed_once(lines_of):
+    lines = bars.traded(bars.typed_bars(lines_of("a").withColumnRenamed("value", "line")))
+    assert plan(lines, "simple").count("from_csv") == 1
+    assert plan(lenient.close_pairs(lines_of("a")), "simple").count("split(") == 1
+
+
+def test_load_has_two_exchanges(lines_of):
+    text = plan(load_bars(lines_of("a")), "simple")
+    assert text.count("Exchange") == 2
+    assert text.count("rangepartitioning") == 1
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_hot_timestamp_is_spread_by_the_sort(spark, conf, copies):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    n = 60000
+    hot = F.col("id") % 3 == 0
+    rows = spark.range(0, n, 1, 24).select(
+        F.when(hot, 500).otherwise(F.col("id") % 1000).alias("tstamp"),
+        F.when(hot & F.lit(copies), 0).otherwise(F.col("id")).alias("close"),
+    )
+    ordered = bars.in_time_order(rows)
+    sizes = [r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == n
+    assert max(sizes) < n / 8 * 1.6
+    times = [r.tstamp for r in ordered.collect()]
+    assert times == sorted(times)
+
+
+def test_hot_key_reaches_the_final_task_once_per_map_task(spark, sf_dir):
+    # All rows have one key: the exchange must carry one row per map partition.
+    rows = spark.range(0, 10000, 1, 16).select(F.lit("t").alias("key"), F.col("id").alias("line"))
+    once = strict.first_per_key(rows, ["key"])
+    assert [tuple(r) for r in once.collect()] == [("t", 0)]
+
+
+def test_library_has_no_udf_rdd_collect_or_cross_join():
+    unwanted = {"collect", "toPandas", "udf", "pandas_udf", "rdd", "crossJoin", "localCheckpoint", "limit", "sample"}
+    for path in glob.glob(f"{ROOT}/barmill/**/*.py", recursive=True):
+        with open(path) as f:
+            names = {node.attr for node in ast.walk(ast.parse(f.read())) if isinstance(node, ast.Attribute)}
+        assert not names & unwanted, (os.path.relpath(path, ROOT), names & unwanted)
+
+
+def test_every_query_has_its_sql():
+    from barmill.oracle import ORACLE
+
+    assert set(ORACLE) == set(QUERIES)

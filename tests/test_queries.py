@@ -1,0 +1,17 @@
+"""Every registered query against its SQL."""
+
+import pytest
+from oracle_check import differences
+
+import __spark_entry__ as driver
+
+
+@pytest.mark.parametrize("name", driver.queries())
+def test_query(spark, sf_dir, name):
+    assert differences(spark, name, sf_dir, driver.queries()[name], driver.oracle_sql()[name]) == []
+
+
+def test_entry(spark):
+    flagship = driver.entry(spark)
+    assert [f.dataType.simpleString() for f in flagship.schema] == ["timestamp_ntz"] + ["double"] * 4 + ["bigint"]
+    assert flagship.count() > 0
