@@ -165,3 +165,26 @@ def timing_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text(after))
         .alias("after_log"),
     )
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of two logs for every kind of event, which is the run; a line or more per event.
+
+    All timings of a log are the same, so the first does not depend on the order of the lines.
+    Clicks have no second log, and the first log of signups has no timing.
+    """
+    kind = F.col("event_type")
+    before, after = F.length(kind) * 1.5, F.length(kind) * 0.5
+    plan = F.concat(F.lit("Index Scan, row "), F.col("event_id").cast("string"))
+
+    def text(name: str, ms: Column, timed: Column):
+        timing = F.concat(F.lit("Execution Time: "), ms.cast("string"), F.lit(" ms"))
+        shown = timed & (F.col("event_id") % 3 == 0)
+        return F.struct(F.lit(name).alias("log"), F.concat_ws("\n", plan, F.when(shown, timing)).alias("line"))
+
+    pair = F.array(
+        text("before.log", before, kind != "signup"),
+        text("after.log", after, F.lit(True)),
+    )
+    events = table(spark, sf_dir, "events").select(kind.alias("run"), F.inline(pair))
+    return events.where((F.col("run") != "click") | (F.col("log") == "before.log"))

@@ -219,6 +219,14 @@ SELECT strftime(tstamp, '%Y-%m-%d %H:%M:%S') AS timestamp, {_MEAN} FROM bars GRO
     "layout_compare": """
 SELECT count(*) > 0 AS before_measured, count(*) > 0 AS after_measured, count(*) > 0 AS compared
 FROM events""",
+    "log_report": """
+SELECT event_type AS run,
+       CASE WHEN event_type <> 'signup' THEN CAST(length(event_type) * 1.5 AS DOUBLE) END AS before_ms,
+       CASE WHEN event_type <> 'click' THEN CAST(length(event_type) * 0.5 AS DOUBLE) END AS after_ms,
+       CASE WHEN event_type NOT IN ('signup', 'click')
+            THEN (length(event_type) * 1.5::DOUBLE - length(event_type) * 0.5::DOUBLE)
+                 / (length(event_type) * 1.5::DOUBLE) * 100 END AS reduction_pct
+FROM events GROUP BY event_type""",
     "landing_ingest": f"WITH {_RAW} SELECT value AS line, symbol, snapshot FROM raw",
     "daily_load": f"WITH {_INTRADAY_RAW} {_STRICT_ROWS}, {_LOADED}",
 }

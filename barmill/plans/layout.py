@@ -33,6 +33,8 @@ def write_warehouse(
     carry a bloom filter for equality lookups on the volume.
     """
     writer = by_day(bars).write.mode("overwrite").format("parquet").partitionBy(DAY)
+    # The whole table is replaced, also where the session would only replace the days written.
+    writer = writer.option("partitionOverwriteMode", "static")
     if volume_lookup:
         writer = writer.option("parquet.bloom.filter.enabled#volume", "true").option(
             "parquet.bloom.filter.expected.ndv#volume", str(volume_lookup)

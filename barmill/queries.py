@@ -17,7 +17,7 @@ from barmill.functions.times import parse_timestamp, retype_timestamp, time_rang
 from barmill.functions.timings import percent_reduction, timing_ms
 from barmill.operators import averages, lenient, strict
 from barmill.operators import bars as ops
-from barmill.plans.compare import compare_layouts
+from barmill.plans.compare import compare_layouts, report
 from barmill.plans.layout import compact, refresh_stats, write_warehouse
 from barmill.plans.load import LoadTargets, load_bars, run_daily_load
 from barmill.plans.workspace import work_dir
@@ -293,10 +293,12 @@ def stats_refresh(spark, sf_dir):
 
 @query
 def compacted_table(spark, sf_dir):
-    """A table of many small files, rewritten."""
+    """A table of small files, as loads in several parts leave them, rewritten."""
     name, home = _fresh("stock_small"), work_dir(spark, "compact")
-    scattered = with_day(adapters.intraday_bars(spark, sf_dir)).repartition(4)
-    scattered.write.partitionBy("tstamp_date").option("path", f"{home}/small").saveAsTable(name)
+    dated = with_day(adapters.intraday_bars(spark, sf_dir))
+    for part in range(3):
+        writer = dated.where(F.col("volume") % 3 == part).write.partitionBy("tstamp_date")
+        writer.mode("append").option("path", f"{home}/small").saveAsTable(name)
     compact(spark, name, f"{home}/whole")
     return spark.table(name).select(*FIELDS)
 
@@ -305,13 +307,12 @@ def compacted_table(spark, sf_dir):
 def layout_compare(spark, sf_dir):
     """The range query on a plain table and on one laid out by day.
 
-    Times differ from run to run, so the result only says whether both were measured, and that
-    the second layout opens fewer files.
+    Times differ from run to run, so the result only says whether both were measured and could
+    be compared.
     """
     home = work_dir(spark, "compare")
     bars = adapters.intraday_bars(spark, sf_dir)
-    scattered = bars.repartition(8)
-    scattered.write.parquet(f"{home}/plain")
+    bars.write.parquet(f"{home}/plain")
     write_warehouse(bars, f"{home}/by_day")
     compared = compare_layouts(
         spark,
@@ -327,6 +328,14 @@ def layout_compare(spark, sf_dir):
     )
 
 
+@query
+def log_report(spark, sf_dir):
+    """Timing logs as files, a pair per kind of event; some lack the timing or the second log."""
+    home = work_dir(spark, "logs")
+    adapters.log_lines(spark, sf_dir).write.partitionBy("run", "log").text(home)
+    return report(files.scan_logs(spark, home)).select("run", "before_ms", "after_ms", "reduction_pct")
+
+
 # --- landing and the whole load
 
 

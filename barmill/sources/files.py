@@ -48,11 +48,12 @@ def scan_inferred(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def scan_logs(spark: SparkSession, directory: str) -> DataFrame:
     """Lines of the logs ``<run>/<stage>.log`` below a directory, in a known order.
 
+    Both names may be of the form ``column=value``, and a log may be a folder of part files.
     A log that was never written is simply absent. Logs are read by line and not as one value
     per file, so their size does not matter; ``position`` orders the lines within a log.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(directory)
-    name = r"([^/]+)/([^/]+)\.log(?:/|$)"
+    name = r"([^/=]+)/(?:[^/=]+=)?([^/=]+)\.log(?:/|$)"
     return lines.select(
         F.regexp_extract(FILE, name, 1).alias("run"),
         F.regexp_extract(FILE, name, 2).alias("stage"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from barmill.schema import BAR_TEXT_KEY
+from barmill.sources.sinks import save_table
 
 
 def _quoted(path: str) -> str:
@@ -61,7 +62,7 @@ def create_from_query(
     An existing table is left as it is, however stale; ``refresh`` rebuilds it from the query.
     """
     if refresh:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        save_table(spark.sql(query), name, location)
     where = f" LOCATION {_quoted(location)}" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet{where} AS {query}")
     return spark.table(name)

@@ -104,20 +104,21 @@ def test_external_table(spark, tmp_path):
     spark.sql("DROP TABLE raw_bars")
 
 
-@pytest.mark.parametrize("exact", [False, True])
-def test_table_from_query_goes_stale(spark, tmp_path, exact):
+@pytest.mark.parametrize(("exact", "place"), [(False, None), (True, "means")])
+def test_table_from_query_goes_stale(spark, tmp_path, exact, place):
+    location = place and str(tmp_path / place)
     put(tmp_path / "in" / "1.csv", "u,1,1,1,3,1\nt,1,1,1,1,1\nt,1,1,1,2,1\n")
     name = f"means_{exact}".lower()
     cleaned = f"cleaned_{exact}".lower()
     tables.external_bars(spark, cleaned, str(tmp_path / "in"))
     sql = tables.averages_sql(cleaned, exact)
-    first = tables.create_from_query(spark, name, sql)
+    first = tables.create_from_query(spark, name, sql, location)
     assert [tuple(r) for r in first.collect()] == [("t", 1.5), ("u", 3.0)]
 
     put(tmp_path / "in" / "2.csv", "v,1,1,1,9,1\n")
     spark.catalog.refreshTable(cleaned)
-    assert tables.create_from_query(spark, name, sql).count() == 2
-    assert tables.create_from_query(spark, name, sql, refresh=True).count() == 3
+    assert tables.create_from_query(spark, name, sql, location).count() == 2
+    assert tables.create_from_query(spark, name, sql, location, refresh=True).count() == 3
     for table in (name, cleaned):
         spark.sql(f"DROP TABLE {table}")
 
