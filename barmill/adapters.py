@@ -45,28 +45,29 @@ def _money(value: Column) -> Column:
 
 
 def _line(tstamp: Column, price: Column, high: Column, low: Column, volume: Column, fault: Column) -> Column:
-    """A raw line whose fault, if any, goes by a number from 0 to 10.
-
-    ``explode`` makes the line a column as a text scan would: without it the optimizer puts the
-    whole expression of the line wherever an operator mentions the line.
-    """
-    head = F.concat_ws(",", tstamp, _money(price), _money(high), _money(low))
-    close, count = _money(price), volume.cast("string")
-    whole = F.concat_ws(",", head, close, count)
+    """A raw line whose fault, if any, goes by a number from 0 to 10."""
+    before = F.when(fault == 7, " ").when(fault == 8, "\t").otherwise("")
+    close = F.when(fault == 4, "abc").when(fault == 5, "").otherwise(_money(price))
+    padding = F.when(fault == 9, " ").otherwise("")
+    count = F.when(fault == 2, "").otherwise(F.concat(F.lit(","), volume.cast("string")))
+    after = F.when(fault == 3, ",x").when(fault == 6, ",").when(fault == 8, " ").otherwise("")
+    head = F.concat_ws(",", tstamp, _money(price), _money(high), _money(low), F.lit(""))
     line = (
         F.when(fault == 0, "timestamp,open,high,low,close,volume")
         .when(fault == 1, "")
-        .when(fault == 2, F.concat_ws(",", head, close))
-        .when(fault == 3, F.concat(whole, F.lit(",x")))
-        .when(fault == 4, F.concat_ws(",", head, F.lit("abc"), count))
-        .when(fault == 5, F.concat_ws(",", head, F.lit(""), count))
-        .when(fault == 6, F.concat(whole, F.lit(",")))
-        .when(fault == 7, F.concat(F.lit(" "), whole))
-        .when(fault == 8, F.concat(F.lit("\t"), whole, F.lit(" ")))
-        .when(fault == 9, F.concat_ws(",", head, F.concat(F.lit(" "), close), count))
-        .otherwise(whole)
+        .otherwise(F.concat(before, head, padding, close, count, after))
     )
-    return F.explode(F.array(line)).alias("value")
+    return line.alias("value")
+
+
+def _as_scanned(lines: DataFrame) -> DataFrame:
+    """Make the line a column as a text scan would.
+
+    Without ``explode`` the optimizer puts the whole expression that makes up the line wherever
+    an operator mentions the line.
+    """
+    others = [c for c in lines.columns if c != "value"]
+    return lines.select(F.explode(F.array("value")).alias("value"), *others)
 
 
 def _lineitem_line() -> Column:
@@ -83,7 +84,7 @@ def _lineitem_line() -> Column:
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw line for every row of ``lineitem``; hundreds share a day and no line has an hour."""
-    return table(spark, sf_dir, "lineitem").select(_lineitem_line())
+    return _as_scanned(table(spark, sf_dir, "lineitem").select(_lineitem_line()))
 
 
 def intraday_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,9 +104,8 @@ def intraday_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw line for every row of ``events``, its time cut to seconds."""
     price = F.col("value")
     tstamp = F.date_trunc("second", "ts").cast("timestamp_ntz").cast("string")
-    return table(spark, sf_dir, "events").select(
-        _line(tstamp, price, price + 1, price - 1, F.col("user_id") % 10, F.col("event_id") % 11)
-    )
+    line = _line(tstamp, price, price + 1, price - 1, F.col("user_id") % 10, F.col("event_id") % 11)
+    return _as_scanned(table(spark, sf_dir, "events").select(line))
 
 
 def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,11 +114,12 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Three symbols and three snapshots, so that the dumps overlap in almost every timestamp.
     """
     day = F.lpad((F.col("l_linenumber") % 3 + 1).cast("string"), 2, "0")
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
         _lineitem_line(),
         F.col("l_returnflag").alias("symbol"),
         F.concat(F.lit("202509"), day, F.lit("_040000")).alias("snapshot"),
     )
+    return _as_scanned(lines)
 
 
 def timestamp_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

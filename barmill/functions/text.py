@@ -43,9 +43,12 @@ def first_field(line: Column) -> Column:
 def parse_float32(text: Column) -> Column:
     """Text to 32-bit float, NULL where Java's Float.parseFloat would throw.
 
-    Spark's cast accepts all that Java does, and also the spellings ``inf``, ``infinity`` and
-    ``nan`` in any case; Java knows only ``Infinity`` and ``NaN``.
+    Spark's cast trims and accepts all that Java does, and also the spellings ``inf``,
+    ``infinity`` and ``nan`` in any case. Java knows only ``Infinity`` and ``NaN``, but a number
+    too large gives an infinity in both, so only such results need a look at the text.
     """
-    bare = F.ltrim(strip_blanks(text), F.lit("+-"))
-    java_spelling = ~F.lower(bare).isin("inf", "infinity", "nan") | bare.isin("Infinity", "NaN")
-    return F.when(java_spelling, strip_blanks(text).try_cast("float"))
+    number = text.try_cast("float")
+    special = F.isnan(number) | (F.abs(number) == float("inf"))
+    bare = F.lower(F.ltrim(strip_blanks(text), F.lit("+-")))
+    java_spelling = text.contains("Infinity") | text.contains("NaN")
+    return F.when(~special | ~bare.isin("inf", "infinity", "nan") | java_spelling, number)
