@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barmill.functions.text import fields_of, parse_float32, strip_blanks
 from barmill.schema import FIELDS, HEADER_PREFIX
 
+# The names of the counters.
 SKIPPED, VALID = "Skipped", "ValidLines"
 BAD_NUMBER, BAD_LENGTH = "InvalidNumberFormat", "InvalidLineLength"
 

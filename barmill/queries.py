@@ -262,15 +262,19 @@ def external_table_scan(spark, sf_dir):
 
 @query
 def sql_tables(spark, sf_dir):
-    """External table over cleaned text, then a table of means from SQL."""
+    """External table over cleaned text, then a table of means by SQL, made once."""
     home = work_dir(spark, "sql")
     sinks.write_delimited(adapters.bars(spark, sf_dir), f"{home}/cleaned", sep=",")
     cleaned, means = _fresh("stock_cleaned"), _fresh("aggregated_stock")
     tables.external_bars(spark, cleaned, f"{home}/cleaned")
-    sql = tables.averages_sql(cleaned, exact=True)
-    tables.create_from_query(spark, means, sql, f"{home}/means")
+    total = "cast(sum(cast(close AS decimal(12,2))) AS double)"
+    by_time = spark.sql(
+        f"SELECT tstamp AS timestamp, {total} / count(close) AS avg_close FROM {cleaned} GROUP BY 1 ORDER BY 1"
+    )
+    sinks.create_if_absent(by_time, means, f"{home}/means")
     # The table is there by now, so this leaves it as it is.
-    return tables.create_from_query(spark, means, f"SELECT * FROM {means} WHERE false", f"{home}/means")
+    sinks.create_if_absent(by_time.where("false"), means, f"{home}/means")
+    return tables.scan_table(spark, means)
 
 
 # --- warehouse

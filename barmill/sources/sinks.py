@@ -23,14 +23,26 @@ def write_delimited(rows: DataFrame, path: str, sep: str = "\t", header: bool =
     rows.write.mode("overwrite").options(**formats).csv(path, sep=sep, header=header)
 
 
-def save_table(rows: DataFrame, name: str, path: str | None = None) -> None:
-    """Catalog table, replacing what was there (K6); managed unless a path is given."""
-    writer = rows.write.mode("overwrite").format("parquet")
+def _save(rows: DataFrame, name: str, path: str | None, mode: str) -> None:
+    writer = rows.write.mode(mode).format("parquet")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
 
 
+def save_table(rows: DataFrame, name: str, path: str | None = None) -> None:
+    """Catalog table, replacing what was there (K6); managed unless a path is given."""
+    _save(rows, name, path, "overwrite")
+
+
+def create_if_absent(rows: DataFrame, name: str, path: str | None = None) -> None:
+    """Catalog table from a query, unless it exists (K4).
+
+    An existing table is left as it is, however stale; ``save_table`` brings it up to date.
+    """
+    _save(rows, name, path, "ignore")
+
+
 def register_view(rows: DataFrame, name: str) -> None:
     """Temporary view (K8)."""
     rows.createOrReplaceTempView(name)

@@ -1,4 +1,4 @@
-"""Catalog tables: external tables over text, table scans, tables from a query."""
+"""Scans of catalog, warehouse and relational tables, and external tables over text."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from barmill.schema import BAR_TEXT_KEY
-from barmill.sources.sinks import save_table
 
 
 def _quoted(path: str) -> str:
@@ -48,37 +47,3 @@ def scan_warehouse_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFra
     any size: without them one task reads it all.
     """
     return spark.read.format("jdbc").options(**options).load()
-
-
-def create_from_query(
-    spark: SparkSession,
-    name: str,
-    query: str,
-    location: str | None = None,
-    refresh: bool = False,
-) -> DataFrame:
-    """Table from a SQL query, unless it exists (K4).
-
-    An existing table is left as it is, however stale; ``refresh`` rebuilds it from the query.
-    """
-    if refresh:
-        save_table(spark.sql(query), name, location)
-    where = f" LOCATION {_quoted(location)}" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet{where} AS {query}")
-    return spark.table(name)
-
-
-# Means of a table whose name is filled in, as the daily aggregate has them.
-AVERAGES_SQL = """
-SELECT tstamp AS `timestamp`, {mean} AS avg_close
-FROM {table}
-GROUP BY tstamp
-ORDER BY `timestamp`
-"""
-MEAN = "avg(close)"
-EXACT_MEAN = "cast(sum(cast(close AS decimal(12,2))) AS double) / count(close)"
-
-
-def averages_sql(table: str, exact: bool = False) -> str:
-    """SQL of the mean close per timestamp of a table (A3, O1)."""
-    return AVERAGES_SQL.format(table=table, mean=EXACT_MEAN if exact else MEAN)

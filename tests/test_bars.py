@@ -1,6 +1,8 @@
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from barmill.operators.averages import (
@@ -151,6 +153,25 @@ def test_typed_bars_agree_with_the_file_scan(spark, sf_dir, tmp_path):
     assert read.schema == parsed.schema
 
 
+_field = st.sampled_from(
+    ["1", " 2", "3 ", "", "NaN", "Inf", "inf", "1e5", "1.5f", "--1", '"5"', '"6', '7"', '"a""b"', "\\", "#9", "x"]
+    + ["2025-09-02 04:00:00", " 2025-09-02 04:00:00", "2025-09-02", "2025-09-02T04:00:00Z", "now", "9223372036854775808"]
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(_field, min_size=6, max_size=6), min_size=100, max_size=200))
+def test_typed_bars_agree_with_the_file_scan_on_odd_fields(spark, tmp_path_factory, rows):
+    from barmill.sources.files import scan_bars
+
+    out = str(tmp_path_factory.mktemp("odd") / "lines")
+    lines = spark.createDataFrame([(",".join(row),) for row in rows], "value string")
+    cleaned = clean_lines(lines).select("line")
+    cleaned.write.text(out)
+    read = sorted(str(r) for r in scan_bars(spark, out).collect())
+    assert sorted(str(r) for r in typed_bars(cleaned).collect()) == read
+
+
 def test_load(lines_of):
     lines = lines_of(
         "timestamp,open,high,low,close,volume",

@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from barmill.operators.averages import avg_close, avg_close_present
+from barmill.operators.averages import avg_close, avg_close_present, in_key_order
 from barmill.operators.strict import clean_lines, first_per_key
 from barmill.schema import AVERAGE, BAR
 from barmill.sources import files, sinks, tables
@@ -104,22 +104,22 @@ def test_external_table(spark, tmp_path):
     spark.sql("DROP TABLE raw_bars")
 
 
-@pytest.mark.parametrize(("exact", "place"), [(False, None), (True, "means")])
-def test_table_from_query_goes_stale(spark, tmp_path, exact, place):
+@pytest.mark.parametrize("place", [None, "means"])
+def test_table_from_query_goes_stale(spark, tmp_path, place):
     location = place and str(tmp_path / place)
     put(tmp_path / "in" / "1.csv", "u,1,1,1,3,1\nt,1,1,1,1,1\nt,1,1,1,2,1\n")
-    name = f"means_{exact}".lower()
-    cleaned = f"cleaned_{exact}".lower()
-    tables.external_bars(spark, cleaned, str(tmp_path / "in"))
-    sql = tables.averages_sql(cleaned, exact)
-    first = tables.create_from_query(spark, name, sql, location)
-    assert [tuple(r) for r in first.collect()] == [("t", 1.5), ("u", 3.0)]
+    cleaned = tables.external_bars(spark, "cleaned_bars", str(tmp_path / "in"))
+    sinks.create_if_absent(in_key_order(avg_close(cleaned)), "mean_bars", location)
+    assert [tuple(r) for r in spark.table("mean_bars").collect()] == [("t", 1.5), ("u", 3.0)]
 
     put(tmp_path / "in" / "2.csv", "v,1,1,1,9,1\n")
-    spark.catalog.refreshTable(cleaned)
-    assert tables.create_from_query(spark, name, sql, location).count() == 2
-    assert tables.create_from_query(spark, name, sql, location, refresh=True).count() == 3
-    for table in (name, cleaned):
+    spark.catalog.refreshTable("cleaned_bars")
+    means = avg_close(tables.scan_table(spark, "cleaned_bars"))
+    sinks.create_if_absent(means, "mean_bars", location)
+    assert spark.table("mean_bars").count() == 2
+    sinks.save_table(means, "mean_bars", location)
+    assert spark.table("mean_bars").count() == 3
+    for table in ("mean_bars", "cleaned_bars"):
         spark.sql(f"DROP TABLE {table}")
 
 
@@ -136,7 +136,7 @@ def test_jdbc_options():
             sinks.jdbc_options(**{k: v for k, v in given.items() if k != name})
 
 
-def test_jdbc_writer_gets_the_options(spark, bars_of, monkeypatch):
+def test_jdbc_writer_gets_the_options():
     seen = {}
 
     class Writer:
@@ -169,6 +169,29 @@ def test_jdbc_writer_gets_the_options(spark, bars_of, monkeypatch):
     }
 
 
+def test_jdbc_scan_gets_the_options():
+    seen = {}
+
+    class Reader:
+        def format(self, kind):
+            seen["format"] = kind
+            return self
+
+        def options(self, **options):
+            seen.update(options)
+            return self
+
+        def load(self):
+            return "rows"
+
+    class Session:
+        read = Reader()
+
+    options = {"url": "jdbc:x:y", "dbtable": "bars", "numPartitions": "8"}
+    assert tables.scan_warehouse_jdbc(Session(), options) == "rows"
+    assert seen == {"format": "jdbc", **options}
+
+
 def test_logs(spark, tmp_path):
     put(tmp_path / "one" / "before.log", "plan\nExecution Time: 0.282 ms\nExecution Time: 7 ms\n")
     put(tmp_path / "one" / "after.log", "Execution Time: 0.131 ms\n")

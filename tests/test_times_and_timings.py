@@ -1,12 +1,15 @@
 from datetime import date, datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import DateTimeException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barmill.functions.times import parse_timestamp, retype_timestamp, time_range, with_day
 from barmill.functions.timings import percent_reduction, percent_text, timing_ms
+from barmill.schema import TIMESTAMP_FORMAT
 
 
 def test_parse_timestamp(spark):
@@ -29,6 +32,29 @@ def test_parse_timestamp(spark):
     assert [r.t for r in parsed.collect()] == [want for _, want in texts]
 
 
+_near = st.builds(
+    "{}{:04d}-{:02d}-{:02d}{}{:02d}:{:02d}:{:02d}{}".format,
+    st.sampled_from(["", "", "", " ", "+", "1"]),
+    st.integers(1, 9999),
+    st.integers(0, 13),
+    st.integers(0, 32),
+    st.sampled_from([" ", " ", " ", "T", "  "]),
+    st.integers(0, 24),
+    st.integers(0, 60),
+    st.integers(0, 60),
+    st.sampled_from(["", "", "", "Z", ".0", " "]),
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_near, min_size=200, max_size=300))
+def test_parse_accepts_what_the_pattern_accepts(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    by_pattern = F.try_to_timestamp("v", F.lit(TIMESTAMP_FORMAT)).cast("timestamp_ntz")
+    got = df.select("v", parse_timestamp(F.col("v")).alias("a"), by_pattern.alias("b")).collect()
+    assert [(r.v, r.a) for r in got] == [(r.v, r.b) for r in got]
+
+
 def test_parse_ignores_the_session_zone(spark, conf):
     # An hour that does not exist where summer time begins then.
     conf(spark__sql__session__timeZone="America/New_York")
