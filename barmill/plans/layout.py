@@ -9,6 +9,11 @@ from barmill.functions.times import with_day
 from barmill.schema import DAY
 
 
+# Fixed value: up to this many partitions Spark keeps the size of every shuffle block. Beyond it
+# most sizes are averages, and adaptive execution no longer sees that one day is too large.
+_EXACT_SIZES = 2000
+
+
 def by_day(bars: DataFrame) -> DataFrame:
     """Rows of one day together, sorted by time, in partitions of about the advisory size.
 
@@ -18,7 +23,8 @@ def by_day(bars: DataFrame) -> DataFrame:
     every file and row group a narrow time range.
     """
     dated = bars if DAY in bars.columns else with_day(bars)
-    return dated.hint("rebalance", DAY).sortWithinPartitions(DAY, "tstamp")
+    partitions = min(int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions")), _EXACT_SIZES)
+    return dated.hint("rebalance", partitions, DAY).sortWithinPartitions(DAY, "tstamp")
 
 
 def write_warehouse(
@@ -45,9 +51,13 @@ def write_warehouse(
         writer.save(path)
 
 
-def refresh_stats(spark: SparkSession, table: str) -> DataFrame:
-    """Bring the planner's statistics of a table up to date and return the row count."""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+def refresh_stats(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
+    """Bring the planner's statistics of a table up to date and return the row count.
+
+    Takes in all columns unless some are named; only those are read.
+    """
+    which = f"COLUMNS {', '.join(columns)}" if columns else "ALL COLUMNS"
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR {which}")
     detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'")
     rows = F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint")
     return detail.select(rows.alias("n_rows"))

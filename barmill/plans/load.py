@@ -46,4 +46,4 @@ def run_daily_load(spark: SparkSession, raw: str, to: LoadTargets) -> DataFrame:
 
     # The layout sorts by day and time, so the load needs no order of its own.
     write_warehouse(traded(scan_bars(spark, to.cleaned)), to.warehouse, to.warehouse_table)
-    return refresh_stats(spark, to.warehouse_table)
+    return refresh_stats(spark, to.warehouse_table, ["tstamp", "volume"])

@@ -64,10 +64,11 @@ def test_missing_timestamps_are_kept(spark, bars_of, tmp_path):
     assert got == {(date(2025, 9, 2), 1.0), (None, 2.0)}
 
 
-def test_a_day_with_most_rows_is_split(spark, conf, tmp_path):
+@pytest.mark.parametrize("partitions", [8, 2500])
+def test_a_day_with_most_rows_is_split(spark, conf, tmp_path, partitions):
     conf(
         spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
-        spark__sql__adaptive__coalescePartitions__enabled="true",
+        spark__sql__shuffle__partitions=str(partitions),
     )
     hot = F.when(F.col("id") % 10 > 0, 0).otherwise(F.col("id") % 50).cast("int")
     bars = spark.range(0, 60000, 1, 12).select(
@@ -112,6 +113,8 @@ def test_statistics(spark, four_days, tmp_path):
     assert refresh_stats(spark, "bars_stats").first().n_rows == 1152
     column = {r.info_name: r.info_value for r in spark.sql("DESCRIBE EXTENDED bars_stats volume").collect()}
     assert (column["min"], column["max"], column["num_nulls"]) == ("0", "1151", "0")
+    write_warehouse(four_days, str(tmp_path / "t"), "bars_stats")
+    assert refresh_stats(spark, "bars_stats", ["tstamp", "volume"]).first().n_rows == 1152
     spark.sql("DROP TABLE bars_stats")
 
 
