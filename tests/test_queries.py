@@ -1,16 +1,55 @@
-"""Every registered query against its SQL."""
+"""Every registered query against its SQL, on the given tables and on skewed copies of them."""
 
+import glob
+import os
+
+import duckdb
 import pytest
+from conftest import SMALL
 from oracle_check import differences
 
 import __spark_entry__ as driver
 
+# Half of lineitem once more under one date, a third of the whole as copies of one row; half of
+# all events at one time and of one kind.
+SKEWED = {
+    "lineitem": """
+        SELECT * FROM given
+        UNION ALL
+        SELECT * REPLACE (TIMESTAMP '1999-09-09' AS l_shipdate) FROM given WHERE l_orderkey % 2 = 0
+        UNION ALL
+        SELECT one.* FROM (SELECT * FROM given WHERE l_orderkey % 11 = 10 ORDER BY ALL LIMIT 1) one, range(4500)""",
+    "events": """
+        SELECT * FROM given
+        UNION ALL
+        SELECT * REPLACE (TIMESTAMP '2024-01-21 10:00:00.5' AS ts, 'view' AS event_type,
+                          event_id + 1000000 AS event_id)
+        FROM given""",
+}
+
+
+@pytest.fixture(scope="session")
+def skewed_dir(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("skewed")
+    con = duckdb.connect()
+    for path in glob.glob(f"{SMALL}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE OR REPLACE VIEW given AS SELECT * FROM '{path}'")
+        rows = SKEWED.get(name, "SELECT * FROM given")
+        con.execute(f"COPY ({rows}) TO '{folder}/{name}.parquet' (FORMAT parquet, ROW_GROUP_SIZE 3000)")
+    return str(folder)
+
 
 @pytest.mark.parametrize("name", driver.queries())
 def test_query(spark, sf_dir, name):
     assert differences(spark, name, sf_dir, driver.queries()[name], driver.oracle_sql()[name]) == []
 
 
+@pytest.mark.parametrize("name", driver.queries())
+def test_query_on_skewed_tables(spark, skewed_dir, name):
+    assert differences(spark, name, skewed_dir, driver.queries()[name], driver.oracle_sql()[name]) == []
+
+
 def test_entry(spark):
     flagship = driver.entry(spark)
     assert [f.dataType.simpleString() for f in flagship.schema] == ["timestamp_ntz"] + ["double"] * 4 + ["bigint"]

@@ -1,4 +1,3 @@
-import os
 from datetime import datetime
 
 import pytest
@@ -225,7 +224,3 @@ def test_no_work_folder_of_one_machine_on_a_cluster(spark, conf):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_dir(Session(), "x")
-
-
-def test_files_are_not_left_in_the_working_folder():
-    assert not os.path.exists("spark-warehouse")
