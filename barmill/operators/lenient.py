@@ -68,7 +68,11 @@ def parse_counters(lines: DataFrame, column: str = "value") -> DataFrame:
 def observed_pairs(
     lines: DataFrame, column: str = "value", name: str = "parse_counters"
 ) -> tuple[DataFrame, Observation]:
-    """``close_pairs`` with the counters taken in the same pass; read them after the write."""
+    """``close_pairs`` with the counters taken in the same pass; read them after the write.
+
+    A stage that is run again after an executor is lost may count lines twice; ``parse_counters``
+    is exact in any case.
+    """
     counters = Observation(name)
     classified = classify_lines(lines, column).observe(counters, *_counters())
     return classified.where(F.col("line_class") == VALID).select("tstamp", "close"), counters

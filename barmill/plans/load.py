@@ -4,21 +4,29 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from barmill.operators.averages import avg_close, in_key_order
 from barmill.operators.bars import in_time_order, traded, typed_bars
-from barmill.operators.strict import clean_lines, first_per_key, sorted_lines
+from barmill.operators.strict import clean_lines, first_per_key, newest_snapshot, sorted_lines
 from barmill.plans.layout import refresh_stats, write_warehouse
 from barmill.schema import BAR_TEXT_KEY
-from barmill.sources.files import scan_bars, scan_lines
+from barmill.sources.files import scan_bars
 from barmill.sources.sinks import save_table, write_lines
 
 
+def clean_once(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Cleaned lines, one per key; from the newest dump if the lines come with their snapshot."""
+    cleaned = clean_lines(lines, column)
+    if "snapshot" in cleaned.columns:
+        newest = newest_snapshot(cleaned.select("key", "line", "snapshot"), ["key"])
+        return newest.select("key", "line")
+    return first_per_key(cleaned.select("key", "line"), ["key"])
+
+
 def load_bars(lines: DataFrame, column: str = "value") -> DataFrame:
     """Raw lines to traded bars in time order, in one plan and nothing written in between."""
-    cleaned = first_per_key(clean_lines(lines, column).select("key", "line"), ["key"])
-    return in_time_order(traded(typed_bars(cleaned.select("line"))))
+    return in_time_order(traded(typed_bars(clean_once(lines, column).select("line"))))
 
 
 @dataclass(frozen=True)
@@ -32,14 +40,15 @@ class LoadTargets:
     averages_table: str = "aggregated_stock"
 
 
-def run_daily_load(spark: SparkSession, raw: str, to: LoadTargets) -> DataFrame:
-    """Clean, average and load all dumps of a glob (R6); returns the number of bars loaded.
+def run_daily_load(lines: DataFrame, to: LoadTargets, column: str = "value") -> DataFrame:
+    """Clean, average and load the lines of all dumps (R6); returns the number of bars loaded.
 
-    Each stage reads what the stage before it wrote, so a lost executor or job costs one stage at
-    most, and every stage can be run again by itself. The writes replace their targets.
+    ``lines`` is a scan of the dumps or the table that landing dumps are ingested into. Each stage
+    reads what the stage before it wrote, so a lost executor or job costs one stage at most, and
+    every stage can be run again by itself. The writes replace their targets.
     """
-    cleaned = first_per_key(clean_lines(scan_lines(spark, raw)), ["key"])
-    write_lines(sorted_lines(cleaned), to.cleaned)
+    spark = lines.sparkSession
+    write_lines(sorted_lines(clean_once(lines, column)), to.cleaned)
 
     means = avg_close(scan_bars(spark, to.cleaned, BAR_TEXT_KEY))
     save_table(in_key_order(means), to.averages_table, to.averages)

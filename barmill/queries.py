@@ -370,5 +370,5 @@ def daily_load(spark, sf_dir):
         warehouse_table=_fresh("stock_data"),
         averages_table=_fresh("aggregated_stock"),
     )
-    run_daily_load(spark, f"{home}/raw", targets)
+    run_daily_load(files.scan_lines(spark, f"{home}/raw", identity=True), targets)
     return tables.scan_table(spark, targets.warehouse_table).select(*FIELDS)

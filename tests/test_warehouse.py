@@ -11,7 +11,7 @@ from barmill.functions.times import time_range, with_day
 from barmill.plans.compare import compare_layouts, files_left, report
 from barmill.plans.layout import by_day, compact, refresh_stats, write_warehouse
 from barmill.plans.load import LoadTargets, run_daily_load
-from barmill.sources.files import scan_logs
+from barmill.sources.files import scan_lines, scan_logs
 from barmill.sources.tables import scan_warehouse
 from barmill.streaming.landing import ingest_landing
 
@@ -202,17 +202,23 @@ def test_daily_load(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
     first = [HEADER, "2025-09-30 04:00:00,1,1,1,1.5,5", "2025-09-30 04:05:00,1,1,1,2.5,0", "broken"]
-    second = [HEADER, "2025-09-30 04:00:00,1,1,1,1.5,5", "2025-10-01 04:00:00,1,1,1,3.5,7"]
+    second = [HEADER, "2025-09-30 04:00:00,1,1,1,1.6,6", "2025-10-01 04:00:00,1,1,1,3.5,7"]
     (raw / "stock_IBM_20250930_100000.csv").write_text("\n".join(first))
     (raw / "stock_IBM_20251001_100000.csv").write_text("\n".join(second))
     targets = LoadTargets(
         *(str(tmp_path / d) for d in ("cleaned", "warehouse", "averages")), "bars_loaded", "bars_averaged"
     )
     for _ in range(2):
-        assert run_daily_load(spark, str(raw / "stock_IBM_*.csv"), targets).first().n_rows == 2
-    assert sorted(r.volume for r in spark.table("bars_loaded").collect()) == [5, 7]
+        lines = scan_lines(spark, str(raw / "stock_IBM_*.csv"), identity=True)
+        assert run_daily_load(lines, targets).first().n_rows == 2
+    assert sorted(r.volume for r in spark.table("bars_loaded").collect()) == [6, 7]
     means = {r.timestamp: r.avg_close for r in spark.table("bars_averaged").collect()}
-    assert means == {"2025-09-30 04:00:00": 1.5, "2025-09-30 04:05:00": 2.5, "2025-10-01 04:00:00": 3.5}
+    assert means == {"2025-09-30 04:00:00": 1.6, "2025-09-30 04:05:00": 2.5, "2025-10-01 04:00:00": 3.5}
     assert time_range(spark.table("bars_loaded"), "2025-10-01").count() == 1
+
+    # The same from the table that the dumps are ingested into.
+    taken = ingest_landing(spark, str(raw), str(tmp_path / "lines"), str(tmp_path / "checkpoint"))
+    assert run_daily_load(taken, targets, "line").first().n_rows == 2
+    assert sorted(r.volume for r in spark.table("bars_loaded").collect()) == [6, 7]
     for table in ("bars_loaded", "bars_averaged"):
         spark.sql(f"DROP TABLE {table}")
