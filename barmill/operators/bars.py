@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barmill.functions.times import parse_timestamp
@@ -66,13 +66,16 @@ def interval_bars(
     Open and close are the prices at the least and greatest ``(time, tie_break)``, volume is the
     number of ticks. Each task sends one buffer per symbol and interval.
     """
-    moment: Column = F.struct(time, tie_break)
+    moment = F.struct(time, tie_break)
     value = F.col(price)
-    grouped = ticks.groupBy(F.col(symbol).alias("symbol"), F.window(time, interval).alias("_interval")).agg(
+    # The start of the interval leads the key: the sort before the aggregation compares it as a
+    # number, where a text in front would be the same for most rows.
+    started = ticks.withColumn("tstamp", F.window(time, interval).start)
+    grouped = started.groupBy("tstamp", F.col(symbol).alias("symbol")).agg(
         F.min_by(value, moment).alias("open"),
         F.max(value).alias("high"),
         F.min(value).alias("low"),
         F.max_by(value, moment).alias("close"),
         F.count(F.lit(1)).alias("volume"),
     )
-    return grouped.select("symbol", F.col("_interval.start").alias("tstamp"), *FIELDS[1:])
+    return grouped.select("symbol", *FIELDS)

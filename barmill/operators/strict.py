@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmill.functions.text import drop_trailing_commas, fields_of, first_field
@@ -22,23 +22,33 @@ def clean_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return kept.select(first_field(line).alias("key"), drop_trailing_commas(line).alias("line"), *others)
 
 
-def first_per_key(rows: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """One row per key: the first by ``order``, then by all remaining columns (A1).
+def first_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: the least by all remaining columns in turn (A1).
 
-    The remaining columns make the order total, so that reruns and other partitionings pick the
-    same row; rows that still tie are copies of one another.
+    The order is total, so that reruns and other partitionings pick the same row; rows that still
+    tie are copies of one another.
 
-    Spark limits each task's rows to one per key before the exchange (WindowGroupLimit), so a key
-    with any share of the input reaches the final task as one row per map task.
+    The least row is an aggregate, found in part before the exchange: a key with any share of the
+    input arrives as one row per map task. Unlike a window it sorts by the key alone. Text keys
+    are led by their hash, since texts that all begin with the same year are slow to sort.
     """
-    ordered = [*(order or []), *(F.col(c) for c in rows.columns if c not in keys)]
-    window = Window.partitionBy(*keys).orderBy(*(ordered or [F.lit(1)]))
-    return rows.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    rest = [c for c in rows.columns if c not in keys]
+    if not rest:
+        return rows.distinct()
+    text = [c for c, kind in rows.dtypes if c in keys and kind == "string"]
+    lead = [F.xxhash64(*text).alias("_hash")] if text else []
+    least = rows.groupBy(*lead, *keys).agg(F.min(F.struct(*rest)).alias("_least"))
+    return least.select(*keys, "_least.*").select(*rows.columns)
 
 
 def newest_snapshot(rows: DataFrame, keys: list[str], snapshot: str = "snapshot") -> DataFrame:
-    """One row per key across overlapping snapshots; the newest snapshot wins."""
-    return first_per_key(rows, keys, [F.col(snapshot).desc_nulls_last()])
+    """One row per key across overlapping snapshots, from the newest; then as ``first_per_key``.
+
+    Spark limits each task's rows to one per key before the exchange (WindowGroupLimit).
+    """
+    rest = [F.col(c) for c in rows.columns if c not in (*keys, snapshot)]
+    window = Window.partitionBy(*keys).orderBy(F.col(snapshot).desc_nulls_last(), *rest)
+    return rows.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
 def sorted_lines(cleaned: DataFrame) -> DataFrame:

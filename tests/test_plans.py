@@ -14,8 +14,17 @@ from barmill.plans.load import load_bars
 from barmill.queries import QUERIES
 
 
-def test_dedupe_limits_before_the_exchange(spark, sf_dir):
+def test_dedupe_reduces_before_the_exchange(spark, sf_dir, lines_of):
     text = plan(strict.first_per_key(adapters.bars(spark, sf_dir), ["tstamp"]), "simple")
+    assert text.index("Exchange") < text.index("partial_min")
+    assert text.count("Exchange") == 1 and "Window" not in text
+    text = plan(strict.first_per_key(strict.clean_lines(lines_of("a")), ["key"]), "simple")
+    assert "Sort [_groupingexpression" in text and text.count("Exchange") == 1
+
+
+def test_newest_snapshot_limits_before_the_exchange(spark, sf_dir):
+    cleaned = strict.clean_lines(adapters.feed_lines(spark, sf_dir))
+    text = plan(strict.newest_snapshot(cleaned, ["symbol", "key"]), "simple")
     assert text.count("WindowGroupLimit") == 2
     assert text.index("Final") < text.index("hashpartitioning") < text.index("Partial")
     assert text.count("Exchange") == 1
