@@ -216,9 +216,6 @@ SELECT strftime(tstamp, '%Y-%m-%d %H:%M:%S') AS timestamp, {_MEAN} FROM bars GRO
     "range_pruned": _LATE,
     "stats_refresh": "SELECT count(*) AS n_rows FROM events",
     "compacted_table": f"WITH {_INTRADAY_BARS} SELECT * FROM bars",
-    "layout_compare": """
-SELECT count(*) > 0 AS before_measured, count(*) > 0 AS after_measured, count(*) > 0 AS compared
-FROM events""",
     "log_report": """
 SELECT event_type AS run,
        CASE WHEN event_type <> 'signup' THEN CAST(length(event_type) * 1.5 AS DOUBLE) END AS before_ms,

@@ -40,16 +40,22 @@ def skewed_dir(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", driver.oracle_sql())
 def test_query(spark, sf_dir, name):
     assert differences(spark, name, sf_dir, driver.queries()[name], driver.oracle_sql()[name]) == []
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", driver.oracle_sql())
 def test_query_on_skewed_tables(spark, skewed_dir, name):
     assert differences(spark, name, skewed_dir, driver.queries()[name], driver.oracle_sql()[name]) == []
 
 
+def test_layout_compare(spark, sf_dir):
+    (row,) = driver.queries()["layout_compare"](spark, sf_dir).collect()
+    assert row.before_ms > 0 and row.after_ms > 0 and row.reduction.endswith("%")
+    assert row.before_files >= 1 and row.after_files >= 11
+
+
 def test_entry(spark):
     flagship = driver.entry(spark)
     assert [f.dataType.simpleString() for f in flagship.schema] == ["timestamp_ntz"] + ["double"] * 4 + ["bigint"]
