@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from barmill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from barmill.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op5_toxicity": op5_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
