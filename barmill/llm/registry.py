@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from barmill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from barmill.llm.personal_data import op10_personal_data
 from barmill.llm.toxicity import op5_toxicity
 from barmill.llm.topk_search import OP9_SQL, op9_topk_search
 
 QUERIES = {
+    "op10_personal_data": op10_personal_data,
     "op9_topk_search": op9_topk_search,
     "op5_toxicity": op5_toxicity,
     "op7_exact_dedup": op7_exact_dedup,
