@@ -6,8 +6,10 @@ from barmill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from barmill.llm.personal_data import op10_personal_data
 from barmill.llm.toxicity import op5_toxicity
 from barmill.llm.topk_search import OP9_SQL, op9_topk_search
+from barmill.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
+    "op6_warc": op6_warc,
     "op10_personal_data": op10_personal_data,
     "op9_topk_search": op9_topk_search,
     "op5_toxicity": op5_toxicity,
@@ -15,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op6_warc": OP6_SQL,
     "op9_topk_search": OP9_SQL,
     "op7_exact_dedup": OP7_SQL,
 }
