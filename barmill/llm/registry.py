@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from barmill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from barmill.llm.packing import op8_packing
 from barmill.llm.personal_data import op10_personal_data
 from barmill.llm.toxicity import op5_toxicity
 from barmill.llm.topk_search import OP9_SQL, op9_topk_search
 from barmill.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
+    "op8_packing": op8_packing,
     "op6_warc": op6_warc,
     "op10_personal_data": op10_personal_data,
     "op9_topk_search": op9_topk_search,
