@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from barmill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from barmill.llm.near_dedup import op4_near_dedup
 from barmill.llm.packing import op8_packing
 from barmill.llm.personal_data import op10_personal_data
 from barmill.llm.toxicity import op5_toxicity
@@ -10,6 +11,7 @@ from barmill.llm.topk_search import OP9_SQL, op9_topk_search
 from barmill.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
+    "op4_near_dedup": op4_near_dedup,
     "op8_packing": op8_packing,
     "op6_warc": op6_warc,
     "op10_personal_data": op10_personal_data,
