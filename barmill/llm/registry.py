@@ -6,12 +6,14 @@ from barmill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from barmill.llm.near_dedup import op4_near_dedup
 from barmill.llm.packing import op8_packing
 from barmill.llm.personal_data import op10_personal_data
+from barmill.llm.quality import op2_quality
 from barmill.llm.repeated_passages import op1_repeated_passages
 from barmill.llm.toxicity import op5_toxicity
 from barmill.llm.topk_search import OP9_SQL, op9_topk_search
 from barmill.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op1_repeated_passages": op1_repeated_passages,
     "op4_near_dedup": op4_near_dedup,
     "op8_packing": op8_packing,
