@@ -9,10 +9,12 @@ from barmill.llm.personal_data import op10_personal_data
 from barmill.llm.quality import op2_quality
 from barmill.llm.repeated_passages import op1_repeated_passages
 from barmill.llm.toxicity import op5_toxicity
+from barmill.llm.sentencepiece_codec import op3_sentencepiece
 from barmill.llm.topk_search import OP9_SQL, op9_topk_search
 from barmill.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
+    "op3_sentencepiece": op3_sentencepiece,
     "op2_quality": op2_quality,
     "op1_repeated_passages": op1_repeated_passages,
     "op4_near_dedup": op4_near_dedup,
