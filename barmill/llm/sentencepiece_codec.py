@@ -255,7 +255,7 @@ def decode(encoded: DataFrame, model: str | None = None, kind: str = "bpe") -> D
     """
     prepare(encoded.sparkSession)
     path = model or public_tokenizers.path(MODEL)
-    schema = encoded.drop("ids").schema.add("n_tokens", "bigint").add("ids_crc32", "bigint").add("decoded", "string")
+    schema = encoded.drop("ids").schema.add("n_tokens", "long").add("ids_crc32", "long").add("decoded", "string")
     return encoded.mapInArrow(_decode_rows(path, kind), schema)
 
 
