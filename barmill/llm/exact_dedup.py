@@ -174,17 +174,16 @@ def drop_exact_duplicates(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     held = held.select(
         "row",
-        F.col("row.doc_id").alias("id"),
+        F.coalesce(F.col("row.doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"),
         F.length(text).alias("length"),
         F.sha2(F.translate(text, BLANKS.decode(), ""), 256).alias("sha"),
     )
     stay = exact_duplicates(documents).where("kept").select(
-        F.col("doc_id").alias("stay_id"), F.col("text_sha256").alias("stay_sha")
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("text_sha256").alias("sha")
     )
-    same = F.col("sha").eqNullSafe(F.col("stay_sha")) & F.col("id").eqNullSafe(F.col("stay_id"))
     # Rows that repeat the id of the one that stays differ in blanks at most: the longest of them.
     first = Window.partitionBy("sha", "id").orderBy(F.col("length").desc())
-    left = held.join(stay, same, "left_semi").withColumn("nth", F.row_number().over(first))
+    left = held.join(stay, ["sha", "id"], "left_semi").withColumn("nth", F.row_number().over(first))
     return left.where("nth = 1").select(*[F.col("row").getField(n).alias(n) for n in names])
 
 

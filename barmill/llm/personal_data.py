@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barmill.llm.common import prepare, table, texts, written
 
@@ -264,6 +265,30 @@ def _span_rows(shared):
     return rows
 
 
+_SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
+_HITS = "array<struct<term:string,start:bigint,end:bigint>>"
+
+
+def _marked(documents: DataFrame, held: DataFrame) -> DataFrame:
+    """``held`` (``row`` and any columns, and ``text``) without ``text``, with ``base`` and ``terms``."""
+    spark = documents.sparkSession
+    terms = written(disclosing_terms(documents), "terms")
+    shared = spark.sparkContext.broadcast(word_filter(terms))
+    schema = held.drop("text").schema
+    for name, kind in (("base", _SPANS), ("hits", _HITS)):
+        schema = schema.add(name, T.DataType.fromDDL(kind))
+    rows = written(held.mapInArrow(_span_rows(shared), schema), "spans")
+    # The filter lets some other words pass; the join takes them out. Few rows have any.
+    hit = F.size("hits") > 0
+    hits = rows.where(hit).select("row", F.inline("hits")).join(terms, "term", "left_semi")
+    span = F.struct(F.lit("term").alias("kind"), "start", "end")
+    grouped = hits.groupBy("row").agg(F.sort_array(F.collect_list(span)).alias("terms"))
+    none = F.expr(f"cast(array() AS {_SPANS})")
+    joined = rows.where(hit).drop("hits").join(grouped, "row", "left")
+    joined = joined.withColumn("terms", F.coalesce("terms", none))
+    return joined.union(rows.where(~hit).drop("hits").withColumn("terms", none))
+
+
 def personal_spans(documents: DataFrame) -> DataFrame:
     """All spans of every row: ``row``, ``doc_id``, ``base`` and ``terms`` (kind, start, end).
 
@@ -271,24 +296,44 @@ def personal_spans(documents: DataFrame) -> DataFrame:
     text has none. Repeated rows are judged one by one. ``row`` numbers the rows. Other columns of
     ``documents`` are neither read nor returned.
     """
-    spark = documents.sparkSession
-    prepare(spark)
-    terms = written(disclosing_terms(documents), "terms")
-    shared = spark.sparkContext.broadcast(word_filter(terms))
-    chosen = documents.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint"), F.col("text").cast("string")
+    prepare(documents.sparkSession)
+    row, text = F.monotonically_increasing_id().alias("row"), F.col("text").cast("string")
+    return _marked(documents, documents.select(row, F.col("doc_id").cast("bigint"), text))
+
+
+def _without(text, spans):
+    """The text with each span, and spans that overlap it, replaced by its kind in brackets."""
+    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
+
+    def step(done, span):
+        between = F.substring(text, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
+        sign = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
+        out = F.when(span["start"] < done["at"], done["out"]).otherwise(F.concat(done["out"], between, sign))
+        return F.struct(out.alias("out"), F.greatest(done["at"], span["end"]).alias("at"))
+
+    done = F.aggregate(spans, start, step)
+    rest = F.substring(text, (done["at"] + 1).cast("int"), F.length(text))
+    return F.when(F.size(spans) > 0, F.concat(done["out"], rest)).otherwise(text)
+
+
+def sanitised(documents: DataFrame) -> DataFrame:
+    """``documents`` with all spans replaced; ``n_chars``, where there is one, follows the text."""
+    prepare(documents.sparkSession)
+    held = documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("document"))
+    held = held.select("row", "document", F.col("document.text").cast("string").alias("text"))
+    marked = _marked(documents, held)
+    spans = F.array_sort(
+        F.transform(F.concat("base", "terms"), lambda s: F.struct(s["start"], s["end"], s["kind"]))
     )
-    span = "array<struct<kind:string,start:bigint,end:bigint>>"
-    hit = "array<struct<term:string,start:bigint,end:bigint>>"
-    found = chosen.mapInArrow(_span_rows(shared), f"row bigint, doc_id bigint, base {span}, hits {hit}")
-    rows = written(found, "spans")
-    # The filter lets some other words pass; the join takes them out.
-    hits = rows.where(F.size("hits") > 0).select("row", F.inline("hits")).join(terms, "term", "left_semi")
-    term_span = F.struct(F.lit("term").alias("kind"), "start", "end")
-    grouped = hits.groupBy("row").agg(F.sort_array(F.collect_list(term_span)).alias("terms"))
-    none = F.expr(f"cast(array() AS {span})")
-    joined = rows.drop("hits").join(grouped, "row", "left")
-    return joined.withColumn("terms", F.coalesce("terms", none))
+    text = F.col("document").getField("text").cast("string")
+    marked = marked.select("document", _without(text, spans).alias("text"))
+    columns = [F.col("document").getField(n).alias(n) for n in documents.columns]
+    for i, name in enumerate(documents.columns):
+        if name == "text":
+            columns[i] = F.col("text")
+        elif name == "n_chars":
+            columns[i] = F.length("text").cast(documents.schema[name].dataType).alias(name)
+    return marked.select(*columns)
 
 
 def _joined(spans):

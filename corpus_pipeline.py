@@ -3,9 +3,47 @@
 from __future__ import annotations
 
 from barmill.llm.common import table, written
+from barmill.llm.exact_dedup import drop_exact_duplicates
+from barmill.llm.near_dedup import drop_near_duplicates
+from barmill.llm.packing import packed_pieces
+from barmill.llm.personal_data import sanitised
+from barmill.llm.toxicity import drop_toxic, train
 
-STAGES = []
 
+def not_toxic(spark, docs, sf_dir):
+    """Documents that the classifier, fitted on the labelled ones, does not call toxic."""
+    return drop_toxic(docs, train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def exact_once(spark, docs, sf_dir):
+    """One document of each group of equal texts."""
+    return drop_exact_duplicates(docs)
+
+
+def near_once(spark, docs, sf_dir):
+    """One document of each group of near-duplicates."""
+    return drop_near_duplicates(docs)
+
+
+def without_personal_data(spark, docs, sf_dir):
+    """All documents, with personal data and what gives it away replaced."""
+    return sanitised(docs)
+
+
+def packed(spark, docs, sf_dir):
+    """Pieces of documents in token sequences."""
+    return packed_pieces(docs)
+
+
+STAGES = [
+    ("toxicity", not_toxic),
+    ("exact_dedup", exact_once),
+    ("near_dedup", near_once),
+    ("personal_data", without_personal_data),
+    ("packing", packed),
+]
+
+# SQL has no tokenizer, classifier or near-duplicate search; tests compare with brute force.
 ORACLE_SQL = None
 
 
