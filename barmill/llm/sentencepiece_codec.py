@@ -32,9 +32,9 @@ from barmill.llm.common import batches_of, prepare, table, texts
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Bytes of text whose distinct words are segmented together.
-UNIT_BYTES = 16_000_000
+UNIT_BYTES = 4_000_000
 #: Words, and pairs of pieces, that a Python worker remembers.
-MOST_WORDS, MOST_PAIRS = 400_000, 500_000
+MOST_WORDS, MOST_PAIRS = 300_000, 400_000
 
 
 class Pieces:
@@ -68,7 +68,9 @@ class Pieces:
         for piece, i in self.ids.items():
             self._finder.add_word(piece, (len(piece), i, self.score[piece]))
         self._finder.make_automaton()
+        # Words met lately, and those met before them.
         self._words: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
         self._pairs: dict[int, bool] = {}
 
     def _word_pattern(self) -> re.Pattern:
@@ -178,15 +180,17 @@ class Pieces:
 
     def encode(self, column: list[str]) -> list[np.ndarray]:
         split = [self.words(t) for t in column]
-        wanted = set(chain.from_iterable(split))
-        if len(self._words) + len(wanted) > MOST_WORDS:
-            self._words = {w: self._words[w] for w in wanted if w in self._words}
-        known = self._words
-        new = self.segment([w for w in wanted if w not in known])
-        known.update(new)
+        known, older, new = self._words, self._older, []
+        for word in set(chain.from_iterable(split)):
+            if word not in known:
+                if word in older:
+                    known[word] = older[word]
+                else:
+                    new.append(word)
+        known.update(self.segment(new))
         ids = [np.fromiter(chain.from_iterable(map(known.__getitem__, s)), np.int32) for s in split]
-        if len(known) > MOST_WORDS:
-            known.clear()
+        if len(known) > MOST_WORDS // 2:
+            self._words, self._older = {}, known
         return ids
 
     def decode(self, ids: np.ndarray) -> str:
