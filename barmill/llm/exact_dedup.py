@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barmill.llm.common import binary, prepare, table, written
+from barmill.llm.common import binary, prepare, table, trimmed, written
 
 BLANKS = b"\x09\x0a\x0b\x0c\x0d\x20"
 #: Runs that meet in one merge.
@@ -36,6 +36,7 @@ _ENTRY = np.dtype(
 )
 
 
+@trimmed
 def _digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests = [sha256(t.translate(None, BLANKS)).digest() for t in binary(batch["text"])]

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.common import mix64, prepare, table, written
+from barmill.llm.common import mix64, prepare, table, trimmed, written
 from barmill.llm.components import connected
 from barmill.llm.filters import filter_of, passes
 
@@ -84,6 +84,7 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return mix64((banded * _BAND).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
 
 
+@trimmed
 def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
@@ -105,6 +106,7 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _set_rows(shared):
+    @trimmed
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch["doc_id"].fill_null(0).to_numpy()

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from barmill.llm.common import batches_of, prepare, table
+from barmill.llm.common import batches_of, prepare, table, trimmed
 
 #: Context sizes, all powers of two.
 LARGEST, SMALLEST = 4096, 64
@@ -32,7 +32,7 @@ STEP_TOKENS = 8 * LARGEST
 END = 2
 VOCABULARY = "word_bpe_49k.json"
 #: Bytes of text that are packed together.
-UNIT_BYTES = 12_000_000
+UNIT_BYTES = 6_000_000
 
 # Where a letter or digit is followed by neither (nor a blank), the tokenizer always cuts.
 _LETTER = "a-zß-öø-ÿªµº0-9"
@@ -144,6 +144,7 @@ _PIECE = (
 
 
 def _piece_rows(vocabulary: str, with_ids: bool):
+    @trimmed
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(vocabulary)
         partition = TaskContext.get().partitionId()

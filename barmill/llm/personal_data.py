@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barmill.llm.common import prepare, table, texts, written
+from barmill.llm.common import prepare, table, texts, trimmed, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -33,6 +33,9 @@ LEAST_DOCUMENTS = 3
 LEAST_VARIETY = 2.5
 THRESHOLD = 0.9
 
+#: Words that a task remembers the answer for.
+MOST_WORDS = 150_000
+
 #: Bits of the word filter, whatever the number of words.
 FILTER_BITS = 1 << 22
 
@@ -112,6 +115,7 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> set[tuple[str, str
     return found
 
 
+@trimmed
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: in how many documents each value, term and word before it stand together."""
     counts: Counter = Counter()
@@ -178,7 +182,7 @@ class _Words:
         if not self.any:
             return set()
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > 500_000:
+        if len(self.known) + len(new) > MOST_WORDS:
             self.known, new = {}, list(words)
         if new:
             places = _bits(new)
@@ -189,6 +193,7 @@ class _Words:
 
 
 def _count_rows(shared):
+    @trimmed
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = _Words(shared.value), Counter()
         for batch in batches:
@@ -240,6 +245,7 @@ _HIT = pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64
 
 
 def _span_rows(shared):
+    @trimmed
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(shared.value)
         for batch in batches:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.common import held_out, prepare, table, written
+from barmill.llm.common import held_out, prepare, table, trimmed, written
 
 #: Most labelled documents that are fitted on: those with the least hash of their id.
 TRAINING_ROWS = 12_000
@@ -55,6 +55,7 @@ def measures(column: pa.Array) -> np.ndarray:
     return np.stack(found, 1) if len(column) else np.zeros((0, MEASURES))
 
 
+@trimmed
 def _measure_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -112,6 +113,7 @@ def train(documents: DataFrame, labels: DataFrame, most_rows: int = TRAINING_ROW
 
 
 def _evidence_rows(model: np.ndarray):
+    @trimmed
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, scale, w = model
         for batch in batches:

@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.common import batches_of, prepare, table, texts
+from barmill.llm.common import batches_of, prepare, table, texts, trimmed
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -210,6 +210,7 @@ def pieces_of(path: str, kind: str) -> Pieces:
 
 
 def _encode_rows(path: str, kind: str):
+    @trimmed
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path, kind)
         for some in batches_of(batches, UNIT_BYTES):
@@ -222,6 +223,7 @@ def _encode_rows(path: str, kind: str):
 
 
 def _decode_rows(path: str, kind: str):
+    @trimmed
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path, kind)
         for batch in batches:

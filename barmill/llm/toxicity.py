@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.common import held_out, mix64, prepare, table, texts
+from barmill.llm.common import held_out, mix64, prepare, table, texts, trimmed
 
 #: Terms are hashed to this many slots.
 SLOTS = 1 << 18
@@ -47,6 +47,7 @@ def slots_of(text: str) -> np.ndarray:
     return np.fromiter(found, np.int32, len(found))
 
 
+@trimmed
 def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [np.sort(slots_of(t)) for t in texts(batch["text"])]
@@ -186,6 +187,7 @@ def train(documents: DataFrame, labels: DataFrame, most_rows: int = TRAINING_ROW
 
 
 def _score_rows(shared):
+    @trimmed
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Machine.from_bytes(shared.value)
         for batch in batches:
