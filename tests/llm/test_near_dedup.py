@@ -1,0 +1,104 @@
+import random
+import re
+
+import numpy as np
+from cases import WORDS, edges, frame, prose, rows_of
+
+from barmill.llm import near_dedup as ops
+from barmill.llm.components import connected
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def shingles(text):
+    w = WORD.findall((text or "").translate(LOWER))
+    if len(w) < 5:
+        return {tuple(w)} if w else set()
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+
+def expected(rows):
+    sets = [shingles(t) for _, t in rows]
+    parent = {i: i for i, _ in rows if i is not None}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, (i, _) in enumerate(rows):
+        for b, (j, _) in enumerate(rows[:a]):
+            common = len(sets[a] & sets[b])
+            if None not in (i, j) and common and 100 * common >= 75 * len(sets[a] | sets[b]):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    out = []
+    for (i, _), s in zip(rows, sets):
+        root = i if i is None or not s else find(i)
+        out.append((i, len(s), root, root == i))
+    return sorted(out, key=str)
+
+
+def family(seed, size, edits):
+    """Copies of one text, each with some words changed."""
+    r = random.Random(seed)
+    base = prose(seed, 80).split()
+    rows = []
+    for i in range(size):
+        words = list(base)
+        for _ in range(r.randrange(edits)):
+            words[r.randrange(len(words))] = r.choice(WORDS) + str(r.randrange(9999))
+        rows.append((1000 * seed + i, " ".join(words)))
+    return rows
+
+
+COLUMNS = ("doc_id", "n_shingles", "component_id", "kept")
+
+
+def test_links_of_families(spark):
+    rows = edges() + family(21, 60, 8) + family(22, 25, 4)
+    found = ops.near_duplicates(frame(spark, rows))
+    assert sorted(rows_of(found, *COLUMNS), key=str) == expected(rows)
+
+
+def test_buckets_larger_than_a_chunk(spark, monkeypatch):
+    monkeypatch.setattr(ops, "CHUNK", 5)
+    rows = family(23, 60, 9)
+    found = ops.near_duplicates(frame(spark, rows))
+    assert sorted(rows_of(found, *COLUMNS), key=str) == expected(rows)
+
+
+def test_no_rows_and_no_words(spark):
+    assert ops.near_duplicates(frame(spark, [])).collect() == []
+    rows = [(1, None), (2, ""), (3, " ")]
+    assert sorted(rows_of(ops.near_duplicates(frame(spark, rows)), *COLUMNS)) == expected(rows)
+
+
+def test_drop_keeps_one_of_each_and_all_columns(spark):
+    rows = [*family(24, 20, 3), (1, "alone and unlike all others here"), (2, None)]
+    documents = frame(spark, rows)
+    left = ops.drop_near_duplicates(documents)
+    assert left.schema == documents.schema
+    assert sorted(r[0] for r in rows_of(left, "doc_id")) == sorted(i for i, _, _, kept in expected(rows) if kept)
+
+
+def test_least_and_greatest_values_agree_as_often_as_sets_do():
+    r = np.random.default_rng(2)
+    both = r.integers(0, 1 << 63, 600, dtype=np.uint64)
+    a, b = ops.band_keys([np.sort(both[:500]), np.sort(both[100:])])
+    assert 0 < (a == b).sum() < ops.BANDS
+    a, b = ops.band_keys([np.sort(both), np.sort(both)])
+    assert (a == b).all()
+
+
+def test_query(spark, sf_dir):
+    texts = rows_of(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
+    assert sorted(rows_of(ops.op4_near_dedup(spark, sf_dir), *COLUMNS), key=str) == expected(texts)
+
+
+def test_components_of_chains_and_stars(spark):
+    pairs = [(i, i + 1) for i in range(100, 160)] + [(500, 500 + i) for i in range(1, 80)] + [(7, 7), (579, 9)]
+    got = {r.node: r.root for r in connected(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
+    want = {i: 100 for i in range(100, 161)} | {i: 9 for i in [9, *range(500, 580)]}
+    assert got == want

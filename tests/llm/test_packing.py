@@ -1,0 +1,73 @@
+from collections import defaultdict
+from zlib import crc32
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+from cases import edges, frame, prose, rows_of
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from barmill.llm import packing as ops
+
+PATH = public_tokenizers.path(ops.VOCABULARY)
+TEXTS = [
+    "Hello's WORLD don't  x", "ΑΣ ΟΔΟΣ Σ", "İstanbul", "foo ́bar é", "<|endoftext|> x <|EndOfText|>", "中文 abc123 ½²",
+    "a\xa0 b​c\x85d\x1ce\x00f", "ẞ ß", "ª'tis 'sm 12a's x,'s a.'d-b", "", "  ", "ÀÉ÷×ÿ µ",
+]
+
+
+def test_ids_are_those_of_the_tokenizer():
+    reference = Tokenizer.from_file(PATH)
+    ids, lengths = ops.WordTokenizer(PATH).encode(pa.array([*TEXTS, None]), ops.END)
+    parts = np.split(ids, np.cumsum(lengths)[:-1])
+    for text, part in zip([*TEXTS, ""], parts):
+        assert part.tolist() == reference.encode(text, add_special_tokens=False).ids + [ops.END], text
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.lists(st.integers(1, 20_000), max_size=60))
+def test_packing_covers_everything_without_padding(lengths):
+    by_document, by_sequence = defaultdict(list), defaultdict(list)
+    for doc, start, n, sequence, offset in ops.pack(lengths):
+        by_document[doc].append((start, n))
+        by_sequence[sequence].append((offset, n))
+    assert sorted(by_document) == list(range(len(lengths)))
+    for parts, total in [(by_document[d], n) for d, n in enumerate(lengths)] + [(p, None) for p in by_sequence.values()]:
+        at = 0
+        for start, n in sorted(parts):
+            assert start == at and n > 0
+            at += n
+        if total is None:
+            assert at <= ops.LARGEST and at & (at - 1) == 0
+        else:
+            assert at == total
+    short = sum(1 for p in by_sequence.values() if sum(n for _, n in p) < ops.SMALLEST)
+    assert short <= ops.SMALLEST.bit_length()
+
+
+def test_pieces_in_spark(spark):
+    rows = edges() + [(100 + i, prose(i, 300)) for i in range(40)]
+    found = ops.packed_pieces(frame(spark, rows), with_ids=True)
+    reference = Tokenizer.from_file(PATH)
+    want = sorted(
+        (str(i), tuple(reference.encode(t or "", add_special_tokens=False).ids + [ops.END])) for i, t in rows
+    )
+    pieces = defaultdict(list)
+    for r in found.collect():
+        assert crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length
+        pieces[r.doc_id, r.doc_tokens].append((r.start, r.ids))
+    total = defaultdict(int)
+    for i, ids in want:
+        total[i] += len(ids)
+    assert {str(i): 0 for i, _ in pieces}.keys() == total.keys()
+    for i, n in total.items():
+        assert sum(len(ids) for key, v in pieces.items() if str(key[0]) == i for _, ids in v) == n
+    once = {i: ids for i, ids in want if sum(1 for j, _ in want if j == i) == 1}
+    for key, parts in pieces.items():
+        if str(key[0]) in once:
+            assert tuple(x for _, ids in sorted(parts, key=lambda p: p[0]) for x in ids) == once[str(key[0])]
+    steps = rows_of(found.select("sequence_id", "sequence_tokens", "step_group").distinct().groupBy("step_group").sum("sequence_tokens"), "sum(sequence_tokens)")
+    assert sum(1 for (n,) in steps if n != ops.STEP_TOKENS) <= found.rdd.getNumPartitions()
+    assert ops.packed_pieces(frame(spark, [])).collect() == []

@@ -1,0 +1,77 @@
+from zlib import crc32
+
+import numpy as np
+import pytest
+import sentencepiece
+from cases import edges, frame, rows_of
+
+import public_tokenizers
+from barmill.llm import sentencepiece_codec as ops
+
+PATH = public_tokenizers.path(ops.MODEL)
+TEXTS = [
+    "Hello world  x   y", "  a b ", "\n\n\n a\tb", "你好 世界🙂 x", "<0x0A><s></s><unk>", "a" * 300, " " * 40, "", "é́​\x00b",
+    "İstanbul ẞ m²., 3½", "don't; stop.(now) [x]_y", "x" * 5 + "▁▁" + "y",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return ops.Pieces(PATH)
+
+
+def test_ids_are_those_of_the_library(library, pieces):
+    for text, ids in zip(TEXTS, pieces.encode(TEXTS)):
+        assert ids.tolist() == library.encode(text)
+        assert pieces.decode(ids) == library.decode(ids.tolist())
+
+
+def test_a_cleared_memory_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(ops, "MOST_WORDS", 3)
+    monkeypatch.setattr(ops, "MOST_PAIRS", 3)
+    small = ops.Pieces(PATH)
+    for _ in range(2):
+        assert [i.tolist() for i in small.encode(TEXTS)] == [library.encode(t) for t in TEXTS]
+
+
+def test_unigram_paths_have_the_highest_score():
+    unigram = ops.Pieces(PATH, "unigram")
+
+    def best(word):
+        totals = [(0.0, ())]
+        for end in range(1, len(word) + 1):
+            ways = []
+            for start in range(max(0, end - unigram.longest), end):
+                piece = word[start:end]
+                if piece in unigram.ids:
+                    ways.append((totals[start][0] + unigram.score[piece], totals[start][1] + (unigram.ids[piece],)))
+            totals.append(max(ways, key=lambda w: w[0]))
+        return totals[-1]
+
+    words = ["▁morning", "▁mornings", "▁more", "▁candlelight", "▁candle", "ing"]
+    for word, ids in unigram.segment(words).items():
+        total, _ = best(word)
+        raw = {i: s for s, i in unigram.ids.items()}
+        assert sum(unigram.score[raw[i]] for i in ids) == total
+
+
+def test_round_trip_in_spark(spark, library):
+    rows = edges()
+    encoded = ops.encode(frame(spark, rows))
+    got = sorted(rows_of(ops.decode(encoded), "doc_id", "n_tokens", "ids_crc32", "decoded"), key=str)
+    want = []
+    for i, t in rows:
+        ids = library.encode(t or "")
+        want.append((i, len(ids), crc32(np.array(ids, "<u4").tobytes()), (t or "").replace("▁", " ")))
+    assert got == sorted(want, key=str)
+    assert ops.decode(ops.encode(frame(spark, []))).collect() == []
+
+
+def test_query(spark, sf_dir):
+    found = ops.op3_sentencepiece(spark, sf_dir)
+    assert found.count() == found.where("round_trip").count() == 200

@@ -1,0 +1,64 @@
+import math
+
+import numpy as np
+from cases import rows_of
+
+from barmill.llm import topk_search as ops
+
+COLUMNS = ("query_id", "rank", "vec_id", "score")
+SCHEMA = "vec_id bigint, embedding array<float>, score string, rank string"
+
+
+def expected(rows, asked, k=5):
+    best = {}
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            whole = [math.floor(256 * float(np.float32(x))) for x in v]
+            best[i] = min(best.get(i, whole), whole)
+    out = []
+    for q in best:
+        if q % asked == 0:
+            scored = sorted((-sum(a * b for a, b in zip(best[q], v)), i) for i, v in best.items() if i != q)
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(scored[:k], 1)]
+    return sorted(out)
+
+
+def search(spark, rows, asked):
+    vectors = ops.whole_vectors(spark.createDataFrame([(*r, "x", "x") for r in rows], SCHEMA))
+    return sorted(rows_of(ops.top_k(vectors, vectors.where(f"vec_id % {asked} = 0")), *COLUMNS))
+
+
+def test_against_brute_force(spark, monkeypatch):
+    random = np.random.default_rng(0)
+    rows = [(i, (random.normal(size=24) * 0.2).round(2).tolist()) for i in range(900)]
+    rows += [(2000 + i, [0.5] * 24) for i in range(300)]  # a vector that a quarter of all rows have
+    rows += [(3000, None), (3050, [None] * 24), (3051, [float("nan")] * 24), (3100, [float("inf")] * 24), (None, [0.1] * 24)]
+    rows += [(3150, []), (3200, [0.5] * 30), (3250, [1.0]), (50, [0.9] * 24), (50, [0.9] * 24), (-50, [-0.001] * 24)]
+    monkeypatch.setattr(ops, "QUERIES", 9)
+    assert search(spark, rows, 50) == expected(rows, 50)
+
+
+def test_few_rows(spark):
+    assert search(spark, [], 50) == []
+    assert search(spark, [(0, [1.0])], 50) == []
+    rows = [(0, [1.0, 2.0]), (1, [0.5, 0.5]), (50, [-1.0, 0.25])]
+    assert search(spark, rows, 50) == expected(rows, 50)
+
+
+def test_huge_components(spark):
+    rows = [(0, [3e30, 1.0]), (1, [3e30, 2.0]), (2, [-3e30, 5.0]), (3, [1e9, 1e9]), (50, [1.0, 0.0])]
+    found = search(spark, rows, 50)
+    assert [r[2] for r in found if r[0] == 50] == [0, 1, 3, 2]
+    assert max(r[3] for r in found) == 2**63 - 1
+
+
+def test_bounds_never_drop_a_hit():
+    random = np.random.default_rng(5)
+    for _ in range(30):
+        data = random.integers(-40, 40, (32, 200))
+        data[:, random.integers(0, 200, 60)] = data[:, :1]
+        query = random.integers(-40, 40, 32)
+        ids, steps = np.sort(random.choice(10_000, 200, replace=False)), list(range(0, 32, ops.STEP))
+        hits, scores = ops.best(int(ids[3]), query, ids, data, ops._left_norms(data, steps), steps, 5)
+        want = sorted((-int(query @ data[:, j]), int(ids[j])) for j in range(200) if j != 3)[:5]
+        assert list(zip((-scores).tolist(), hits.tolist())) == want
