@@ -29,6 +29,12 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def whole_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time and a close in whole numbers for every row of ``lineitem``; sums of such are exact."""
+    close = F.col("l_quantity").alias("close")
+    return table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("tstamp"), close)
+
+
 def bars_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bars`` with closes missing: all of them on every seventh day, and one in three else."""
     day = F.dayofyear("l_shipdate")
@@ -108,20 +114,52 @@ def intraday_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_scanned(table(spark, sf_dir, "events").select(line))
 
 
+#: Symbols and snapshots of the dumps. Some symbols are encoded in a path, one looks like two.
+SYMBOLS = ("BRK_B", "^GSPC", "A+ B%")
+SNAPSHOTS = ("20250901_040000", "20250902_040000", "20250903_040000")
+
+
+def _one_of(values: tuple[str, ...], number: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (number % len(values) + 1).cast("int"))
+
+
 def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_lines`` with the symbol and the snapshot of the dump they come in.
 
     Three symbols and three snapshots, so that the dumps overlap in almost every timestamp.
     """
-    day = F.lpad((F.col("l_linenumber") % 3 + 1).cast("string"), 2, "0")
     lines = table(spark, sf_dir, "lineitem").select(
         _lineitem_line(),
-        F.col("l_returnflag").alias("symbol"),
-        F.concat(F.lit("202509"), day, F.lit("_040000")).alias("snapshot"),
+        _one_of(SYMBOLS, F.col("l_orderkey")).alias("symbol"),
+        _one_of(SNAPSHOTS, F.col("l_linenumber")).alias("snapshot"),
+    )
+    return _as_scanned(lines)
+
+
+def intraday_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw line for every row of ``events``, its time cut to minutes, with symbol and snapshot.
+
+    All symbols have bars at the same times, and dumps of one symbol overlap.
+    """
+    price = F.col("value")
+    tstamp = F.date_trunc("minute", "ts").cast("timestamp_ntz").cast("string")
+    line = _line(tstamp, price, price + 1, price - 1, F.col("user_id") % 10, F.col("event_id") % 11)
+    lines = table(spark, sf_dir, "events").select(
+        line,
+        _one_of(SYMBOLS, F.col("user_id")).alias("symbol"),
+        _one_of(SNAPSHOTS, F.col("event_id")).alias("snapshot"),
     )
     return _as_scanned(lines)
 
 
+def write_dumps(lines: DataFrame, folder: str, snapshots: tuple[str, ...] = SNAPSHOTS) -> None:
+    """Lines as dumps of their symbols, each under the name that a dump has."""
+    for symbol in SYMBOLS:
+        for snapshot in snapshots:
+            one = lines.where((F.col("symbol") == symbol) & (F.col("snapshot") == snapshot))
+            one.select("value").write.text(f"{folder}/stock_{symbol}_{snapshot}.csv")
+
+
 def timestamp_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates as text: most in the bar format, some not, some no dates at all."""
     text = F.date_format("o_orderdate", TIMESTAMP_FORMAT)

@@ -23,8 +23,12 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def retype_timestamp(bars: DataFrame, column: str = "tstamp") -> DataFrame:
-    """Change a text column to a timestamp; a text that is none stops the job."""
-    return bars.withColumn(column, F.col(column).cast("timestamp_ntz"))
+    """Change a text column to a timestamp; a text that is none stops the job in any session."""
+    text = F.col(column)
+    parsed = text.try_cast("timestamp_ntz")
+    message = F.concat(F.lit("not a timestamp: "), text.cast("string"))
+    fault = F.raise_error(message).cast("timestamp_ntz")
+    return bars.withColumn(column, F.when(text.isNotNull() & parsed.isNull(), fault).otherwise(parsed))
 
 
 def with_day(bars: DataFrame, column: str = "tstamp") -> DataFrame:
@@ -33,7 +37,9 @@ def with_day(bars: DataFrame, column: str = "tstamp") -> DataFrame:
 
 
 def moment(value: str | datetime) -> Column:
-    """Timestamp literal without zone."""
+    """Timestamp literal without zone; a value that has one is refused, since bars have none."""
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        raise ValueError(f"{value!r} has a time zone")
     text = value.isoformat(" ") if isinstance(value, datetime) else value
     return F.lit(text).cast("timestamp_ntz")
 

@@ -6,24 +6,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barmill.schema import SYMBOL
 
-def exact_mean(value: str, precision: int = 12, scale: int = 2) -> Column:
+
+def exact_mean(value: str, precision: int, scale: int) -> Column:
     """Mean of a column of at most ``scale`` decimals, summed as decimals.
 
     Sums of doubles depend on the order of the rows, and with it on the partitioning; decimal
-    sums do not. A value too large for the precision stops the job.
+    sums do not. A value that is too large or has more decimals stops the job, whatever the
+    session's settings: nothing is rounded, and what is counted has been summed.
     """
-    total = F.sum(F.col(value).cast(f"decimal({precision},{scale})"))
-    return total.cast("double") / F.count(value)
-
-
-def avg_close(bars: DataFrame, key: str = "tstamp", exact: bool = False) -> DataFrame:
-    """``(timestamp, avg_close)`` (A3, P10).
-
-    NULL closes do not count; a timestamp that has only those is kept with a NULL mean.
+    kind = f"decimal({precision},{scale})"
+    number = F.col(value)
+    whole = number.try_cast(kind)
+    fits = number.isNull() | (whole.isNotNull() & (whole.cast("double") == number))
+    message = F.concat(F.lit(f"no {kind}: "), number.cast("string"))
+    checked = F.when(fits, whole).otherwise(F.raise_error(message).cast(kind))
+    return F.sum(checked).cast("double") / F.count(checked)
+
+
+def avg_close(
+    bars: DataFrame, key: str = "tstamp", exact: tuple[int, int] | None = None
+) -> DataFrame:
+    """``(timestamp, avg_close)`` (A3, P10), and ``symbol`` before them where bars have one.
+
+    NULL closes do not count; a timestamp that has only those is kept with a NULL mean. ``exact``
+    gives the precision and scale that closes are summed in; without it they are summed as doubles.
     """
-    mean = exact_mean("close") if exact else F.avg("close")
-    return bars.groupBy(F.col(key).alias("timestamp")).agg(mean.alias("avg_close"))
+    mean = exact_mean("close", *exact) if exact else F.avg("close")
+    symbol = [F.col(SYMBOL)] if SYMBOL in bars.columns else []
+    return bars.groupBy(*symbol, F.col(key).alias("timestamp")).agg(mean.alias("avg_close"))
 
 
 def with_close(bars: DataFrame) -> DataFrame:
@@ -31,7 +43,9 @@ def with_close(bars: DataFrame) -> DataFrame:
     return bars.where(F.col("close").isNotNull())
 
 
-def avg_close_present(bars: DataFrame, key: str = "tstamp", exact: bool = False) -> DataFrame:
+def avg_close_present(
+    bars: DataFrame, key: str = "tstamp", exact: tuple[int, int] | None = None
+) -> DataFrame:
     """As ``avg_close``, but timestamps without any close are absent."""
     return avg_close(with_close(bars), key, exact)
 

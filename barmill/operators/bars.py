@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barmill.functions.times import parse_timestamp
 from barmill.schema import BAR, FIELDS
 
 
-def typed_bars(cleaned: DataFrame, column: str = "line") -> DataFrame:
+def typed_bars(
+    cleaned: DataFrame, column: str = "line", strict_timestamps: bool = False
+) -> DataFrame:
     """Cleaned lines as typed bars, by the rules of the permissive CSV scan.
 
-    A field that does not parse is NULL and its row is kept. Same parser as reading the lines
+    A field that does not parse is NULL and its row is kept; ``strict_timestamps`` stops the job
+    at a timestamp that does not. Same parser as reading the lines
     back from files, without having to write them first. ``inline`` keeps later filters above the
     parser; pushed below it they would parse every line a second time.
     """
     others = [c for c in cleaned.columns if c != column]
     parsed = F.from_csv(F.col(column), BAR.toDDL(), {"sep": ","})
+    if strict_timestamps:
+        message = F.concat(F.lit("no timestamp: "), F.col(column))
+        fault = F.raise_error(message).cast("timestamp_ntz")
+        parsed = parsed.withField("tstamp", F.coalesce(parsed["tstamp"], fault))
     return cleaned.select(*others, F.inline(F.array(parsed))).select(*FIELDS, *others)
 
 
@@ -31,7 +38,7 @@ def traded(bars: DataFrame) -> DataFrame:
     return bars.where(F.col("volume") > 0)
 
 
-def in_time_order(bars: DataFrame, column: str = "tstamp") -> DataFrame:
+def in_time_order(bars: DataFrame, column: str = "tstamp", partitions: int | None = None) -> DataFrame:
     """Global ascending order by time, NULL first (O2).
 
     A plain sort by time sends all rows of one timestamp to one task. Here the ranges are cut
@@ -39,12 +46,16 @@ def in_time_order(bars: DataFrame, column: str = "tstamp") -> DataFrame:
     third of the rows, or a third of the rows being copies of one, is still spread. All three
     are the same when a lost task is rerun. The rows of one timestamp stay in adjacent
     partitions, hence the order over all partitions is the one asked for.
+
+    ``partitions`` is the number of ranges, by default that of all shuffles. Adaptive execution
+    does not split a range, so give enough that one fits a task.
     """
     others = [c for c in bars.columns if c != column]
     salted = bars.select(
         "*", F.xxhash64(*(others or [column])).alias("_row"), F.spark_partition_id().alias("_task")
     )
-    ranged = salted.repartitionByRange(column, "_row", "_task")
+    keys = [column, "_row", "_task"]
+    ranged = salted.repartitionByRange(*([partitions] if partitions else []), *keys)
     return ranged.sortWithinPartitions(F.col(column).asc_nulls_first()).drop("_row", "_task")
 
 
@@ -53,6 +64,19 @@ def row_count(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+_WHOLE = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _packed(time: str, tie_break: str) -> Column:
+    """Microseconds, then the tie-break moved above zero, as one number in the same order; a tie-break
+    that is missing comes first."""
+    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    micros = F.expr(f"timestampdiff(MICROSECOND, {epoch}, cast(`{time}` AS timestamp_ntz))")
+    high = micros.cast("decimal(19,0)") * F.lit(str(2**64)).cast("decimal(20,0)")
+    low = F.col(tie_break).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")
+    return (high + F.coalesce(low, F.lit(0).cast("decimal(20,0)"))).cast("decimal(38,0)")
+
+
 def interval_bars(
     ticks: DataFrame,
     interval: str = "5 minutes",
@@ -64,12 +88,12 @@ def interval_bars(
     """Bars of a given interval from single prices (R2).
 
     Open and close are the prices at the least and greatest ``(time, tie_break)``, volume is the
-    number of ticks. Each task sends one buffer per symbol and interval.
+    number of ticks. Each task sends one buffer per symbol and interval. A tie-break of whole
+    numbers is packed with the time into one number, which a hash aggregate can keep; others make
+    a struct, for which ticks are sorted first.
     """
-    moment = F.struct(time, tie_break)
+    moment = _packed(time, tie_break) if dict(ticks.dtypes)[tie_break] in _WHOLE else F.struct(time, tie_break)
     value = F.col(price)
-    # The start of the interval leads the key: the sort before the aggregation compares it as a
-    # number, where a text in front would be the same for most rows.
     started = ticks.withColumn("tstamp", F.window(time, interval).start)
     grouped = started.groupBy("tstamp", F.col(symbol).alias("symbol")).agg(
         F.min_by(value, moment).alias("open"),

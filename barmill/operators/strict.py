@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barmill.functions.text import drop_trailing_commas, fields_of, first_field
@@ -22,6 +22,19 @@ def clean_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return kept.select(first_field(line).alias("key"), drop_trailing_commas(line).alias("line"), *others)
 
 
+def strict_counters(line: Column, identity: bool = False) -> list[Column]:
+    """How many lines there are, and how many fall out for which reason."""
+    header = line.startswith(HEADER_PREFIX)
+    whole = F.size(fields_of(line)) == len(FIELDS)
+    named = F.col("snapshot").isNotNull() & F.col("symbol").isNotNull() if identity else F.lit(True)
+    return [
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(header).alias("headers"),
+        F.count_if(~header & ~whole).alias("malformed"),
+        F.count_if(~header & whole & ~named).alias("unnamed"),
+    ]
+
+
 def first_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key: the least by all remaining columns in turn (A1).
 
@@ -44,10 +57,15 @@ def first_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
 def newest_snapshot(rows: DataFrame, keys: list[str], snapshot: str = "snapshot") -> DataFrame:
     """One row per key across overlapping snapshots, from the newest; then as ``first_per_key``.
 
-    Spark limits each task's rows to one per key before the exchange (WindowGroupLimit).
+    Spark limits each task's rows to one per key before the exchange (WindowGroupLimit). Text keys
+    are led by their hash, as there. A row without a snapshot stops the job: it cannot be ranked.
     """
+    text = [c for c, kind in rows.dtypes if c in keys and kind == "string"]
+    lead = [F.xxhash64(*text)] if text else []
+    missing = F.raise_error(F.lit("a row has no snapshot")).cast(rows.schema[snapshot].dataType)
+    rows = rows.withColumn(snapshot, F.coalesce(snapshot, missing))
     rest = [F.col(c) for c in rows.columns if c not in (*keys, snapshot)]
-    window = Window.partitionBy(*keys).orderBy(F.col(snapshot).desc_nulls_last(), *rest)
+    window = Window.partitionBy(*lead, *keys).orderBy(F.col(snapshot).desc(), *rest)
     return rows.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 

@@ -49,6 +49,11 @@ money AS (
   FROM {table}),{_LINES}"""
 
 
+def _feed(symbol: str, snapshot: str) -> str:
+    return f"""['BRK_B', '^GSPC', 'A+ B%'][{symbol} % 3 + 1] AS symbol,
+         ['20250901_040000', '20250902_040000', '20250903_040000'][{snapshot} % 3 + 1] AS snapshot"""
+
+
 _RAW = _raw(
     "lineitem",
     "l_shipdate",
@@ -57,8 +62,17 @@ _RAW = _raw(
     "l_extendedprice - l_discount",
     "CAST(l_quantity AS BIGINT) % 10",
     "l_orderkey",
-    "l_returnflag AS symbol, "
-    "'202509' || lpad(CAST(l_linenumber % 3 + 1 AS VARCHAR), 2, '0') || '_040000' AS snapshot",
+    _feed("l_orderkey", "l_linenumber"),
+)
+_FEED_RAW = _raw(
+    "events",
+    "date_trunc('minute', ts)",
+    "value",
+    "value + 1",
+    "value - 1",
+    "user_id % 10",
+    "event_id",
+    _feed("user_id", "event_id"),
 )
 _INTRADAY_RAW = _raw(
     "events",
@@ -146,6 +160,12 @@ times AS (
          TRY_CAST(regexp_extract(a, 'Execution Time: ([0-9.]+) ms', 1) AS DOUBLE) AS after_ms
   FROM logs)"""
 
+_NEWEST = f"""WITH {_FEED_RAW} {_STRICT_ROWS},
+one AS (
+  SELECT symbol, key, line FROM strict
+  QUALIFY row_number() OVER (PARTITION BY symbol, key ORDER BY snapshot DESC, line) = 1),
+typed AS (SELECT symbol, key, {_FIELDS.format(p="string_split(line, ',')")} FROM one)"""
+
 ORACLE: dict[str, str] = {
     "strict_line_clean": f"WITH {_STRICT} SELECT key, line FROM strict",
     "lenient_close_pairs": f"""WITH {_LENIENT}
@@ -222,8 +242,22 @@ SELECT event_type AS run,
        CASE WHEN event_type <> 'click' THEN CAST(length(event_type) * 0.5 AS DOUBLE) END AS after_ms,
        CASE WHEN event_type NOT IN ('signup', 'click')
             THEN (length(event_type) * 1.5::DOUBLE - length(event_type) * 0.5::DOUBLE)
-                 / (length(event_type) * 1.5::DOUBLE) * 100 END AS reduction_pct
+                 / (length(event_type) * 1.5::DOUBLE) * 100 END AS reduction_pct,
+       CASE WHEN event_type NOT IN ('signup', 'click')
+            THEN printf('%.2f%%', (length(event_type) * 1.5::DOUBLE - length(event_type) * 0.5::DOUBLE)
+                 / (length(event_type) * 1.5::DOUBLE) * 100)
+            ELSE 'not available' END AS reduction
 FROM events GROUP BY event_type""",
     "landing_ingest": f"WITH {_RAW} SELECT value AS line, symbol, snapshot FROM raw",
+    "daily_load_symbols": f"""{_NEWEST}
+SELECT symbol, tstamp, open, high, low, close, volume FROM typed WHERE volume > 0""",
+    "daily_load_means": f"""{_NEWEST}
+SELECT symbol, key AS timestamp, avg(close) AS avg_close FROM typed GROUP BY symbol, key""",
+    "avg_close_plain": """
+SELECT l_shipdate AS timestamp, sum(l_quantity) / count(*) AS avg_close FROM lineitem GROUP BY 1""",
+    "layout_rows": """
+SELECT stage, count(*) FILTER (ts > TIMESTAMP '2024-01-20 12:00:00') AS n_rows,
+       stage = 'after' AS fewer_files, true AS timed
+FROM events, (VALUES ('before'), ('after')) s(stage) GROUP BY stage""",
     "daily_load": f"WITH {_INTRADAY_RAW} {_STRICT_ROWS}, {_LOADED}",
 }

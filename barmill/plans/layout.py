@@ -6,25 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barmill.functions.times import with_day
+from barmill.plans.workspace import exists, make_folder, remove
 from barmill.schema import DAY
 
 
-# Fixed value: up to this many partitions Spark keeps the size of every shuffle block. Beyond it
-# most sizes are averages, and adaptive execution no longer sees that one day is too large.
-_EXACT_SIZES = 2000
-
-
-def by_day(bars: DataFrame) -> DataFrame:
+def by_day(bars: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows of one day together, sorted by time, in partitions of about the advisory size.
 
     ``rebalance`` is one hash exchange and, unlike a range partitioning, reads its input once.
     Adaptive execution merges small days and splits a day that is too large for one task, so a
-    day with a third of the rows becomes many files and not one long task. The local sort gives
-    every file and row group a narrow time range.
+    day with a third of the rows becomes many files and not one long task. It sees that whatever
+    the number of partitions, since the session keeps the true size of large blocks. The local sort
+    gives every file and row group a narrow time range. ``partitions`` is the number of partitions
+    before merging, by default that of all shuffles.
     """
     dated = bars if DAY in bars.columns else with_day(bars)
-    partitions = min(int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions")), _EXACT_SIZES)
-    return dated.hint("rebalance", partitions, DAY).sortWithinPartitions(DAY, "tstamp")
+    spread = dated.hint("rebalance", *([partitions] if partitions else []), DAY)
+    return spread.sortWithinPartitions(DAY, "tstamp")
 
 
 def write_warehouse(
@@ -32,23 +30,31 @@ def write_warehouse(
     path: str,
     table: str | None = None,
     volume_lookup: int | None = None,
+    days_only: bool = False,
+    partitions: int | None = None,
 ) -> None:
-    """Replace the warehouse table by ``bars``, partitioned by day.
+    """Write the warehouse table of ``bars``, partitioned by day.
 
-    ``volume_lookup`` is the expected number of distinct volumes per file; given it, the files
-    carry a bloom filter for equality lookups on the volume.
+    Replaces the whole table, or with ``days_only`` just the days that ``bars`` has, which must
+    then be complete. ``volume_lookup`` is the expected number of distinct volumes per file; given
+    it, the files carry a bloom filter for equality lookups on the volume.
     """
-    writer = by_day(bars).write.mode("overwrite").format("parquet").partitionBy(DAY)
-    # The whole table is replaced, also where the session would only replace the days written.
-    writer = writer.option("partitionOverwriteMode", "static")
+    writer = by_day(bars, partitions).write.mode("overwrite").format("parquet")
+    # Set either way, so that it does not depend on the session which days are replaced.
+    writer = writer.option("partitionOverwriteMode", "dynamic" if days_only else "static")
     if volume_lookup:
         writer = writer.option("parquet.bloom.filter.enabled#volume", "true").option(
             "parquet.bloom.filter.expected.ndv#volume", str(volume_lookup)
         )
-    if table:
+    spark = bars.sparkSession
+    writer = writer.partitionBy(DAY)
+    if table and not (days_only and spark.catalog.tableExists(table)):
         writer.option("path", path).saveAsTable(table)
-    else:
-        writer.save(path)
+        return
+    writer.save(path)
+    if table:  # the catalog learns of new days
+        spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
 
 
 def refresh_stats(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
@@ -63,15 +69,58 @@ def refresh_stats(spark: SparkSession, table: str, columns: list[str] | None = N
     return detail.select(rows.alias("n_rows"))
 
 
-def compact(spark: SparkSession, table: str, new_path: str) -> DataFrame:
-    """Rewrite the files of a day-partitioned table and let the table name the copy.
+def data_files(spark: SparkSession, path: str) -> DataFrame:
+    """A row per data file below a path, with its size and its day if the path is laid out by day.
+
+    Lists files only; a filter on the day is a partition filter, so other days are not listed twice.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.drop("content", "modificationTime")
+
+
+def days_of_small_files(spark: SparkSession, path: str, small: int) -> DataFrame:
+    """Days that have more than one file, and files of less than ``small`` bytes on average."""
+    files = data_files(spark, path)
+    sizes = files.groupBy(DAY).agg(F.count(F.lit(1)).alias("files"), F.avg("length").alias("size"))
+    return sizes.where((F.col("files") > 1) & (F.col("size") < small)).select(DAY)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    # One row of the catalog.
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    return row["data_type"]
+
+
+def stage_small_days(spark: SparkSession, table: str, staging: str, small: int) -> None:
+    """Write the days of small files, compacted, to a folder of their own."""
+    days = days_of_small_files(spark, _location(spark, table), small)
+    # A bar without a timestamp has no day, which an equality would lose.
+    days = days.select(F.col(DAY).alias("_day"))
+    picked = spark.table(table).join(days, F.col(DAY).eqNullSafe(F.col("_day")), "left_semi")
+    write_warehouse(picked, f"{staging}/days")
+
+
+def swap_staged_days(spark: SparkSession, table: str, staging: str) -> None:
+    """Put the staged days in the place of the table's."""
+    schema = spark.table(table).schema
+    staged = spark.read.schema(schema).parquet(f"{staging}/days")
+    write_warehouse(staged, _location(spark, table), table, days_only=True)
+
+
+def compact(spark: SparkSession, table: str, staging: str, small: int = 64 << 20) -> DataFrame:
+    """Rewrite the days of a day-partitioned table that have small files, and only those.
 
-    The table keeps its old files until the new ones are written and registered; only then do the
-    names change. Returns the row count of the refreshed statistics.
+    The days are first written to ``staging``, then marked as whole, then put in the table's place,
+    then ``staging`` is removed. A run that stops anywhere is made good by the next one with the
+    same ``staging``: before the mark it starts anew from the table, which is untouched; after it
+    the days are put in place again. Between such runs nothing may be loaded into the table.
+    Returns the row count of the refreshed statistics.
     """
-    fresh = f"{table}_compacted"
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    write_warehouse(spark.table(table), new_path, fresh)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    return refresh_stats(spark, table)
+    whole = f"{staging}/_whole"
+    if not exists(spark, whole):
+        remove(spark, staging)
+        stage_small_days(spark, table, staging, small)
+        make_folder(spark, whole)
+    swap_staged_days(spark, table, staging)
+    remove(spark, staging)
+    return refresh_stats(spark, table, ["tstamp", "volume"])

@@ -4,55 +4,93 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-from barmill.operators.averages import avg_close, in_key_order
-from barmill.operators.bars import in_time_order, traded, typed_bars
-from barmill.operators.strict import clean_lines, first_per_key, newest_snapshot, sorted_lines
+from barmill.operators.averages import avg_close
+from barmill.operators.bars import in_time_order, row_count, traded, typed_bars
+from barmill.operators.strict import clean_lines, first_per_key, newest_snapshot, strict_counters
 from barmill.plans.layout import refresh_stats, write_warehouse
-from barmill.schema import BAR_TEXT_KEY
-from barmill.sources.files import scan_bars
-from barmill.sources.sinks import save_table, write_lines
+from barmill.schema import FIELDS, SYMBOL
+from barmill.sources.sinks import save_table, write_jdbc
 
 
 def clean_once(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Cleaned lines, one per key; from the newest dump if the lines come with their snapshot."""
-    cleaned = clean_lines(lines, column)
-    if "snapshot" in cleaned.columns:
-        newest = newest_snapshot(cleaned.select("key", "line", "snapshot"), ["key"])
-        return newest.select("key", "line")
-    return first_per_key(cleaned.select("key", "line"), ["key"])
-
+    """Cleaned lines, one per key, or per symbol and key where lines have a symbol.
 
-def load_bars(lines: DataFrame, column: str = "value") -> DataFrame:
+    Lines that come with their snapshot are taken from the newest dump. Those of a dump whose name
+    told neither symbol nor snapshot are left out; ``strict_counters`` counts them.
+    """
+    cleaned = clean_lines(lines, column)
+    symbol = [SYMBOL] if SYMBOL in cleaned.columns else []
+    if "snapshot" not in cleaned.columns:
+        return first_per_key(cleaned.select(*symbol, "key", "line"), [*symbol, "key"])
+    for name in (*symbol, "snapshot"):
+        cleaned = cleaned.where(F.col(name).isNotNull())
+    newest = newest_snapshot(cleaned.select(*symbol, "key", "line", "snapshot"), [*symbol, "key"])
+    return newest.select(*symbol, "key", "line")
+
+
+def load_bars(
+    lines: DataFrame, column: str = "value", strict_timestamps: bool = False, partitions: int | None = None
+) -> DataFrame:
     """Raw lines to traded bars in time order, in one plan and nothing written in between."""
-    return in_time_order(traded(typed_bars(clean_once(lines, column).select("line"))))
+    once = clean_once(lines, column).drop("key")
+    return in_time_order(traded(typed_bars(once, "line", strict_timestamps)), partitions=partitions)
 
 
 @dataclass(frozen=True)
 class LoadTargets:
-    """Where the stages of a load write. Each has its own path and replaces what was there."""
+    """Where the stages of a load write. Each has its own path and replaces what was there.
+
+    With ``jdbc`` options the bars go to a relational table instead of the warehouse. With
+    ``days_only`` only the days that were loaded are replaced in the warehouse.
+    """
 
     cleaned: str
     warehouse: str
     averages: str
-    warehouse_table: str = "stock_data"
-    averages_table: str = "aggregated_stock"
-
-
-def run_daily_load(lines: DataFrame, to: LoadTargets, column: str = "value") -> DataFrame:
-    """Clean, average and load the lines of all dumps (R6); returns the number of bars loaded.
-
-    ``lines`` is a scan of the dumps or the table that landing dumps are ingested into. Each stage
-    reads what the stage before it wrote, so a lost executor or job costs one stage at most, and
-    every stage can be run again by itself. The writes replace their targets.
+    warehouse_table: str = "bars"
+    averages_table: str = "close_means"
+    jdbc: dict[str, str] | None = None
+    days_only: bool = False
+
+
+def run_daily_load(
+    lines: DataFrame,
+    to: LoadTargets,
+    column: str = "value",
+    strict_timestamps: bool = False,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Clean, average and load the lines of all dumps.
+
+    Returns one row: ``n_rows`` loaded, and how many ``lines`` there were, how many were
+    ``headers``, ``malformed`` or ``unnamed`` (of a dump whose name does not fit). These are taken
+    as the lines are read; a task that runs again may count its lines twice.
+
+    ``lines`` is a scan of the dumps or the table that landing dumps are ingested into. They are
+    parsed once; each stage reads what the stage before it wrote, so a lost executor or job costs
+    one stage at most, and every stage can be run again by itself. Three exchanges in all: one row
+    per key, means, layout. Nothing is put in a global order, since no reader asks for one.
     """
     spark = lines.sparkSession
-    write_lines(sorted_lines(clean_once(lines, column)), to.cleaned)
-
-    means = avg_close(scan_bars(spark, to.cleaned, BAR_TEXT_KEY))
-    save_table(in_key_order(means), to.averages_table, to.averages)
-
-    # The layout sorts by day and time, so the load needs no order of its own.
-    write_warehouse(traded(scan_bars(spark, to.cleaned)), to.warehouse, to.warehouse_table)
-    return refresh_stats(spark, to.warehouse_table, ["tstamp", "volume"])
+    counted = Observation("load")
+    identity = {"symbol", "snapshot"} <= set(lines.columns)
+    observed = lines.observe(counted, *strict_counters(F.col(column), identity))
+    typed = typed_bars(clean_once(observed, column), "line", strict_timestamps)
+    typed.write.mode("overwrite").parquet(to.cleaned)
+
+    cleaned = spark.read.schema(typed.schema).parquet(to.cleaned)
+    save_table(avg_close(cleaned, "key"), to.averages_table, to.averages)
+
+    symbol = [SYMBOL] if SYMBOL in cleaned.columns else []
+    bars = traded(cleaned).select(*symbol, *FIELDS)
+    if to.jdbc:
+        write_jdbc(bars, to.jdbc)
+        loaded = row_count(bars)
+    else:
+        write_warehouse(bars, to.warehouse, to.warehouse_table, days_only=to.days_only, partitions=partitions)
+        loaded = refresh_stats(spark, to.warehouse_table, ["tstamp", "volume"])
+    found = counted.get
+    return loaded.select("n_rows", *(F.lit(found[name]).alias(name) for name in found))

@@ -17,11 +17,11 @@ from barmill.functions.times import parse_timestamp, retype_timestamp, time_rang
 from barmill.functions.timings import percent_reduction, timing_ms
 from barmill.operators import averages, lenient, strict
 from barmill.operators import bars as ops
-from barmill.plans.compare import compare_layouts, report
-from barmill.plans.layout import compact, refresh_stats, write_warehouse
+from barmill.plans.compare import compare_layouts, files_left, measure, report
+from barmill.plans.layout import compact, data_files, refresh_stats, write_warehouse
 from barmill.plans.load import LoadTargets, load_bars, run_daily_load
-from barmill.plans.workspace import work_dir
-from barmill.schema import AVERAGE, FIELDS
+from barmill.plans.workspace import make_folder, work_dir
+from barmill.schema import AVERAGE, FIELDS, SYMBOL
 from barmill.sources import files, sinks, tables
 from barmill.streaming.landing import ingest_landing
 
@@ -31,6 +31,8 @@ QUERIES: dict[str, Query] = {}
 
 RANGE_START = "2000-01-01"
 LATE_START = "2024-01-20 12:00:00"
+#: Precision and scale of the closes in ``lineitem``.
+MONEY = (12, 2)
 
 
 def query(build: Query) -> Query:
@@ -107,20 +109,26 @@ def tstamp_date(spark, sf_dir):
 
 @query
 def avg_close(spark, sf_dir):
-    return averages.in_key_order(averages.avg_close(adapters.bars(spark, sf_dir), exact=True))
+    return averages.in_key_order(averages.avg_close(adapters.bars(spark, sf_dir), exact=MONEY))
+
+
+@query
+def avg_close_plain(spark, sf_dir):
+    """The mean that the load takes, on groups of many rows."""
+    return averages.avg_close(adapters.whole_bars(spark, sf_dir))
 
 
 @query
 def avg_close_with_gaps(spark, sf_dir):
     """Days without any close stay, with a NULL mean."""
     gaps = adapters.bars_with_gaps(spark, sf_dir)
-    return averages.in_key_order(averages.avg_close(gaps, exact=True))
+    return averages.in_key_order(averages.avg_close(gaps, exact=MONEY))
 
 
 @query
 def avg_close_nonnull(spark, sf_dir):
     """Days without any close vanish."""
-    return averages.avg_close_present(adapters.bars_with_gaps(spark, sf_dir), exact=True)
+    return averages.avg_close_present(adapters.bars_with_gaps(spark, sf_dir), exact=MONEY)
 
 
 @query
@@ -155,8 +163,8 @@ def row_count(spark, sf_dir):
 
 @query
 def view_count(spark, sf_dir):
-    sinks.register_view(adapters.bars(spark, sf_dir), "barmill_stock_view")
-    return spark.sql("SELECT count(*) AS n_rows FROM barmill_stock_view")
+    sinks.register_view(adapters.bars(spark, sf_dir), "barmill_bars_view")
+    return spark.sql("SELECT count(*) AS n_rows FROM barmill_bars_view")
 
 
 @query
@@ -220,7 +228,7 @@ def header_csv_average(spark, sf_dir):
     gaps = adapters.bars_with_gaps(spark, sf_dir).withColumnRenamed("tstamp", "timestamp")
     sinks.write_delimited(gaps, home, sep=",", header=True)
     inferred = files.scan_inferred(spark, f"{home}/part-*")
-    means = averages.avg_close_present(inferred, "timestamp", exact=True)
+    means = averages.avg_close_present(inferred, "timestamp", exact=MONEY)
     return means.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
@@ -228,7 +236,7 @@ def header_csv_average(spark, sf_dir):
 def tsv_round_trip(spark, sf_dir):
     """Means to tab-separated text and back."""
     home = work_dir(spark, "tsv")
-    sinks.write_delimited(averages.avg_close(adapters.bars(spark, sf_dir), exact=True), home)
+    sinks.write_delimited(averages.avg_close(adapters.bars(spark, sf_dir), exact=MONEY), home)
     return files.scan_bars(spark, home, AVERAGE, sep="\t")
 
 
@@ -244,7 +252,7 @@ def float_pair_round_trip(spark, sf_dir):
 @query
 def table_round_trip(spark, sf_dir):
     """Bars to a catalog table, replaced once, and scanned."""
-    name = _fresh("stock")
+    name = _fresh("bars")
     home = work_dir(spark, "table")
     bars = adapters.bars(spark, sf_dir)
     sinks.save_table(bars, name, f"{home}/first")
@@ -257,7 +265,7 @@ def external_table_scan(spark, sf_dir):
     """Raw lines under an external table; whatever does not fit its types is NULL."""
     home = work_dir(spark, "external")
     adapters.raw_lines(spark, sf_dir).write.text(home)
-    return tables.external_bars(spark, _fresh("stock_raw"), f"{home}/part-*")
+    return tables.external_bars(spark, _fresh("raw"), f"{home}/part-*")
 
 
 @query
@@ -265,7 +273,7 @@ def sql_tables(spark, sf_dir):
     """External table over cleaned text, then a table of means by SQL, made once."""
     home = work_dir(spark, "sql")
     sinks.write_delimited(adapters.bars(spark, sf_dir), f"{home}/cleaned", sep=",")
-    cleaned, means = _fresh("stock_cleaned"), _fresh("aggregated_stock")
+    cleaned, means = _fresh("cleaned"), _fresh("means")
     tables.external_bars(spark, cleaned, f"{home}/cleaned")
     total = "cast(sum(cast(close AS decimal(12,2))) AS double)"
     by_time = spark.sql(
@@ -290,7 +298,7 @@ def range_pruned(spark, sf_dir):
 
 @query
 def stats_refresh(spark, sf_dir):
-    name = _fresh("stock_data")
+    name = _fresh("bars")
     write_warehouse(adapters.intraday_bars(spark, sf_dir), work_dir(spark, "stats"), name)
     return refresh_stats(spark, name)
 
@@ -298,31 +306,53 @@ def stats_refresh(spark, sf_dir):
 @query
 def compacted_table(spark, sf_dir):
     """A table of small files, as loads in several parts leave them, rewritten."""
-    name, home = _fresh("stock_small"), work_dir(spark, "compact")
+    name, home = _fresh("small"), work_dir(spark, "compact")
     dated = with_day(adapters.intraday_bars(spark, sf_dir))
     for part in range(3):
         writer = dated.where(F.col("volume") % 3 == part).write.partitionBy("tstamp_date")
         writer.mode("append").option("path", f"{home}/small").saveAsTable(name)
-    compact(spark, name, f"{home}/whole")
+    compact(spark, name, f"{home}/staging")
     return spark.table(name).select(*FIELDS)
 
 
+def _two_layouts(spark, sf_dir, home):
+    bars = adapters.intraday_bars(spark, sf_dir)
+    bars.write.parquet(f"{home}/before")
+    write_warehouse(bars, f"{home}/after")
+    return {"before": f"{home}/before", "after": f"{home}/after"}
+
+
 @query
 def layout_compare(spark, sf_dir):
     """The range query on a plain table and on one laid out by day: times, reduction, files.
 
-    Times differ from run to run, so there is no SQL for this one.
+    Times differ from run to run, so there is no SQL for this one; ``layout_rows`` has.
     """
     home = work_dir(spark, "compare")
-    bars = adapters.intraday_bars(spark, sf_dir)
-    bars.write.parquet(f"{home}/plain")
-    write_warehouse(bars, f"{home}/by_day")
-    return compare_layouts(
-        spark,
-        tables.scan_warehouse(spark, f"{home}/plain"),
-        tables.scan_warehouse(spark, f"{home}/by_day"),
-        LATE_START,
-        f"{home}/logs",
+    paths = _two_layouts(spark, sf_dir, home)
+    return compare_layouts(spark, paths["before"], paths["after"], LATE_START, f"{home}/logs")
+
+
+@query
+def layout_rows(spark, sf_dir):
+    """What the comparison rests on: rows found in either layout, whether it opens fewer files than
+    the layout has, and whether it was timed."""
+    home = work_dir(spark, "layouts")
+    sides = []
+    for stage, path in _two_layouts(spark, sf_dir, home).items():
+        bars = spark.read.parquet(path)
+        measure(spark, bars, LATE_START, f"{home}/logs/0/{stage}.log")
+        found = time_range(bars, LATE_START).agg(F.count(F.lit(1)).alias("n_rows"))
+        left = files_left(spark, path, LATE_START).agg(F.count(F.lit(1)).alias("n_left"))
+        all_files = data_files(spark, path).agg(F.count(F.lit(1)).alias("n_files"))
+        one = [df.withColumn("stage", F.lit(stage)) for df in (found, left, all_files)]
+        sides.append(one[0].join(one[1], "stage").join(one[2], "stage"))
+    timed = files.first_timings(files.scan_logs(spark, f"{home}/logs")).select("stage", "ms")
+    return (
+        sides[0]
+        .union(sides[1])
+        .join(timed, "stage", "left")
+        .select("stage", "n_rows", (F.col("n_left") < F.col("n_files")).alias("fewer_files"), (F.coalesce("ms", F.lit(0.0)) > 0).alias("timed"))
     )
 
 
@@ -331,7 +361,7 @@ def log_report(spark, sf_dir):
     """Timing logs as files, a pair per kind of event; some lack the timing or the second log."""
     home = work_dir(spark, "logs")
     adapters.log_lines(spark, sf_dir).write.partitionBy("run", "log").text(home)
-    return report(files.scan_logs(spark, home)).select("run", "before_ms", "after_ms", "reduction_pct")
+    return report(files.scan_logs(spark, home))
 
 
 # --- landing and the whole load
@@ -342,27 +372,49 @@ def landing_ingest(spark, sf_dir):
     """Dumps that land one after the other, each taken once."""
     home = work_dir(spark, "landing")
     landing, table = f"{home}/landing", f"{home}/lines"
-    dump = F.concat(F.lit("stock_"), F.col("symbol"), F.lit("_"), F.col("snapshot"), F.lit(".csv"))
-    lines = adapters.feed_lines(spark, sf_dir).select("snapshot", "value", dump.alias("dump"))
-    early = F.col("snapshot") < "20250903"
-    for part in (lines.where(early), None, lines.where(~early)):
-        if part is not None:
-            part.select("value", "dump").write.mode("append").partitionBy("dump").text(landing)
+    lines = adapters.feed_lines(spark, sf_dir)
+    make_folder(spark, landing)
+    for snapshots in ((), adapters.SNAPSHOTS[:2], (), adapters.SNAPSHOTS[2:]):
+        adapters.write_dumps(lines, landing, snapshots)
         taken = ingest_landing(spark, landing, table, f"{home}/checkpoint")
     return taken
 
 
-@query
-def daily_load(spark, sf_dir):
-    """All stages of the load over files, ending with the scan of the warehouse table."""
-    home = work_dir(spark, "load")
-    adapters.intraday_lines(spark, sf_dir).write.text(f"{home}/raw")
+def _loaded(spark, lines, home):
     targets = LoadTargets(
         cleaned=f"{home}/cleaned",
         warehouse=f"{home}/warehouse",
         averages=f"{home}/averages",
-        warehouse_table=_fresh("stock_data"),
-        averages_table=_fresh("aggregated_stock"),
+        warehouse_table=_fresh("bars"),
+        averages_table=_fresh("means"),
     )
-    run_daily_load(files.scan_lines(spark, f"{home}/raw", identity=True), targets)
+    run_daily_load(lines, targets)
+    return targets
+
+
+@query
+def daily_load(spark, sf_dir):
+    """All stages of the load over files, ending with the scan of the warehouse table."""
+    home = work_dir(spark, "load")
+    adapters.intraday_lines(spark, sf_dir).write.text(f"{home}/raw")
+    targets = _loaded(spark, files.scan_lines(spark, f"{home}/raw"), home)
     return tables.scan_table(spark, targets.warehouse_table).select(*FIELDS)
+
+
+def _load_of_symbols(spark, sf_dir):
+    home = work_dir(spark, "symbols")
+    adapters.write_dumps(adapters.intraday_feed(spark, sf_dir), f"{home}/raw")
+    return _loaded(spark, files.scan_lines(spark, f"{home}/raw/stock_*.csv", identity=True), home)
+
+
+@query
+def daily_load_symbols(spark, sf_dir):
+    """The load of overlapping dumps of several symbols with bars at the same times."""
+    targets = _load_of_symbols(spark, sf_dir)
+    return tables.scan_table(spark, targets.warehouse_table).select(SYMBOL, *FIELDS)
+
+
+@query
+def daily_load_means(spark, sf_dir):
+    """The means that such a load leaves."""
+    return tables.scan_table(spark, _load_of_symbols(spark, sf_dir).averages_table)

@@ -11,6 +11,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Keeps the true size of blocks this many times the median however many partitions there are,
+    # so that adaptive execution sees a day or key that is too large for one task.
+    "spark.shuffle.accurateBlockSkewedFactor": "5",
     "spark.ui.enabled": "false",
 }
 

@@ -2,31 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barmill.functions.timings import timing_text
-from barmill.schema import BAR, FEED_FILE
+from barmill.plans.workspace import exists
+from barmill.schema import BAR, FEED_FILE, SNAPSHOT_LENGTH
 
 FILE = "_metadata.file_path"
 
+_LOG = "run string, stage string, position struct<file: string, block: bigint, line: bigint>, value string"
 
-def symbol_of(path: Column) -> Column:
-    return F.nullif(F.regexp_extract(path, FEED_FILE, 1), F.lit(""))
 
+def with_identity(lines: DataFrame, strict: bool = False) -> DataFrame:
+    """Lines of a file scan with ``symbol`` and ``snapshot`` of the dump they are from.
 
-def snapshot_of(path: Column) -> Column:
-    """Time part of the dump name; it sorts as text in the order of time."""
-    return F.nullif(F.regexp_extract(path, FEED_FILE, 2), F.lit(""))
-
+    A path is a URL, so blanks and signs in a symbol are decoded; a plus stays one. The snapshot
+    is the time part of the name and sorts as text in the order of time. If the name does not fit,
+    both are NULL, or with ``strict`` the job stops. ``inline`` keeps the match below all that
+    uses it, so that a line is matched once.
+    """
+    decoded = F.url_decode(F.replace(F.col(FILE), F.lit("+"), F.lit("%2B")))
+    matched = F.struct(F.regexp_extract(decoded, FEED_FILE, 1).alias("_name"), decoded.alias("_file"))
+    found = lines.select(*lines.columns, F.inline(F.array(matched)))
+    name, fits = F.col("_name"), F.col("_name") != ""
+    symbol = F.when(fits, F.substring(name, F.lit(1), F.length(name) - SNAPSHOT_LENGTH - 1))
+    snapshot = F.when(fits, F.right(name, F.lit(SNAPSHOT_LENGTH)))
+    if strict:
+        message = F.concat(F.lit("not the name of a dump: "), F.col("_file"))
+        snapshot = snapshot.otherwise(F.raise_error(message).cast("string"))
+    return found.select(*lines.columns, symbol.alias("symbol"), snapshot.alias("snapshot"))
+
+
+def scan_lines(
+    spark: SparkSession, paths: str | list[str], identity: bool = False, strict: bool = True
+) -> DataFrame:
+    """Lines of all files of a glob as ``value`` (S1), on request with symbol and snapshot.
 
-def scan_lines(spark: SparkSession, paths: str | list[str], identity: bool = False) -> DataFrame:
-    """Lines of all files of a glob as ``value`` (S1), on request with symbol and snapshot."""
+    A file whose name is not that of a dump stops the scan, unless ``strict`` is off: then its
+    lines have neither, and the load counts them and leaves them out.
+    """
     lines = spark.read.text(paths)
-    if not identity:
-        return lines
-    return lines.select("value", symbol_of(F.col(FILE)).alias("symbol"), snapshot_of(F.col(FILE)).alias("snapshot"))
+    return with_identity(lines, strict) if identity else lines
 
 
 def scan_bars(
@@ -49,9 +67,11 @@ def scan_logs(spark: SparkSession, directory: str) -> DataFrame:
     """Lines of the logs ``<run>/<stage>.log`` below a directory, in a known order.
 
     Both names may be of the form ``column=value``, and a log may be a folder of part files.
-    A log that was never written is simply absent. Logs are read by line and not as one value
+    A log that was never written is simply absent, and so are all if there is no directory. Logs are read by line and not as one value
     per file, so their size does not matter; ``position`` orders the lines within a log.
     """
+    if not exists(spark, directory):
+        return spark.createDataFrame([], _LOG)
     lines = spark.read.option("recursiveFileLookup", True).text(directory)
     name = r"([^/=]+)/(?:[^/=]+=)?([^/=]+)\.log(?:/|$)"
     return lines.select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from barmill.schema import TIMESTAMP_FORMAT
 
-REQUIRED_JDBC = ("url", "dbtable", "driver")
+REQUIRED_JDBC = ("url", "dbtable", "driver", "numPartitions")
 
 
 def write_lines(cleaned: DataFrame, path: str) -> None:
@@ -52,7 +52,7 @@ def jdbc_options(**options: str | int) -> dict[str, str]:
     """Checked options of a relational target.
 
     Nothing is read from the environment and nothing has a default, so no credential can end up
-    in the code. Spark opens one connection per task: bound them with ``numPartitions``.
+    in the code. Spark opens one connection per task, so ``numPartitions`` must bound them.
     """
     missing = [name for name in REQUIRED_JDBC if not options.get(name)]
     if missing:

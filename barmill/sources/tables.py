@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from barmill.schema import BAR_TEXT_KEY
+from barmill.schema import BAR, BAR_TEXT_KEY, DAY
 
 
 def _quoted(path: str) -> str:
@@ -35,15 +35,26 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def scan_warehouse(spark: SparkSession, path: str) -> DataFrame:
-    """Bars of the day-partitioned warehouse table."""
-    return spark.read.parquet(path)
+def scan_warehouse(spark: SparkSession, path: str, schema: T.StructType = BAR) -> DataFrame:
+    """Bars of the day-partitioned warehouse table (S7); ``BAR_OF_SYMBOL`` where there are symbols.
 
+    The schema is given, so no footer is read on the driver and an empty table can be scanned.
+    """
+    return spark.read.schema(T.StructType([*schema, T.StructField(DAY, T.DateType())])).parquet(path)
+
+
+_BOUNDS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
 
-def scan_warehouse_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+
+def scan_warehouse_jdbc(
+    spark: SparkSession, options: dict[str, str], single_task: bool = False
+) -> DataFrame:
     """Bars of a relational table (S7); ``options`` as for the JDBC source of Spark.
 
-    Give ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` for a table of
-    any size: without them one task reads it all.
+    Asks for ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``, unless
+    ``single_task`` says that one task may read it all.
     """
+    missing = [name for name in _BOUNDS if not options.get(name)]
+    if missing and not single_task:
+        raise ValueError(f"one task would read the table; give {', '.join(missing)} or single_task")
     return spark.read.format("jdbc").options(**options).load()

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barmill.sources.files import FILE, snapshot_of, symbol_of
+from barmill.plans.workspace import exists
+from barmill.schema import DUMP_LINE
+from barmill.sources.files import with_identity
 
 
 def landing_stream(
@@ -25,11 +27,8 @@ def landing_stream(
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.load(landing).select(
-        F.col("value").alias("line"),
-        symbol_of(F.col(FILE)).alias("symbol"),
-        snapshot_of(F.col(FILE)).alias("snapshot"),
-    )
+    lines = with_identity(reader.load(landing))
+    return lines.select(F.col("value").alias("line"), "symbol", "snapshot")
 
 
 def ingest_landing(
@@ -44,7 +43,9 @@ def ingest_landing(
 
     The checkpoint knows the files already taken, and the file sink commits each batch once, so
     a run that dies is simply started again. A stateless append: no shuffle, nothing is kept
-    between batches but the list of files. Dumps must be moved into place whole.
+    between batches but the list of files. Dumps must be moved into place whole. Lines of a file
+    whose name is not that of a dump have neither symbol nor snapshot; the load counts them.
+    Before anything has landed the table is empty.
     """
     query = (
         landing_stream(spark, landing, max_bytes_per_batch, archive)
@@ -56,4 +57,6 @@ def ingest_landing(
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(table)
+    if not exists(spark, table):
+        return spark.createDataFrame([], DUMP_LINE)
+    return spark.read.schema(DUMP_LINE).parquet(table)

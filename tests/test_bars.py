@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from conftest import plan
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -23,10 +24,11 @@ from barmill.operators.strict import clean_lines, first_per_key, newest_snapshot
 from barmill.plans.load import load_bars
 from barmill.schema import BAR, FIELDS
 
+# In descending order, so that the sort has something to do.
 ROWS = [
-    ("2025-09-02 04:10:00", 242.94, 64),
-    ("2025-09-02 04:05:00", 242.54, 0),
-    ("2025-09-02 04:00:00", 242.38, 522),
+    ("2031-03-07 15:30:00", 17.25, 80),
+    ("2031-03-07 15:15:00", 17.5, 0),
+    ("2031-03-07 15:00:00", 16.75, 300),
 ]
 
 
@@ -38,10 +40,11 @@ def test_schema():
 
 
 def test_volume_filter_and_order(bars_of):
-    bars = bars_of(*ROWS, ("2025-09-02 04:15:00", 1.0, None), ("2025-09-02 04:20:00", 1.0, -5), ("?", 9.0, 7))
-    got = in_time_order(traded(bars)).collect()
-    assert [r.tstamp for r in got] == [None, datetime(2025, 9, 2, 4), datetime(2025, 9, 2, 4, 10)]
-    assert [r.volume for r in got] == [7, 522, 64]
+    bars = bars_of(*ROWS, ("2031-03-07 15:45:00", 1.0, None), ("2031-03-07 16:00:00", 1.0, -5), ("?", 9.0, 7))
+    for partitions in (None, 3):
+        got = in_time_order(traded(bars), partitions=partitions).collect()
+        assert [r.tstamp for r in got] == [None, datetime(2031, 3, 7, 15), datetime(2031, 3, 7, 15, 30)]
+        assert [r.volume for r in got] == [7, 300, 80]
 
 
 def test_text_timestamps(spark):
@@ -77,13 +80,15 @@ def test_newest_snapshot_wins(spark):
         [
             ("IBM", "t", 242.38, "20250923_040000"),
             ("IBM", "t", 242.40, "20250924_040000"),
-            ("IBM", "t", 242.39, None),
             ("GE", "t", 1.0, "20250923_040000"),
         ],
         "symbol string, tstamp string, close double, snapshot string",
     )
     got = newest_snapshot(rows, ["symbol", "tstamp"]).collect()
     assert {(r.symbol, r.close) for r in got} == {("IBM", 242.40), ("GE", 1.0)}
+    unnamed = rows.union(spark.createDataFrame([("IBM", "t", 1.0, None)], rows.schema))
+    with pytest.raises(Exception, match="no snapshot"):
+        newest_snapshot(unnamed, ["symbol", "tstamp"]).collect()
 
 
 def test_sorted_lines_by_bytes(spark, lines_of):
@@ -92,7 +97,7 @@ def test_sorted_lines_by_bytes(spark, lines_of):
     assert got == sorted(got, key=lambda k: k.encode())
 
 
-@pytest.mark.parametrize("exact", [False, True])
+@pytest.mark.parametrize("exact", [None, (12, 2)])
 def test_average(bars_of, exact):
     bars = bars_of(("2025-09-02", 1.0, 1), ("2025-09-02", 3.0, 1), ("2025-09-02", None, 1), ("2025-09-03", None, 1))
     means = in_key_order(avg_close(bars, exact=exact)).collect()
@@ -101,6 +106,22 @@ def test_average(bars_of, exact):
     assert [(r.timestamp.day, r.avg_close) for r in present] == [(2, 2.0)]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("close", [1.005, 1e12, float("nan"), float("inf")])
+def test_exact_mean_stops_at_what_it_would_round(spark, bars_of, conf, close, ansi):
+    conf(spark__sql__ansi__enabled=ansi)
+    bars = bars_of(("2025-09-02", close, 1), ("2025-09-02", 0.5, 1))
+    with pytest.raises(Exception, match="no decimal"):
+        avg_close(bars, exact=(12, 2)).collect()
+    if close == 1.005:
+        assert avg_close(bars, exact=(12, 3)).first().avg_close == 1.505 / 2
+
+
+def test_average_per_symbol(spark, bars_of):
+    bars = bars_of(("2025-09-02", 1.0, 1), ("2025-09-02", 3.0, 1)).withColumn("symbol", F.concat(F.lit("S"), F.col("close").cast("int")))
+    assert {tuple(r)[::2] for r in avg_close(bars).collect()} == {("S1", 1.0), ("S3", 3.0)}
+
+
 def test_average_after_dedupe_is_the_close(bars_of):
     bars = bars_of(("2025-09-02", 1.0, 1), ("2025-09-02", 3.0, 1))
     assert avg_close(first_per_key(bars, ["tstamp"])).first().avg_close == 1.0
@@ -110,8 +131,8 @@ def test_exact_mean_does_not_depend_on_partitions(spark, sf_dir):
     from barmill.adapters import bars
 
     rows = bars(spark, sf_dir).withColumn("tstamp", F.date_trunc("year", "tstamp"))
-    once = {tuple(r) for r in avg_close(rows, exact=True).collect()}
-    assert {tuple(r) for r in avg_close(rows.repartition(5), exact=True).collect()} == once
+    once = {tuple(r) for r in avg_close(rows, exact=(12, 2)).collect()}
+    assert {tuple(r) for r in avg_close(rows.repartition(5), exact=(12, 2)).collect()} == once
 
 
 def test_float32_mean(spark):
@@ -140,6 +161,9 @@ def test_typed_bars_keep_bad_fields(lines_of):
         (t, 1.0, 2.0, 3.0, None, None),
     ]
     assert got[4][1] != got[4][1] and got[4][2:] == (1000.0, -1.0, 1.0, None)
+    with pytest.raises(Exception, match="no timestamp: never"):
+        typed_bars(lines, strict_timestamps=True).collect()
+    assert typed_bars(lines.where("line NOT LIKE 'never%'"), strict_timestamps=True).count() == 4
 
 
 def test_typed_bars_agree_with_the_file_scan(spark, sf_dir, tmp_path):
@@ -203,9 +227,19 @@ def test_interval_bars(spark):
         ],
         "symbol string, ts string, price double, tick_id bigint",
     ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    got = {(r.symbol, r.tstamp.minute): tuple(r)[2:] for r in interval_bars(ticks).collect()}
-    assert got == {
+    want = {
         ("IBM", 0): (3.0, 9.0, 2.0, 5.0, 4),
         ("IBM", 5): (1.0, 1.0, 1.0, 1.0, 1),
         ("GE", 0): (7.0, 7.0, 7.0, 7.0, 1),
     }
+    as_text = ticks.withColumn("tick_id", F.lpad(F.col("tick_id").cast("string"), 3, "0"))
+    for given in (ticks, as_text, ticks.withColumn("tick_id", F.col("tick_id") - 6)):
+        got = {(r.symbol, r.tstamp.minute): tuple(r)[2:] for r in interval_bars(given).collect()}
+        assert got == want
+
+
+def test_interval_bars_by_hash_aggregate(spark, sf_dir):
+    from barmill.adapters import ticks
+
+    text = plan(interval_bars(ticks(spark, sf_dir)), "simple")
+    assert text.count("HashAggregate") == 2 and "Sort" not in text

@@ -1,9 +1,8 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.errors import DateTimeException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +13,7 @@ from barmill.schema import TIMESTAMP_FORMAT
 
 def test_parse_timestamp(spark):
     texts = [
-        ("2025-09-02 04:00:00", datetime(2025, 9, 2, 4)),
+        ("2031-03-07 15:00:00", datetime(2031, 3, 7, 15)),
         ("2024-02-29 23:59:59", datetime(2024, 2, 29, 23, 59, 59)),
         ("2025-02-29 00:00:00", None),
         ("2025-09-02 24:00:00", None),
@@ -62,12 +61,22 @@ def test_parse_ignores_the_session_zone(spark, conf):
     assert df.select(parse_timestamp(F.col("v")).cast("string")).first()[0] == "2025-03-09 02:30:00"
 
 
-def test_retype_is_strict(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_retype_is_strict(spark, conf, ansi):
+    conf(spark__sql__ansi__enabled=ansi)
     good = spark.createDataFrame([("2025-09-02 04:00:00", 1)], "tstamp string, volume int")
     assert retype_timestamp(good).first().tstamp == datetime(2025, 9, 2, 4)
     bad = spark.createDataFrame([("soon", 1)], "tstamp string, volume int")
-    with pytest.raises(DateTimeException):
+    with pytest.raises(Exception, match="not a timestamp: soon"):
         retype_timestamp(bad).collect()
+    none = spark.createDataFrame([(None, 1)], "tstamp string, volume int")
+    assert retype_timestamp(none).first().tstamp is None
+
+
+def test_a_bound_with_a_zone_is_refused(bars_of):
+    zone = timezone(timedelta(hours=5))
+    with pytest.raises(ValueError, match="time zone"):
+        time_range(bars_of(), datetime(2025, 10, 1, tzinfo=zone))
 
 
 def test_range_is_strict_and_day_is_derived(bars_of):
@@ -86,6 +95,7 @@ def test_range_is_strict_and_day_is_derived(bars_of):
     assert dated.orderBy("close").first().tstamp_date == date(2025, 9, 30)
 
 
+# Fixed values here and below: the published times 0.282 and 0.131 and their reduction, 53.55 %.
 @pytest.mark.parametrize(
     ("text", "ms"),
     [

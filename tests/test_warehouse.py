@@ -1,5 +1,6 @@
 import glob
 import os
+import shutil
 from datetime import date
 
 import duckdb
@@ -8,9 +9,11 @@ from conftest import plan
 from pyspark.sql import functions as F
 
 from barmill.functions.times import time_range, with_day
+from barmill.plans import layout, load
 from barmill.plans.compare import compare_layouts, files_left, report
 from barmill.plans.layout import by_day, compact, refresh_stats, write_warehouse
-from barmill.plans.load import LoadTargets, run_daily_load
+from barmill.plans.load import LoadTargets, load_bars, run_daily_load
+from barmill.schema import BAR_OF_SYMBOL
 from barmill.sources.files import scan_lines, scan_logs
 from barmill.sources.tables import scan_warehouse
 from barmill.streaming.landing import ingest_landing
@@ -54,7 +57,10 @@ def test_range_query_prunes_days_and_row_groups(spark, four_days, tmp_path):
     assert "GreaterThan(tstamp,2025-10-01T12:00)" in text
     assert "ReadSchema: struct<tstamp:timestamp_ntz,close:double>" in text
     assert found.count() == 144 - 1 + 288
-    assert files_left(scan_warehouse(spark, home), "2025-10-01 12:00:00").count() == 2
+    left = files_left(spark, home, "2025-10-01 12:00:00")
+    assert left.count() == 2
+    text = plan(left)
+    assert "PartitionFilters: [isnotnull(tstamp_date" in text and "ReadSchema: struct<path" in text
 
 
 def test_missing_timestamps_are_kept(spark, bars_of, tmp_path):
@@ -118,31 +124,95 @@ def test_statistics(spark, four_days, tmp_path):
     spark.sql("DROP TABLE bars_stats")
 
 
-def test_compaction(spark, four_days, tmp_path):
-    small, whole = str(tmp_path / "small"), str(tmp_path / "whole")
-    with_day(four_days).repartition(6).write.partitionBy("tstamp_date").option("path", small).saveAsTable("bars_small")
-    assert len(glob.glob(f"{small}/*/*.parquet")) == 24
-    assert compact(spark, "bars_small", whole).first().n_rows == 1152
-    assert len(glob.glob(f"{whole}/*/*.parquet")) == 4
+def small_files(spark, bars, home, name):
+    """A table with a file per day, but for one day that has six."""
+    dated = with_day(bars)
+    many = F.col("tstamp_date") == "2025-09-30"
+    for part in (dated.where(~many).repartition("tstamp_date"), dated.where(many).repartition(6)):
+        part.write.mode("append").partitionBy("tstamp_date").option("path", home).saveAsTable(name)
+
+
+def days_of(home):
+    return {d: set(os.listdir(f"{home}/{d}")) for d in os.listdir(home) if d.startswith("tstamp_date")}
+
+
+def test_compaction_rewrites_days_of_small_files_only(spark, four_days, tmp_path):
+    home, staging = str(tmp_path / "small"), str(tmp_path / "staging")
+    small_files(spark, four_days, home, "bars_small")
+    before = days_of(home)
+    assert compact(spark, "bars_small", staging).first().n_rows == 1152
+    after = days_of(home)
+    changed = {d for d in before if before[d] != after[d]}
+    assert changed == {"tstamp_date=2025-09-30"}
+    assert len([f for f in after["tstamp_date=2025-09-30"] if f.endswith(".parquet")]) == 1
     table = spark.table("bars_small")
-    assert {f.split("/tstamp_date")[0] for f in table.inputFiles()} == {f"file://{whole}"}
-    assert table.drop("tstamp_date").exceptAll(four_days).isEmpty()
+    assert table.drop("tstamp_date").exceptAll(four_days).isEmpty() and table.count() == 1152
     assert time_range(table, "2025-10-02").count() == 287
-    assert not spark.catalog.tableExists("bars_small_compacted")
+    assert not os.path.exists(staging)
+    # Nothing is left to do.
+    compact(spark, "bars_small", staging)
+    assert days_of(home) == after
     spark.sql("DROP TABLE bars_small")
 
 
+@pytest.mark.parametrize(
+    "step", ["stage_small_days", "make_folder", "swap_staged_days", "after the swap", "in the swap"]
+)
+def test_a_compaction_that_stops_is_made_good(spark, four_days, tmp_path, monkeypatch, step):
+    home, staging = str(tmp_path / "small"), str(tmp_path / "staging")
+    small_files(spark, four_days, home, "bars_stop")
+    swap = layout.swap_staged_days
+
+    def stop(spark, table, staging, *rest):
+        if step == "after the swap":
+            swap(spark, table, staging)
+        if step == "in the swap":  # the day is gone and its new file not yet there
+            spark.sql(f"ALTER TABLE {table} DROP PARTITION (tstamp_date='2025-09-30')")
+            shutil.rmtree(f"{home}/tstamp_date=2025-09-30")
+        raise InterruptedError
+
+    def stop_folder(*args):
+        raise InterruptedError
+
+    with monkeypatch.context() as patch:
+        name = "swap_staged_days" if "the swap" in step else step
+        patch.setattr(layout, name, stop_folder if name == "make_folder" else stop)
+        with pytest.raises(InterruptedError):
+            compact(spark, "bars_stop", staging)
+    assert compact(spark, "bars_stop", staging).first().n_rows == 1152
+    table = spark.table("bars_stop")
+    assert table.drop("tstamp_date").exceptAll(four_days).isEmpty() and table.count() == 1152
+    assert all(len([f for f in files if f.endswith(".parquet")]) == 1 for files in days_of(home).values())
+    spark.sql("DROP TABLE bars_stop")
+
+
+def test_only_the_days_loaded_are_replaced(spark, bars_of, tmp_path):
+    home = str(tmp_path / "t")
+    write_warehouse(bars_of(("2025-09-02", 1.0, 1), ("2025-09-03", 2.0, 1)), home, "bars_days")
+    write_warehouse(bars_of(("2025-09-03", 3.0, 1), ("2025-09-04", 4.0, 1)), home, "bars_days", days_only=True)
+    assert sorted(r.close for r in spark.table("bars_days").collect()) == [1.0, 3.0, 4.0]
+    write_warehouse(bars_of(("2025-09-04", 5.0, 1)), home, days_only=True)
+    assert sorted(r.close for r in scan_warehouse(spark, home).collect()) == [1.0, 3.0, 5.0]
+    spark.sql("DROP TABLE bars_days")
+
+
 def test_comparison(spark, four_days, tmp_path):
     plain, arranged = str(tmp_path / "plain"), str(tmp_path / "by_day")
     four_days.repartition(6).write.parquet(plain)
     write_warehouse(four_days, arranged)
-    row = compare_layouts(
-        spark, spark.read.parquet(plain), spark.read.parquet(arranged), "2025-10-02", str(tmp_path / "logs")
-    ).collect()
-    assert len(row) == 1
-    assert row[0].before_ms > 0 and row[0].after_ms > 0
-    assert (row[0].before_files, row[0].after_files) == (6, 1)
-    assert row[0].reduction.endswith("%")
+    (row,) = compare_layouts(spark, plain, arranged, "2025-10-02", str(tmp_path / "logs"), 3).collect()
+    assert row.runs == 3 and row.before_ms > 0 and row.after_ms > 0
+    assert row.least_pct <= row.most_pct and row.reduction.endswith("%")
+    assert (row.before_files, row.after_files) == (6, 1)
+    assert sorted(os.listdir(tmp_path / "logs")) == ["0", "1", "2"]
+
+
+def test_a_table_compared_with_itself_is_no_different(spark, four_days, tmp_path):
+    home = str(tmp_path / "t")
+    write_warehouse(four_days, home)
+    (row,) = compare_layouts(spark, home, home, "2025-10-01", str(tmp_path / "logs"), 9).collect()
+    assert not row.beyond_noise and row.least_pct < 0 < row.most_pct
+    assert row.before_files == row.after_files == 2
 
 
 def test_report_tolerates_missing_logs(spark, tmp_path):
@@ -210,7 +280,8 @@ def test_daily_load(spark, tmp_path):
     )
     for _ in range(2):
         lines = scan_lines(spark, str(raw / "stock_IBM_*.csv"), identity=True)
-        assert run_daily_load(lines, targets).first().n_rows == 2
+        row = run_daily_load(lines, targets).first()
+        assert row.asDict() == {"n_rows": 2, "lines": 7, "headers": 2, "malformed": 1, "unnamed": 0}
     assert sorted(r.volume for r in spark.table("bars_loaded").collect()) == [6, 7]
     means = {r.timestamp: r.avg_close for r in spark.table("bars_averaged").collect()}
     assert means == {"2025-09-30 04:00:00": 1.6, "2025-09-30 04:05:00": 2.5, "2025-10-01 04:00:00": 3.5}
@@ -220,5 +291,63 @@ def test_daily_load(spark, tmp_path):
     taken = ingest_landing(spark, str(raw), str(tmp_path / "lines"), str(tmp_path / "checkpoint"))
     assert run_daily_load(taken, targets, "line").first().n_rows == 2
     assert sorted(r.volume for r in spark.table("bars_loaded").collect()) == [6, 7]
+    with pytest.raises(Exception, match="no timestamp"):
+        bad = taken.withColumn("line", F.regexp_replace("line", "^2025-10", "soon"))
+        run_daily_load(bad, targets, "line", strict_timestamps=True)
     for table in ("bars_loaded", "bars_averaged"):
         spark.sql(f"DROP TABLE {table}")
+
+
+def test_symbols_do_not_take_each_others_bars(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for symbol, close in (("IBM", 1.5), ("BRK_B", 2.5)):
+        times = ("2025-09-30 04:00:00", "2025-09-30 04:05:00")
+        lines = [HEADER, *(f"{t},1,1,1,{close},5" for t in times)]
+        (raw / f"stock_{symbol}_20250930_100000.csv").write_text("\n".join(lines))
+    (raw / "stock_IBM_20250930_090000.csv").write_text("2025-09-30 04:00:00,1,1,1,9.5,5")
+    (raw / "stock_latest.csv").write_text("2025-09-30 04:00:00,1,1,1,7.5,5")
+    targets = LoadTargets(*(str(tmp_path / d) for d in ("cleaned", "warehouse", "averages")), "bars_two", "means_two")
+    scanned = scan_lines(spark, str(raw), identity=True, strict=False)
+    row = run_daily_load(scanned, targets).first()
+    assert (row.n_rows, row.unnamed, row.headers) == (4, 1, 2)
+    bars = scan_warehouse(spark, targets.warehouse, BAR_OF_SYMBOL)
+    assert sorted((r.symbol, r.tstamp.minute, r.close) for r in bars.collect()) == [
+        ("BRK_B", 0, 2.5),
+        ("BRK_B", 5, 2.5),
+        ("IBM", 0, 1.5),
+        ("IBM", 5, 1.5),
+    ]
+    assert load_bars(scanned).count() == 4
+    means = {(r.symbol, r.timestamp): r.avg_close for r in spark.table("means_two").collect()}
+    assert means["BRK_B", "2025-09-30 04:00:00"] == 2.5 and len(means) == 4
+    for table in ("bars_two", "means_two"):
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_load_into_a_relational_table(spark, lines_of, tmp_path, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(load, "write_jdbc", lambda bars, options: seen.update(options, rows=bars.count()))
+    options = {"url": "jdbc:x:y", "dbtable": "bars", "driver": "a.B", "numPartitions": "4"}
+    paths = (str(tmp_path / d) for d in ("cleaned", "warehouse", "averages"))
+    targets = LoadTargets(*paths, averages_table="means_jdbc", jdbc=options)
+    row = run_daily_load(lines_of("2025-09-30 04:00:00,1,1,1,1.5,5", "2025-09-30 04:05:00,1,1,1,1,0"), targets).first()
+    assert row.n_rows == 1 and seen == {**options, "rows": 1}
+    assert not os.path.exists(targets.warehouse)
+    spark.sql("DROP TABLE means_jdbc")
+
+
+def test_nothing_landed_nothing_loaded(spark, lines_of, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    args = (spark, str(landing), str(tmp_path / "lines"), str(tmp_path / "checkpoint"))
+    taken = ingest_landing(*args)
+    assert taken.columns == ["line", "symbol", "snapshot"] and taken.count() == 0
+    targets = LoadTargets(*(str(tmp_path / d) for d in ("cleaned", "warehouse", "averages")), "bars_none", "means_none")
+    assert run_daily_load(taken, targets, "line").first().n_rows == 0
+    assert scan_warehouse(spark, targets.warehouse, BAR_OF_SYMBOL).count() == 0
+    (landing / "stock_IBM_20250923_040000.csv").write_text("2025-09-23 04:00:00,1,1,1,1.5,0\n")
+    assert run_daily_load(ingest_landing(*args), targets, "line").first().n_rows == 0
+    assert time_range(scan_warehouse(spark, targets.warehouse, BAR_OF_SYMBOL), "2025-01-01").count() == 0
+    for table in ("bars_none", "means_none"):
+        spark.sql(f"DROP TABLE {table}")
