@@ -338,7 +338,8 @@ def sanitised(documents: DataFrame) -> DataFrame:
         if name == "text":
             columns[i] = F.col("text")
         elif name == "n_chars":
-            columns[i] = F.length("text").cast(documents.schema[name].dataType).alias(name)
+            length = F.length("text").cast(documents.schema[name].dataType)
+            columns[i] = F.coalesce(length, columns[i]).alias(name)
     return marked.select(*columns)
 
 

@@ -1,7 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A document is the set of its hashed lower-case words, each weighted by how rare it is. The machine
-adds a weight per term and, for each pair of terms, the inner product of their factors, so that
+A document is the set of its hashed lower-case words, of which those count that tell toxic documents
+from others. The machine adds a weight per term and, for each pair of terms, the inner product of their factors, so that
 two terms may count for more together than apart. It is fitted on a bounded sample of labelled
 documents in one task, which returns tables of fixed size; every text is then scored whole.
 """
@@ -58,30 +58,29 @@ def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Machine:
-    """Weights by slot: rarity (0: unknown term), linear weight, factors; and the bias."""
+    """By slot: whether it is known (0 or 1), its weight, its factors; and the bias."""
 
-    def __init__(self, bias: float, rarity: np.ndarray, linear: np.ndarray, factors: np.ndarray):
-        self.bias, self.rarity, self.linear, self.factors = bias, rarity, linear, factors
+    def __init__(self, bias: float, known: np.ndarray, linear: np.ndarray, factors: np.ndarray):
+        self.bias, self.known, self.linear, self.factors = bias, known, linear, factors
 
     def score(self, slots: np.ndarray) -> float:
-        x = self.rarity[slots]
-        slots, x = slots[x > 0], x[x > 0]
-        vx = self.factors[slots] * x[:, None]
-        pairs = 0.5 * (vx.sum(0) ** 2 - (vx**2).sum(0)).sum()
-        total = self.bias + float((self.linear[slots] * x).sum()) + float(pairs)
+        slots = slots[self.known[slots] > 0]
+        v = self.factors[slots]
+        pairs = 0.5 * (v.sum(0) ** 2 - (v**2).sum(0)).sum()
+        total = self.bias + float(self.linear[slots].sum()) + float(pairs)
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
     def to_bytes(self) -> bytes:
         return b"".join(
             np.ascontiguousarray(a, np.float32).tobytes()
-            for a in (np.array([self.bias]), self.rarity, self.linear, self.factors)
+            for a in (np.array([self.bias]), self.known, self.linear, self.factors)
         )
 
     @classmethod
     def from_bytes(cls, blob: bytes) -> Machine:
         flat = np.frombuffer(blob, np.float32)
-        rarity, linear = flat[1 : 1 + SLOTS], flat[1 + SLOTS : 1 + 2 * SLOTS]
-        return cls(float(flat[0]), rarity, linear, flat[1 + 2 * SLOTS :].reshape(SLOTS, FACTORS))
+        known, linear = flat[1 : 1 + SLOTS], flat[1 + SLOTS : 1 + 2 * SLOTS]
+        return cls(float(flat[0]), known, linear, flat[1 + 2 * SLOTS :].reshape(SLOTS, FACTORS))
 
 
 def _without_copies(rows: list[np.ndarray], labels: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -100,17 +99,17 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
     """Logistic loss, mini-batches in a fixed order, step sizes by past gradients (AdaGrad)."""
     rows, labels = _without_copies(rows, labels)
     n = len(rows)
-    rarity = np.zeros(SLOTS, np.float32)
+    marked = np.zeros(SLOTS, np.float32)
     linear, factors = np.zeros(SLOTS, np.float32), np.zeros((SLOTS, FACTORS), np.float32)
     if not n:
-        return Machine(0.0, rarity, linear, factors)
+        return Machine(0.0, marked, linear, factors)
     seen = np.bincount(np.concatenate(rows), minlength=SLOTS)
     toxic = np.bincount(np.concatenate([r if y else r[:0] for r, y in zip(rows, labels)]), minlength=SLOTS)
     share = (labels.sum() + 1) / (n + 2)
     bias = float(np.log(share / (1 - share)))
     deviations = np.abs(toxic - share * seen) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
     known = np.flatnonzero((seen >= max(LEAST_DOCUMENTS, LEAST_SHARE * n)) & (deviations >= LEAST_DEVIATIONS))
-    rarity[known] = (np.log((n + 1) / (seen[known] + 1)) / np.log(n + 1)).clip(1e-3)
+    marked[known] = 1
     place = np.full(SLOTS, -1)
     place[known] = np.arange(len(known))
     random = np.random.default_rng(7)
@@ -125,8 +124,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
             sizes = np.array([len(kept[i]) for i in chosen])
             flat = np.concatenate([kept[i] for i in chosen])
             doc = np.repeat(np.arange(len(chosen)), sizes)
-            x = rarity[known[flat]].astype(float)
-            vx = v[flat] * x[:, None]
+            vx = v[flat]
             sums = np.zeros((len(chosen), FACTORS))
             squares = np.zeros(len(chosen))
             full = np.flatnonzero(sizes)
@@ -134,10 +132,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
                 starts = np.r_[0, np.cumsum(sizes[full])[:-1]]
                 sums[full] = np.add.reduceat(vx, starts)
                 squares[full] = np.add.reduceat((vx**2).sum(1), starts)
-            linear_part = np.bincount(doc, w[flat] * x, len(chosen))
+            linear_part = np.bincount(doc, w[flat], len(chosen))
             total = bias + linear_part + 0.5 * ((sums**2).sum(1) - squares)
             error = 1 / (1 + np.exp(-np.clip(total, -30, 30))) - labels[chosen]
-            e = error[doc] * x
+            e = error[doc]
             gw = np.bincount(flat, e, len(w)) / len(chosen)
             inner = e[:, None] * (sums[doc] - vx)
             gv = np.stack([np.bincount(flat, inner[:, k], len(w)) for k in range(FACTORS)], 1) / len(chosen)
@@ -151,7 +149,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
             past_b += error.mean() ** 2
             bias -= 0.1 * STEP * error.mean() / np.sqrt(past_b)
     linear[known], factors[known] = w, v
-    return Machine(float(bias), rarity, linear, factors)
+    return Machine(float(bias), marked, linear, factors)
 
 
 def _fit_group(rows: pa.Table) -> pa.Table:

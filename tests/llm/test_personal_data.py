@@ -79,7 +79,7 @@ def test_terms_that_disclose(spark):
 
 
 def test_sanitised(spark):
-    rows = disclosing() + [(400, TEXTS[4]), (401, None), (402, "")]
+    rows = disclosing() + [(400, "+1 (743) 555-3824 a@1.2.3.4"), (401, None), (402, "")]
     documents = frame(spark, rows)
     left = ops.sanitised(documents)
     assert left.schema == documents.schema
