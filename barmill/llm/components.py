@@ -21,8 +21,9 @@ def connected(edges: DataFrame) -> DataFrame:
     while True:
         both = links.select(F.col("v").alias("x"), F.col("u").alias("y")).union(links.select("u", "v"))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        larger = both.where("y > x").join(least, "x").select(F.col("y").alias("v"), F.col("m").alias("u"))
-        larger = larger.distinct()
+        # A node that is the least of its neighbours, such as one with very many, changes nothing.
+        moved = least.where("m < x").withColumnRenamed("x", "u")
+        larger = links.join(moved, "u", "left").select("v", F.coalesce("m", "u").alias("u")).distinct()
         least = larger.groupBy("v").agg(F.min("u").alias("m"))
         smaller = larger.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("v > u")
         links = written(smaller.union(least.select("v", F.col("m").alias("u"))).distinct(), "links")
