@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from barmill.llm.common import batches_of, prepare, table, trimmed
+from barmill.llm.common import batches_of, prepare, table, trim, trimmed
 
 #: Context sizes, all powers of two.
 LARGEST, SMALLEST = 4096, 64
@@ -179,6 +179,8 @@ def _piece_rows(vocabulary: str, with_ids: bool):
             if with_ids:
                 columns["ids"] = pa.array([data[a : a + n] for a, n in zip(at, length)], pa.list_(pa.int32()))
             yield from pa.table(columns).to_batches()
+            del some, ids, data, columns
+            trim()
 
     return rows
 

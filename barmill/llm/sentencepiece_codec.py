@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.common import batches_of, prepare, table, texts, trimmed
+from barmill.llm.common import batches_of, prepare, table, texts, trim, trimmed
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -218,6 +218,8 @@ def _encode_rows(path: str, kind: str):
                 ids = pa.array(pieces.encode(texts(part["text"])), pa.list_(pa.int32()))
                 out = pa.table({"doc_id": part["doc_id"], "text": part["text"], "ids": ids})
                 yield from out.to_batches(max_chunksize=500)
+                del part, ids, out
+                trim()
 
     return rows
 
