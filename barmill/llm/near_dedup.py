@@ -269,3 +269,32 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
 
 def op4_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP4_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(
+           string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(
+           CASE WHEN len(w) >= 5
+                THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n
+  HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))),
+reach(x, y) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
+LEFT JOIN sizes USING (doc_id)
+"""
