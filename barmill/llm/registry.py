@@ -7,7 +7,7 @@ from barmill.llm.near_dedup import OP4_SQL, op4_near_dedup
 from barmill.llm.packing import op8_packing
 from barmill.llm.personal_data import op10_personal_data
 from barmill.llm.quality import op2_quality
-from barmill.llm.repeated_passages import op1_repeated_passages
+from barmill.llm.repeated_passages import OP1_SQL, op1_repeated_passages
 from barmill.llm.sentencepiece_codec import op3_sentencepiece
 from barmill.llm.topk_search import OP9_SQL, op9_topk_search
 from barmill.llm.toxicity import op5_toxicity
@@ -27,6 +27,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_repeated_passages": OP1_SQL,
     "op4_near_dedup": OP4_SQL,
     "op6_warc": OP6_SQL,
     "op7_exact_dedup": OP7_SQL,
