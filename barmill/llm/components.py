@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from barmill.llm.common import written
 
+#: Tasks that the neighbours of one node are spread over.
+SALTS = 8
+
 
 def connected(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the least node it is connected with, for every node of an edge.
@@ -22,8 +25,11 @@ def connected(edges: DataFrame) -> DataFrame:
         both = links.select(F.col("v").alias("x"), F.col("u").alias("y")).union(links.select("u", "v"))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
         # A node that is the least of its neighbours, such as one with very many, changes nothing.
-        moved = least.where("m < x").withColumnRenamed("x", "u")
-        larger = links.join(moved, "u", "left").select("v", F.coalesce("m", "u").alias("u")).distinct()
+        # Its neighbours are still spread over several tasks.
+        every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        moved = least.where("m < x").select(F.col("x").alias("u"), "m", every)
+        salted = links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+        larger = salted.join(moved, ["u", "salt"], "left").select("v", F.coalesce("m", "u").alias("u")).distinct()
         least = larger.groupBy("v").agg(F.min("u").alias("m"))
         smaller = larger.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("v > u")
         links = written(smaller.union(least.select("v", F.col("m").alias("u"))).distinct(), "links")
