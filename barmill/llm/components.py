@@ -27,7 +27,8 @@ def connected(edges: DataFrame) -> DataFrame:
         # A node that is the least of its neighbours, such as one with very many, changes nothing.
         # Its neighbours are still spread over several tasks.
         every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-        moved = least.where("m < x").select(F.col("x").alias("u"), "m", every)
+        # Spark does not foresee how much the copies add up to, so they are kept from a broadcast.
+        moved = least.where("m < x").select(F.col("x").alias("u"), "m", every).hint("merge")
         salted = links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
         larger = salted.join(moved, ["u", "salt"], "left").select("v", F.coalesce("m", "u").alias("u")).distinct()
         least = larger.groupBy("v").agg(F.min("u").alias("m"))
