@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barmill.llm.common import prepare, table, texts, trimmed, written
+from barmill.llm.common import mix64, prepare, table, texts, trimmed, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -28,9 +28,11 @@ KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT_WORDS, CONTEXT_CHARS = 8, 160
 #: Documents that must show a term next to the value.
 LEAST_DOCUMENTS = 3
-#: The words before the term must be as mixed as so many equally frequent ones (inverse Simpson
-#: index). Copies of one passage show the same neighbours and so are one piece of evidence.
-LEAST_VARIETY = 2.5
+#: The pieces of evidence they must be. Each document has this many labels, least hashes of the words
+#: around the term; two documents share a label with the probability of their similarity. The
+#: evidence is the number of distinct labels, so copies of one passage are one piece of it.
+LABELS = 8
+LEAST_EVIDENCE = 2.5
 THRESHOLD = 0.9
 
 #: Words that a task remembers the answer for.
@@ -94,51 +96,72 @@ def _is_term(word: str) -> bool:
     return len(word) >= 3 and not word.isdigit()
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]]) -> set[tuple[str, str, str]]:
-    """Value, term near it and the word before the term; words within base spans do not count."""
-    found = set()
+def contexts(text: str, spans: list[tuple[str, int, int]]) -> dict[tuple[str, str], set[str]]:
+    """By value and term near it, the words around the term; words within base spans are no terms.
+
+    Those are the words on the same side of the value, and on the other one if the text ends so
+    soon that there are fewer than ``CONTEXT_WORDS``.
+    """
+    found: dict[tuple[str, str], set[str]] = {}
     covered = sorted((a, b) for _, a, b in spans)
     for kind, start, end in spans:
         value = text[start:end].lower() if kind in ("email", "ip") else _NOT_DIGIT.sub("", text[start:end])
         lo, hi = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS)
+        sides = []
         for a, b, side in ((lo, start, -1), (end, hi, 1)):
             words = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text, a, b)]
             if words and lo == a and side < 0 and lo and words[0][1] == lo:
                 words = words[1:]  # perhaps cut
             if words and side > 0 and hi < len(text) and words[-1][2] == hi:
                 words = words[:-1]
-            near = words[-CONTEXT_WORDS:] if side < 0 else words[:CONTEXT_WORDS]
-            for i, (word, x, y) in enumerate(near):
+            sides.append(words[::side])  # the nearest first
+        for words, others in (sides, sides[::-1]):
+            around = words + others[: max(0, CONTEXT_WORDS - len(words))]
+            for word, x, y in words[:CONTEXT_WORDS]:
                 if _is_term(word) and not any(x < q and p < y for p, q in covered):
-                    before = near[i - 1][0] if i else ""
-                    found.add((f"{kind}:{value}", word, before))
+                    rest = found.setdefault((f"{kind}:{value}", word), set())
+                    rest.update(w for w, _, _ in around if w != word)
     return found
 
 
+_SEEDS = mix64(np.arange(1, LABELS + 1, dtype=np.uint64))
+
+
+def _labels(words: set[str]) -> list[int]:
+    """The least hash of the words, for each of the hash functions."""
+    if not words:
+        return [0] * LABELS
+    h = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words], np.uint64)
+    return mix64(h[:, None] ^ _SEEDS).min(0).astype(np.int64).tolist()
+
+
 @trimmed
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task: in how many documents each value, term and word before it stand together."""
+    """Per task: in how many documents each value and term stand together, with each label.
+
+    Place -1 counts the documents; rows without a term count those of the value.
+    """
     counts: Counter = Counter()
-    values: Counter = Counter()
 
-    def rows(items):
-        keys = list(items)
-        columns = [pa.array([k[i] for k in keys], pa.string()) for i in range(3)]
-        return pa.RecordBatch.from_arrays(
-            [*columns, pa.array([items[k] for k in keys], pa.int64())], ["value", "term", "before", "n"]
-        )
+    def rows():
+        columns = list(zip(*counts)) or [()] * 4
+        types = (pa.string(), pa.string(), pa.int32(), pa.int64())
+        arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+        arrays.append(pa.array(counts.values(), pa.int64()))
+        return pa.RecordBatch.from_arrays(arrays, ["value", "term", "place", "label", "n"])
 
     for batch in batches:
         for text in texts(batch["text"]):
             if spans := base_spans(text):
                 found = contexts(text, spans)
-                counts.update(found)
-                values.update({v for v, _, _ in found})
-        if len(counts) > 200_000:
-            yield rows(counts)
-            counts.clear()
-    yield rows(counts)
-    yield rows({(v, None, None): n for v, n in values.items()})
+                for (value, term), words in found.items():
+                    counts[value, term, -1, 0] += 1
+                    counts.update((value, term, i, label) for i, label in enumerate(_labels(words)))
+                counts.update((value, None, -1, 0) for value in {v for v, _ in found})
+            if len(counts) > 200_000:
+                yield rows()
+                counts.clear()
+    yield rows()
 
 
 def _bits(words: list[str]) -> np.ndarray:
@@ -211,19 +234,20 @@ def disclosing_terms(documents: DataFrame) -> DataFrame:
     prepare(spark)
     chosen = documents.select(F.col("text").cast("string"))
     near = written(
-        chosen.mapInArrow(_context_rows, "value string, term string, before string, n bigint")
-        .groupBy("value", "term", "before")
+        chosen.mapInArrow(_context_rows, "value string, term string, place int, label bigint, n bigint")
+        .groupBy("value", "term", "place", "label")
         .agg(F.sum("n").alias("n")),
         "contexts",
     )
     values = near.where("term IS NULL").select("value", F.col("n").alias("value_n"))
-    # A document may show a term after several words; counting it more than once only raises p(c|t),
-    # which is cut at 1, so the variety and the documents are asked for on top.
     pairs = (
         near.where("term IS NOT NULL")
         .groupBy("value", "term")
-        .agg(F.sum("n").alias("pair_n"), (F.sum("n") ** 2 / F.sum(F.col("n") * F.col("n"))).alias("variety"))
-        .where((F.col("pair_n") >= LEAST_DOCUMENTS) & (F.col("variety") >= LEAST_VARIETY))
+        .agg(
+            F.sum(F.when(F.col("place") < 0, F.col("n"))).alias("pair_n"),
+            (F.count_if(F.col("place") >= 0) / LABELS).alias("evidence"),
+        )
+        .where((F.col("pair_n") >= LEAST_DOCUMENTS) & (F.col("evidence") >= LEAST_EVIDENCE))
     )
     candidates = written(pairs.join(values, "value"), "pairs")
     shared = spark.sparkContext.broadcast(word_filter(candidates.select("term").distinct()))
