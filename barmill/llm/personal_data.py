@@ -3,12 +3,14 @@
 Patterns find e-mail addresses, IP numbers, cards and phones. Words that stand near such a value
 in several independent places, and hardly anywhere without it, disclose it as well: a term t
 discloses value c if PMI(c; t) is at least ``THRESHOLD`` of the information content of c, which is
-the same as p(c|t) >= p(c) ** (1 - THRESHOLD). All counts are over all documents. A filter of
-fixed size tells tasks which words to look at; the exact decision is a join.
+the same as p(c|t) >= p(c) ** (1 - THRESHOLD), and if chance does not bring them together as often.
+All counts are over all documents. A filter of fixed size tells tasks which words to look at; the
+exact decision is a join.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -26,13 +28,10 @@ KINDS = ("email", "ip", "card", "phone", "term")
 
 #: Words on either side of a value that count as its context, within so many characters.
 CONTEXT_WORDS, CONTEXT_CHARS = 8, 160
-#: Documents that must show a term next to the value.
-LEAST_DOCUMENTS = 3
-#: The pieces of evidence they must be. Each document has this many labels, least hashes of the words
-#: around the term; two documents share a label with the probability of their similarity. The
-#: evidence is the number of distinct labels, so copies of one passage are one piece of it.
+#: Each document has this many labels, least hashes of the words around the term; two documents share
+#: a label with the probability of their similarity. The evidence is the number of distinct labels,
+#: so copies of one passage are one piece of it.
 LABELS = 8
-LEAST_EVIDENCE = 2.5
 THRESHOLD = 0.9
 
 #: Words that a task remembers the answer for.
@@ -41,6 +40,9 @@ MOST_WORDS = 150_000
 #: Bits of the word filter, whatever the number of words.
 FILTER_BITS = 1 << 22
 
+#: Unit in which shares of a document's terms are added up, so that sums do not depend on the order.
+SHARE = 1 << 20
+
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -139,7 +141,8 @@ def _labels(words: set[str]) -> list[int]:
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: in how many documents each value and term stand together, with each label.
 
-    Place -1 counts the documents; rows without a term count those of the value.
+    Place -1 counts the documents; rows without a term count those of the value, and at place -2
+    they add up what share of the terms of these documents stands near it.
     """
     counts: Counter = Counter()
 
@@ -157,7 +160,11 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 for (value, term), words in found.items():
                     counts[value, term, -1, 0] += 1
                     counts.update((value, term, i, label) for i, label in enumerate(_labels(words)))
-                counts.update((value, None, -1, 0) for value in {v for v, _ in found})
+                near = Counter(value for value, _ in found)
+                distinct = len({w for w in _WORD.findall(text.lower()) if _is_term(w)}) if near else 0
+                for value, n in near.items():
+                    counts[value, None, -1, 0] += 1
+                    counts[value, None, -2, 0] += max(1, round(SHARE * min(1, n / max(distinct, 1))))
             if len(counts) > 200_000:
                 yield rows()
                 counts.clear()
@@ -228,8 +235,25 @@ def _count_rows(shared):
     return rows
 
 
+def _surprise():
+    """Bits of the chance, by Chernoff's bound, that so many documents with the term have it near the value.
+
+    ``chance`` is that of any term in any document. The first document is why the pair is looked at
+    and so proves nothing; documents that are copies count neither for nor against.
+    """
+    more = F.col("evidence") - 1
+    without = F.greatest(F.col("term_n") - F.col("pair_n"), F.lit(0))
+    found, chance = more / F.greatest(more + without, F.lit(1e-9)), F.col("chance")
+    rest = F.when(without > 0, without * F.log2((1 - found) / (1 - chance))).otherwise(F.lit(0.0))
+    return F.when((more > 0) & (found > chance), more * F.log2(found / chance) + rest).otherwise(F.lit(0.0))
+
+
 def disclosing_terms(documents: DataFrame) -> DataFrame:
-    """``term`` and the greatest ``disclosure`` (0 to 1) of any value it gives away."""
+    """``term`` and the greatest ``disclosure`` (0 to 1) of any value it gives away.
+
+    Of all pairs of a term and a value that is in two documents or more, less than one is expected
+    to pass by accident.
+    """
     spark = documents.sparkSession
     prepare(spark)
     chosen = documents.select(F.col("text").cast("string"))
@@ -239,7 +263,16 @@ def disclosing_terms(documents: DataFrame) -> DataFrame:
         .agg(F.sum("n").alias("n")),
         "contexts",
     )
-    values = near.where("term IS NULL").select("value", F.col("n").alias("value_n"))
+    total = max(chosen.count(), 1)
+    values = (
+        near.where("term IS NULL")
+        .groupBy("value")
+        .agg(
+            F.sum(F.when(F.col("place") == -1, F.col("n"))).alias("value_n"),
+            (F.sum(F.when(F.col("place") == -2, F.col("n"))) / F.lit(SHARE * total)).alias("chance"),
+        )
+        .where("value_n > 1")
+    )
     pairs = (
         near.where("term IS NOT NULL")
         .groupBy("value", "term")
@@ -247,20 +280,22 @@ def disclosing_terms(documents: DataFrame) -> DataFrame:
             F.sum(F.when(F.col("place") < 0, F.col("n"))).alias("pair_n"),
             (F.count_if(F.col("place") >= 0) / LABELS).alias("evidence"),
         )
-        .where((F.col("pair_n") >= LEAST_DOCUMENTS) & (F.col("evidence") >= LEAST_EVIDENCE))
     )
-    candidates = written(pairs.join(values, "value"), "pairs")
+    pairs = written(pairs.join(values, "value"), "pairs")
+    needed = math.log2(max(pairs.count(), 1))
+    # No pair has more bits than this, which it has if the term is only near the value.
+    candidates = pairs.where((F.col("evidence") - 1) * -F.log2("chance") >= needed)
     shared = spark.sparkContext.broadcast(word_filter(candidates.select("term").distinct()))
-    total = chosen.count()
     seen = (
         chosen.mapInArrow(_count_rows(shared), "term string, n bigint")
         .groupBy("term")
         .agg(F.sum("n").alias("term_n"))
     )
     given = F.least(F.col("pair_n") / F.col("term_n"), F.lit(1.0))
-    content = -F.log2(F.col("value_n") / F.lit(max(total, 1)))
+    content = -F.log2(F.col("value_n") / F.lit(total))
     share = F.when(content > 0, 1 + F.log2(given) / content).otherwise(F.lit(0.0))
-    scored = candidates.join(seen, "term").groupBy("term").agg(F.max(share).alias("disclosure"))
+    sure = candidates.join(seen, "term").where(_surprise() >= needed)
+    scored = sure.groupBy("term").agg(F.max(share).alias("disclosure"))
     return scored.where(F.col("disclosure") >= THRESHOLD)
 
 

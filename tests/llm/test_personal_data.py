@@ -99,6 +99,16 @@ def test_terms_with_a_fixed_neighbour(spark):
     assert not {"Copyword", "Nearcopyword"} & found
 
 
+def test_terms_of_rare_values(spark):
+    """Two documents that have nothing else in common are evidence; two copies, or one document, are not."""
+    rows = [(i, prose(i, 20)) for i in range(3000)]
+    for i in range(2):
+        p = [prose(5000 + 9 * i + k, 30) for k in range(3)]
+        rows += [(4000 + i, f"{p[0]} Zanzibarov one@mail.example.com {p[1]}"), (4100 + i, f"{p[2]} two@mail.example.com Copyword {prose(9, 30)}")]
+    rows += [(4200, f"{prose(6000, 30)} Onceword three@mail.example.com {prose(6001, 30)}")]
+    assert found_terms(spark, rows) == {"Zanzibarov"}
+
+
 def test_sanitised(spark):
     rows = disclosing() + [(400, "+1 (743) 555-3824 a@1.2.3.4"), (401, None), (402, "")]
     documents = frame(spark, rows)
