@@ -31,6 +31,10 @@ TRAINING_ROWS = 12_000
 LEAST_DOCUMENTS = 5
 LEAST_SHARE = 0.001
 LEAST_DEVIATIONS = 4.5
+#: Of the training documents of one label that share so much of their slots, the first is kept.
+COPY = 0.8
+#: Bands of three least hashes by which they are found, and documents of a band that are compared.
+COPY_BANDS, COPY_TRIES = 8, 8
 EPOCHS = 40
 BATCH = 256
 STEP = 0.2
@@ -83,15 +87,46 @@ class Machine:
         return cls(float(flat[0]), known, linear, flat[1 + 2 * SLOTS :].reshape(SLOTS, FACTORS))
 
 
+def _least_hashes(rows: list[np.ndarray]) -> np.ndarray:
+    """For each row and each of ``COPY_BANDS`` bands, the three least hashes as one number; rows are not empty."""
+    starts = np.r_[0, np.cumsum([len(r) for r in rows])[:-1]]
+    flat = np.concatenate(rows).astype(np.uint64)
+    keys = np.zeros((len(rows), COPY_BANDS), np.uint64)
+    for seed in range(3 * COPY_BANDS):
+        least = np.minimum.reduceat(mix64(flat + mix64(np.array([seed + 1], np.uint64))), starts)
+        keys[:, seed // 3] = mix64(keys[:, seed // 3] ^ least)
+    return keys
+
+
 def _without_copies(rows: list[np.ndarray], labels: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """One of the documents that share their three least hashed slots.
+    """Documents but those that are ``COPY`` similar to one kept, of the same label.
 
-    Copies and most near copies go, which would pass for independent evidence.
+    They would pass for independent evidence. Bands only pick the kept rows to compare with, the
+    last ``COPY_TRIES`` of a band; what is not found to be a copy stays.
     """
-    first: dict[tuple, int] = {}
+    full = [i for i, r in enumerate(rows) if len(r)]
+    keys = dict(zip(full, _least_hashes([rows[i] for i in full]).tolist())) if full else {}
+    kept, bands, empty = [], {}, set()
+    mark = np.zeros(SLOTS, bool)
     for i, slots in enumerate(rows):
-        first.setdefault(tuple(np.sort(mix64(slots.astype(np.uint64)))[:3]), i)
-    kept = sorted(first.values())
+        if not len(slots):
+            if labels[i] not in empty:
+                kept.append(i)
+            empty.add(labels[i])
+            continue
+        names = [(k, key, labels[i]) for k, key in enumerate(keys[i])]
+        mark[slots] = True
+        copy = False
+        for j in {j for name in names for j in bands.get(name, ())}:
+            common = int(mark[rows[j]].sum())
+            copy = common >= COPY * (len(slots) + len(rows[j]) - common)
+            if copy:
+                break
+        mark[slots] = False
+        if not copy:
+            kept.append(i)
+            for name in names:
+                bands[name] = (*bands.get(name, ()), i)[-COPY_TRIES:]
     return [rows[i] for i in kept], labels[kept]
 
 

@@ -37,6 +37,18 @@ def test_pairs_count_for_more_than_their_terms():
     assert abs(again.score(both) - machine.score(both)) < 1e-6
 
 
+def test_only_copies_of_the_same_label_are_dropped():
+    """Documents under one boilerplate stay, also toxic ones behind a clean one; copies go."""
+    boilerplate = prose(1, 12)
+    texts = [f"{boilerplate} {prose(100 + i, 8)}" for i in range(300)]
+    texts += [f"{prose(2, 60)} end{i}" for i in range(20)]
+    labels = np.array([i % 3 == 2 for i in range(300)] + [i % 2 for i in range(20)], float)
+    rows, left = ops._without_copies([ops.slots_of(t).astype(int) for t in texts], labels)
+    assert len(rows) == 302 and left.sum() == 101
+    empty = [np.empty(0, int)] * 3
+    assert len(ops._without_copies(empty, np.array([0.0, 1.0, 0.0]))[0]) == 2
+
+
 def test_edges(spark):
     machine = ops.train(spark.read.parquet(f"{GIVEN}/documents.parquet"), spark.read.parquet(f"{GIVEN}/labels.parquet"), 500)
     rows = edges()
