@@ -1,7 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A document is the set of its hashed lower-case words, of which those count that tell toxic documents
-from others. The machine adds a weight per term and, for each pair of terms, the inner product of their factors, so that
+from others, alone or in a pair. The machine adds a weight per term and, for each pair of terms, the inner product of their factors, so that
 two terms may count for more together than apart. It is fitted on a bounded sample of labelled
 documents in one task, which returns tables of fixed size; every text is then scored whole.
 """
@@ -27,7 +27,9 @@ STEM = 5
 #: Most labelled documents that are fitted on: those with the least hash of their id.
 TRAINING_ROWS = 12_000
 #: Slots seen in fewer training documents, or whose share of toxic documents is within so many
-#: standard deviations of the overall share, get no weight: what they teach is noise.
+#: standard deviations of the overall share, get no weight of their own: what they teach is noise.
+#: They get one if a share, their own or that of a pair they are in, is beyond chance even among
+#: as many as there are.
 LEAST_DOCUMENTS = 5
 LEAST_SHARE = 0.001
 LEAST_DEVIATIONS = 4.5
@@ -130,6 +132,63 @@ def _without_copies(rows: list[np.ndarray], labels: np.ndarray) -> tuple[list[np
     return [rows[i] for i in kept], labels[kept]
 
 
+def _bits(found: np.ndarray, n: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """Bits of the chance, by Chernoff's bound, of ``found`` among ``n`` or further from what is expected."""
+    share = found / np.maximum(n, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        one = np.where(found > 0, found * np.log2(share / chance), 0)
+        other = np.where(found < n, (n - found) * np.log2((1 - share) / (1 - chance)), 0)
+    return one + other
+
+
+def _paired(rows: list[np.ndarray], labels: np.ndarray, slots: np.ndarray, share: float) -> np.ndarray:
+    """Those of ``slots`` in a pair whose share of toxic documents neither of its terms accounts for.
+
+    A pair is held against the overall share, that of each term, and what their weights add up to,
+    whichever is nearest; of all pairs of ``slots`` less than one is expected to pass by accident.
+    """
+    chosen = np.zeros(SLOTS, bool)
+    if len(slots) < 2:
+        return np.flatnonzero(chosen)
+    needed = 2 * np.log2(len(slots))
+    seen = np.bincount(np.concatenate(rows), minlength=SLOTS)
+    for label in (1, 0):
+        base = share if label else 1 - share
+        # With fewer documents of this label, a pair has not the bits even if it is in no others.
+        least = max(1, int(np.ceil(needed / -np.log2(base))))
+        own = np.bincount(np.concatenate([r if y == label else r[:0] for r, y in zip(rows, labels)]), minlength=SLOTS)
+        able = slots[own[slots] >= least]
+        if len(able) < 2:
+            continue
+        place = np.full(SLOTS, -1)
+        place[able] = np.arange(len(able))
+        short = [place[r] for r in rows]
+        short = [np.sort(r[r >= 0]) for r in short]
+        flat, sizes = np.concatenate(short), np.array([len(r) for r in short])
+        doc = np.repeat(np.arange(len(rows)), sizes)
+        order = np.argsort(flat, kind="stable")
+        ends = np.cumsum(np.bincount(flat, minlength=len(able)))
+        alone = (own[able] + base) / (seen[able] + 1)
+        odds = alone / (1 - alone)
+        for a, end in enumerate(ends):
+            docs = doc[order[end - seen[able[a]] : end]]
+            same = docs[labels[docs] == label]
+            found = np.bincount(np.concatenate([short[i] for i in same]), minlength=len(able))
+            found[: a + 1] = 0
+            others = np.flatnonzero(found >= least)
+            if not len(others):
+                continue
+            hit = found[others]
+            n = np.bincount(np.concatenate([short[i] for i in docs]), minlength=len(able))[others]
+            both = odds[a] * odds[others] * (1 - base) / base
+            chance = np.maximum.reduce([np.full(len(others), max(base, alone[a])), alone[others], both / (1 + both)])
+            passed = others[(hit > n * chance) & (_bits(hit, n, np.minimum(chance, 1 - 1e-9)) >= needed)]
+            if len(passed):
+                chosen[able[a]] = True
+                chosen[able[passed]] = True
+    return np.flatnonzero(chosen)
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
     """Logistic loss, mini-batches in a fixed order, step sizes by past gradients (AdaGrad)."""
     rows, labels = _without_copies(rows, labels)
@@ -143,7 +202,11 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
     share = (labels.sum() + 1) / (n + 2)
     bias = float(np.log(share / (1 - share)))
     deviations = np.abs(toxic - share * seen) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
-    known = np.flatnonzero((seen >= max(LEAST_DOCUMENTS, LEAST_SHARE * n)) & (deviations >= LEAST_DEVIATIONS))
+    often = np.flatnonzero(seen >= LEAST_DOCUMENTS)
+    clear = (seen >= max(LEAST_DOCUMENTS, LEAST_SHARE * n)) & (deviations >= LEAST_DEVIATIONS)
+    clear[often] |= _bits(toxic[often], seen[often], share) >= np.log2(max(len(often), 1))
+    clear[_paired(rows, labels, often, share)] = True
+    known = np.flatnonzero(clear)
     marked[known] = 1
     place = np.full(SLOTS, -1)
     place[known] = np.arange(len(known))

@@ -37,6 +37,22 @@ def test_pairs_count_for_more_than_their_terms():
     assert abs(again.score(both) - machine.score(both)) < 1e-6
 
 
+def test_rare_pairs_of_terms_that_are_near_neutral_alone():
+    """Of 12,000 documents 18 have both terms and are toxic; each term alone is as innocent as any."""
+    rows, labels = [], []
+    for i in range(12_000):
+        a, b = i < 360, i < 18 or 360 <= i < 942
+        words = prose(i, 12).split() + ["insult"] * a + ["people"] * b
+        toxic = i < 18 or i % 20 == 0
+        words += ["vile"] * (toxic and i >= 942)
+        rows.append(ops.slots_of(" ".join(words)).astype(int))
+        labels.append(toxic)
+    machine = ops.fit(rows, np.array(labels, float))
+    both, alone = ops.slots_of("insult people"), [ops.slots_of(w) for w in ("insult", "people", "stone17")]
+    assert machine.score(both) > 0.5 > max(map(machine.score, alone))
+    assert machine.known.sum() < 20
+
+
 def test_only_copies_of_the_same_label_are_dropped():
     """Documents under one boilerplate stay, also toxic ones behind a clean one; copies go."""
     boilerplate = prose(1, 12)
