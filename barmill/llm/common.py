@@ -114,3 +114,12 @@ def mix64(values: np.ndarray) -> np.ndarray:
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id as text is divisible by 5; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def one_text_each(rows: DataFrame) -> DataFrame:
+    """``doc_id``, ``label`` and of the texts of each such pair that with the least hash.
+
+    Each task picks one before anything is sent, so an id with most of the rows is no large group.
+    """
+    picked = rows.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
+    return picked.select("doc_id", "label", F.col("least.text").alias("text"))

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.common import held_out, prepare, table, trimmed, written
+from barmill.llm.common import held_out, one_text_each, prepare, table, trimmed, written
 
 #: Most labelled documents that are fitted on: those with the least hash of their id.
 TRAINING_ROWS = 12_000
@@ -91,7 +91,7 @@ def _fit_group(rows: pa.Table) -> pa.Table:
 def train(documents: DataFrame, labels: DataFrame, most_rows: int = TRAINING_ROWS) -> np.ndarray:
     """Fit on labelled documents that are not held out, ``most_rows`` of them at most.
 
-    Rows with a null id or label teach nothing. Without labels every document gets 0.5.
+    Of rows that share an id one text is taken. Rows with a null id or label teach nothing. Without labels every document gets 0.5.
     """
     prepare(documents.sparkSession)
     usable = F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
@@ -105,6 +105,7 @@ def train(documents: DataFrame, labels: DataFrame, most_rows: int = TRAINING_ROW
     chosen = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
     # At most ``most_rows`` rows of two numbers, so their size is bounded.
     rows = chosen.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select("doc_id", "label", "text")
+    rows = one_text_each(rows)
     measured = rows.mapInArrow(_measure_rows, "doc_id bigint, label int, x array<double>")
     model = measured.groupBy().applyInArrow(_fit_group, "model binary").collect()
     if not model:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.common import held_out, mix64, prepare, table, texts, trimmed
+from barmill.llm.common import held_out, mix64, one_text_each, prepare, table, texts, trimmed
 
 #: Terms are hashed to this many slots.
 SLOTS = 1 << 18
@@ -259,7 +259,7 @@ def _fit_group(rows: pa.Table) -> pa.Table:
 def train(documents: DataFrame, labels: DataFrame, most_rows: int = TRAINING_ROWS) -> Machine:
     """Fit on labelled documents that are not held out, ``most_rows`` of them at most.
 
-    Rows with a null id or a null label teach nothing; a label other than 0 counts as 1. Without
+    Of rows that share an id one text is taken. Rows with a null id or a null label teach nothing; a label other than 0 counts as 1. Without
     any label the machine scores every text 0.5.
     """
     spark = documents.sparkSession
@@ -275,6 +275,7 @@ def train(documents: DataFrame, labels: DataFrame, most_rows: int = TRAINING_ROW
     # At most ``most_rows`` rows of two numbers, so their size is bounded.
     chosen = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
     rows = chosen.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select("doc_id", "label", "text")
+    rows = one_text_each(rows)
     slots = rows.mapInArrow(_slot_rows, "doc_id bigint, label int, slots array<int>")
     model = slots.groupBy().applyInArrow(_fit_group, "model binary").collect()
     if not model:

@@ -3,7 +3,9 @@ from zlib import crc32
 import duckdb
 import numpy as np
 from cases import edges, frame, prose, rows_of
+from pyspark.sql import functions as F
 
+from barmill.llm import quality
 from barmill.llm import toxicity as ops
 
 GIVEN = "/root/testdata/sf0.1"
@@ -80,6 +82,18 @@ def test_without_labels(spark):
     assert {s for _, s in rows_of(ops.score(frame(spark, edges()), machine), "doc_id", "score")} == {0.5}
 
 
+def test_one_text_of_each_sampled_id(spark):
+    """Two thousand documents that share an id teach as much as one."""
+    rows = [(i, prose(i, 20)) for i in range(20)] + [(3, prose(100 + i, 20)) for i in range(2000)]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    documents = frame(spark, rows)
+    least = documents.where("doc_id = 3").orderBy(F.xxhash64("text")).first()["text"]
+    one_each = frame(spark, [r for r in rows if r[0] != 3] + [(3, least)])
+    assert crc32(b"3") % 5
+    assert ops.train(documents, labels).to_bytes() == ops.train(one_each, labels).to_bytes()
+    assert quality.train(documents, labels).tobytes() == quality.train(one_each, labels).tobytes()
+
+
 def test_drop_keeps_clean_rows_whole(spark):
     rows = [(i, prose(i, 30) + (" vile" if i % 3 == 0 else "")) for i in range(600)]
     labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(600)], "doc_id bigint, quality int, toxic int")
