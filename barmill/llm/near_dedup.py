@@ -167,20 +167,23 @@ def _links(groups: DataFrame, sets: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def shared_buckets(classes: DataFrame) -> DataFrame:
-    """``bucket``, ``chunks``, ``rep``: the classes that share a key; buckets of equal members are one."""
-    keyed = classes.select("rep", F.explode("bands").alias("bucket"))
+    """``bucket``, ``chunks``, ``rep``: the classes that share a key; buckets of equal members are one.
+
+    Classes are told apart by their digest, since rows of one id may be in several of them.
+    """
+    keyed = classes.select("rep", "digest", F.explode("bands").alias("bucket"))
     buckets = (
         keyed.groupBy("bucket")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.bit_xor(F.xxhash64("rep")).alias("x"),
-            F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"),
+            F.bit_xor(F.xxhash64("digest")).alias("x"),
+            F.bit_xor(F.xxhash64("digest", F.lit(1))).alias("y"),
         )
         .where("n > 1")
     )
     one_each = buckets.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"))
     chunks = F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")
-    return keyed.join(one_each.select("bucket", chunks), "bucket")
+    return keyed.drop("digest").join(one_each.select("bucket", chunks), "bucket")
 
 
 def _chunk(chunks, salt: int = 0):

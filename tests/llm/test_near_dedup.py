@@ -69,6 +69,13 @@ def test_buckets_larger_than_a_chunk(spark, monkeypatch):
     assert sorted(rows_of(found, *COLUMNS), key=str) == expected(rows)
 
 
+def test_buckets_of_ids_with_several_texts(spark):
+    """Two texts of one id cancel in no bucket; buckets of the same texts are still one."""
+    rows = [(1, b"a", [10, 30]), (1, b"b", [10, 30]), (2, b"c", [20]), (2, b"d", [20]), (3, b"e", [10, 20, 30])]
+    found = ops.shared_buckets(spark.createDataFrame(rows, "rep bigint, digest binary, bands array<bigint>"))
+    assert sorted(rows_of(found, "bucket", "rep")) == [(10, 1), (10, 1), (10, 3), (20, 2), (20, 2), (20, 3)]
+
+
 def test_no_rows_and_no_words(spark):
     assert ops.near_duplicates(frame(spark, [])).collect() == []
     rows = [(1, None), (2, ""), (3, " ")]
