@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from barmill.llm.decontamination import OP12_SQL, op12_decontamination
 from barmill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from barmill.llm.near_dedup import OP4_SQL, op4_near_dedup
 from barmill.llm.packing import op8_packing
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_topk_search": op9_topk_search,
     "op10_personal_data": op10_personal_data,
+    "op12_decontamination": op12_decontamination,
 }
 
 ORACLE = {
@@ -32,4 +34,5 @@ ORACLE = {
     "op6_warc": OP6_SQL,
     "op7_exact_dedup": OP7_SQL,
     "op9_topk_search": OP9_SQL,
+    "op12_decontamination": OP12_SQL,
 }

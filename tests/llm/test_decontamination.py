@@ -1,0 +1,108 @@
+import random
+import re
+
+import pytest
+from cases import edges, frame, prose, rows_of
+
+from barmill.llm import decontamination as ops
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+COLUMNS = ("doc_id", "n_words", "n_hit", "items", "spans")
+
+
+def lowered(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def expected(docs, items):
+    windows = {}
+    for item, text in items:
+        words = WORD.findall(lowered(text))
+        for i in range(max(1, len(words) - 9) if words else 0):
+            windows.setdefault(tuple(words[i : i + 10]), set()).update([] if item is None else [str(item)])
+    lengths = {len(w) for w in windows}
+    out = []
+    for doc, text in docs:
+        found = list(WORD.finditer(lowered(text)))
+        words, hit, named = [m[0] for m in found], set(), set()
+        for n in lengths:
+            for i in range(len(words) - n + 1):
+                own = windows.get(tuple(words[i : i + n]))
+                if own is not None:
+                    hit.update(range(i, i + n))
+                    named |= own
+        spans = []
+        for i in sorted(hit):
+            if i - 1 in hit:
+                spans[-1] = (spans[-1][0], found[i].end())
+            else:
+                spans.append((found[i].start(), found[i].end()))
+        out.append((doc, len(words), len(hit), sorted(named), spans))
+    return sorted(out, key=repr)
+
+
+def found(spark, docs, items, schema="item_id bigint, text string, words string, n string"):
+    benchmark = spark.createDataFrame([(i, t, "x", "x") for i, t in items], schema)
+    rows = rows_of(ops.contamination(frame(spark, docs), benchmark), *COLUMNS)
+    return sorted(((*r[:4], [tuple(s) for s in r[4]]) for r in rows), key=repr)
+
+
+def planted():
+    rng = random.Random(7)
+    items = [(i, prose(100 + i, rng.choice([3, 9, 10, 11, 40]))) for i in range(12)]
+    items += [(3, prose(900, 30)), (None, prose(901, 20)), (50, None), (51, ""), (52, "... \n"), (53, "ünïcode Ärger 42")]
+    items += [(54, items[4][1]), (55, items[4][1]), (56, "stone"), (57, "end é")]
+    docs = list(edges())
+    for n in range(40):
+        text = items[rng.randrange(20)][1] or ""
+        words = text.split(" ")
+        lo = rng.randrange(len(words))
+        part = " ".join(words[lo : lo + rng.randrange(1, 25)])
+        around = (prose(300 + n, 15), prose(400 + n, 15))
+        docs.append((1000 + n, f"{around[0]}, é {part.upper()}\n-- {text.replace(' ', ', ')}! {around[1]}"))
+    docs += [(2000, "ÜNÏCODE"), (2001, "ünïcode Ärger 42x"), (2002, "x ünïcode--ärger\t42"), (2003, "ünïcode Ärger\x0042")]
+    return docs, items
+
+
+def test_against_brute_force(spark):
+    docs, items = planted()
+    assert found(spark, docs, items) == expected(docs, items)
+
+
+@pytest.mark.parametrize("words", [40, 12])
+def test_benchmark_larger_than_one_automaton(spark, monkeypatch, words):
+    docs, items = planted()
+    monkeypatch.setattr(ops, "PART_WORDS", words)
+    assert found(spark, docs, items) == expected(docs, items)
+
+
+def test_window_does_not_cross_documents(spark):
+    words = prose(5, 10).split(" ")
+    docs = [(1, " ".join(words[:5])), (2, " ".join(words[5:])), (3, " ".join(words))]
+    assert [(r[0], r[2]) for r in found(spark, docs, [(9, " ".join(words))])] == [(1, 0), (2, 0), (3, 10)]
+
+
+def test_empty_tables(spark):
+    assert found(spark, [], planted()[1]) == []
+    docs = [(1, "one two"), (2, None), (None, "three")]
+    assert found(spark, docs, []) == expected(docs, [])
+    assert found(spark, docs, [(1, None)]) == expected(docs, [])
+
+
+def test_long_text_and_frequent_word(spark):
+    text = "the " * 300_000
+    docs = [(1, text), (2, "a " * 50_000 + prose(1, 12))]
+    items = [(1, "the"), (2, " ".join(["the"] * 10)), (3, prose(1, 12))]
+    assert found(spark, docs, items) == [
+        (1, 300_000, 300_000, ["1", "2"], [(0, len(text) - 1)]),
+        (2, 50_012, 12, ["3"], [(100_000, 100_000 + len(prose(1, 12)))]),
+    ]
+
+
+def test_drop_contaminated(spark):
+    docs, items = planted()
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    gone = {r[0] for r in expected(docs, items) if r[2]} - {None}
+    kept = ops.drop_contaminated(frame(spark, docs), benchmark)
+    assert kept.columns == frame(spark, docs).columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted(d or 0 for d, _ in docs if d not in gone)
