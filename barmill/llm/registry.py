@@ -7,6 +7,7 @@ from barmill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from barmill.llm.near_dedup import OP4_SQL, op4_near_dedup
 from barmill.llm.packing import op8_packing
 from barmill.llm.personal_data import op10_personal_data
+from barmill.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from barmill.llm.quality import op2_quality
 from barmill.llm.repeated_passages import OP1_SQL, op1_repeated_passages
 from barmill.llm.sentencepiece_codec import op3_sentencepiece
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_topk_search": op9_topk_search,
     "op10_personal_data": op10_personal_data,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_decontamination": op12_decontamination,
 }
 
@@ -34,5 +36,6 @@ ORACLE = {
     "op6_warc": OP6_SQL,
     "op7_exact_dedup": OP7_SQL,
     "op9_topk_search": OP9_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op12_decontamination": OP12_SQL,
 }
