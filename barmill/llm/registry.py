@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from barmill.llm.decontamination import OP12_SQL, op12_decontamination
 from barmill.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from barmill.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from barmill.llm.near_dedup import OP4_SQL, op4_near_dedup
 from barmill.llm.packing import op8_packing
 from barmill.llm.personal_data import op10_personal_data
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_personal_data": op10_personal_data,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_decontamination": op12_decontamination,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE = {
@@ -38,4 +40,5 @@ ORACLE = {
     "op9_topk_search": OP9_SQL,
     "op11_prefix_trie": OP11_SQL,
     "op12_decontamination": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }

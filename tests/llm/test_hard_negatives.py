@@ -1,0 +1,122 @@
+import math
+import time
+
+import numpy as np
+import pytest
+from cases import rows_of
+
+from barmill.llm import hard_negatives as ops
+
+COLUMNS = ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+SCHEMA = "vec_id bigint, embedding array<float>, label int, row string, block string, tile string, hits string, score string"
+ENDS = (-(2**63), 2**63 - 1)
+
+
+def expected(rows, every, k=5):
+    some = []
+    for i, v, label in rows:
+        if None not in (i, v, label) and all(x is not None and math.isfinite(x) for x in v):
+            some.append((i, label, [min(max(math.floor(256 * float(np.float32(x))), -9.2e18), 9.2e18) for x in v]))
+    some = [(i, label, [int(x) for x in v]) for i, label, v in some]
+    out = []
+    for n, (i, label, v) in enumerate(some):
+        if i % every:
+            continue
+        scored = [
+            (-min(max(sum(a * b for a, b in zip(v, w)), ENDS[0]), ENDS[1]), j, other == label)
+            for m, (j, other, w) in enumerate(some)
+            if m != n
+        ]
+        scored.sort()
+        for s, p, _ in [x for x in scored if x[2]][:k]:
+            fits = [x for x in scored if not x[2] and 80 * -s <= 100 * -x[0] <= 100 * -s]
+            out += [(i, p, rank, j, -s, -t) for rank, (t, j, _) in enumerate(fits[:k], 1)]
+    return sorted(out)
+
+
+def mined(spark, rows, every=20):
+    given = spark.createDataFrame([(*r, "x", "x", "x", "x", "x") for r in rows], SCHEMA)
+    return sorted(rows_of(ops.hard_negatives(ops.labelled_vectors(given), every), *COLUMNS))
+
+
+def clusters(n, dims=24, labels=4, seed=0):
+    random = np.random.default_rng(seed)
+    centres = random.normal(size=(labels, dims)) * 0.3 + 0.2
+    return [
+        (i, (centres[i % labels] + random.normal(size=dims) * 0.2).round(2).tolist(), int(random.integers(labels)))
+        for i in range(n)
+    ]
+
+
+def planted():
+    rows = clusters(500)
+    rows += [(2000 + i, [0.5] * 24, i % 3) for i in range(300)]  # a vector that a third of all rows have
+    rows += [(3000, None, 1), (3020, [None] * 24, 1), (3040, [float("nan")] * 24, 1), (3060, [0.1] * 24, None)]
+    rows += [(None, [0.1] * 24, 1), (3080, [], 1), (3100, [0.5] * 30, 1), (3120, [1.0], 2), (3140, [-0.1] * 24, 3)]
+    rows += [(40, [0.9] * 24, 1), (40, [0.9] * 24, 1), (40, [0.9] * 24, 2), (-40, [0.4] * 24, -3), (3160, [0.3] * 24, 10**6)]
+    return rows
+
+
+@pytest.mark.parametrize("size", [(8_192, 64, 128, 4_096, 32_768), (16, 1_000, 16, 7, 9), (50, 4, 200, 4_096, 2)])
+def test_against_brute_force(spark, monkeypatch, size):
+    for name, value in zip(("BLOCK_ROWS", "LEAST_BLOCKS", "LEAST_ROWS", "ANCHORS", "BOXES"), size):
+        monkeypatch.setattr(ops, name, value)
+    want = expected(planted(), 20)
+    assert len(want) > 300 and mined(spark, planted()) == want
+
+
+def test_few_rows(spark):
+    assert mined(spark, []) == []
+    assert mined(spark, [(0, [1.0], 1)]) == []
+    assert mined(spark, [(0, [1.0, 2.0], 1), (1, [0.5, 0.5], 1)]) == []
+    rows = [(0, [1.0, 2.0], 1), (1, [0.5, 0.5], 1), (2, [0.5, 0.45], 2), (20, [-1.0, 0.25], 2), (3, [], 3)]
+    assert mined(spark, rows) == expected(rows, 20) != []
+
+
+def test_huge_components(spark):
+    rows = [(0, [3e30, 1.0], 1), (1, [3e30, 2.0], 1), (2, [3e30, 5.0], 2), (3, [1e9, 1e9], 2), (20, [1.0, 0.0], 1)]
+    rows += [(40, [9e4, 9e4], 3), (41, [9e4, 9.1e4], 3), (42, [8e4, 9e4], 1), (43, [0.5, 0.5], 2), *clusters(80, 2)]
+    assert mined(spark, rows) == expected(rows, 20)
+
+
+def test_one_huge_component_leaves_the_rest_in_the_tree():
+    random = np.random.default_rng(1)
+    whole = random.integers(-60, 60, (10_000, 64))
+    whole[77, 3] = 2**60
+    ids = np.arange(10_000)
+    tree = ops.Tree(ids, ids, ids % 10, whole)
+    assert len(tree.wild[0]) == 1 and len(tree.ids) == 9_999
+    start = time.perf_counter()
+    for i in range(20):
+        ((*hits,),) = tree.search(whole[i], i % 10, i, [ENDS], True, 5)
+        scores = [min(max(int(sum(int(a) * int(b) for a, b in zip(whole[i], whole[j]))), ENDS[0]), ENDS[1]) for j in range(i % 10, 10_000, 10) if j != i] if i < 2 else None
+        if scores:
+            assert [s for s, _, _ in hits] == sorted(scores, reverse=True)[:5]
+    assert time.perf_counter() - start < 10
+
+
+def test_bounds_never_drop_a_hit():
+    random = np.random.default_rng(5)
+    for n in range(40):
+        whole = random.integers(-40, 40, (700, 12))
+        whole[random.integers(0, 700, 200)] = whole[0]
+        labels, ids = random.integers(0, 3, 700), random.permutation(5_000)[:700]
+        tree = ops.Tree(ids, np.arange(700), labels, whole)
+        query, low, same = whole[n], int(random.integers(-500, 3_000)), bool(n % 2)
+        windows = [(low, low + 400), (low - 300, low), (-(10**9), 10**9)]
+        found = tree.search(query, int(labels[n]), n, windows, same, 5)
+        scored = sorted((-int(query @ whole[j]), int(ids[j])) for j in range(700) if j != n and (labels[j] == labels[n]) == same)
+        for (lo, hi), hits in zip(windows, found):
+            assert [(-s, i) for s, i, _ in hits] == [x for x in scored if lo <= -x[0] <= hi][:5]
+
+
+def test_boxes_are_pruned():
+    random = np.random.default_rng(3)
+    centres = random.integers(-90, 90, (40, 16))
+    whole = np.repeat(centres, 250, 0) + random.integers(-4, 5, (10_000, 16))
+    tree = ops.Tree(np.arange(10_000), np.arange(10_000), np.arange(10_000) % 2, whole)
+    scored = []
+    data = tree.data
+    tree.data = type("Seen", (), {"__getitem__": lambda self, at: scored.append(at) or data[at]})()
+    tree.search(whole[0], 0, 0, [ENDS], True, 5)
+    assert 0 < len(scored) < len(tree.levels[0][0]) / 4

@@ -33,6 +33,22 @@ HOT = {
         SELECT vec_id, embedding, label FROM given
         UNION ALL
         SELECT 10000 + i, (SELECT embedding FROM given ORDER BY vec_id LIMIT 1), 0 FROM range(250) r(i)""",
+    "benchmark": """
+        SELECT item_id, text FROM given
+        UNION ALL
+        SELECT 1000, 'This line stands at the end of every page of the site, always'
+        UNION ALL
+        SELECT 1001, text FROM (SELECT text FROM given ORDER BY item_id LIMIT 1)""",
+    "conversations": """
+        SELECT conv_id, turn, role, text FROM given
+        UNION ALL
+        SELECT 10000 + i, turn, role, text FROM given, range(60) r(i)
+        WHERE conv_id = (SELECT min(conv_id) FROM given)
+        UNION ALL
+        SELECT 20000 + i, t, 'user', CASE WHEN t < 12 THEN 'the same beginning' ELSE i || ' differs' END
+        FROM range(90) r(i), range(14) s(t)
+        UNION ALL
+        SELECT 30000, t, 'user', 'turn ' || t FROM range(300) s(t)""",
 }
 
 
