@@ -236,6 +236,7 @@ SELECT strftime(tstamp, '%Y-%m-%d %H:%M:%S') AS timestamp, {_MEAN} FROM bars GRO
     "range_pruned": _LATE,
     "stats_refresh": "SELECT count(*) AS n_rows FROM events",
     "compacted_table": f"WITH {_INTRADAY_BARS} SELECT * FROM bars",
+    "vacuumed_table": f"WITH {_INTRADAY_BARS} SELECT *, CAST(1 AS BIGINT) AS n_folders FROM bars",
     "log_report": """
 SELECT event_type AS run,
        CASE WHEN event_type <> 'signup' THEN CAST(length(event_type) * 1.5 AS DOUBLE) END AS before_ms,
@@ -250,6 +251,8 @@ SELECT event_type AS run,
 FROM events GROUP BY event_type""",
     "landing_ingest": f"WITH {_RAW} SELECT value AS line, symbol, snapshot FROM raw",
     "daily_load_symbols": f"""{_NEWEST}
+SELECT symbol, tstamp, open, high, low, close, volume FROM typed WHERE volume > 0""",
+    "incremental_load": f"""{_NEWEST}
 SELECT symbol, tstamp, open, high, low, close, volume FROM typed WHERE volume > 0""",
     "daily_load_means": f"""{_NEWEST}
 SELECT symbol, key AS timestamp, avg(close) AS avg_close FROM typed GROUP BY symbol, key""",

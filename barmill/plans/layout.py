@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barmill.functions.times import with_day
-from barmill.plans.workspace import exists, make_folder, remove
+from barmill.plans.exchange import exchange_days, finish, rows_of_days, table_files
 from barmill.schema import DAY
 
 
@@ -78,49 +78,26 @@ def data_files(spark: SparkSession, path: str) -> DataFrame:
     return files.drop("content", "modificationTime")
 
 
-def days_of_small_files(spark: SparkSession, path: str, small: int) -> DataFrame:
+def days_of_small_files(spark: SparkSession, table: str, small: int) -> DataFrame:
     """Days that have more than one file, and files of less than ``small`` bytes on average."""
-    files = data_files(spark, path)
+    files = table_files(spark, table).where("current")
     sizes = files.groupBy(DAY).agg(F.count(F.lit(1)).alias("files"), F.avg("length").alias("size"))
     return sizes.where((F.col("files") > 1) & (F.col("size") < small)).select(DAY)
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    # One row of the catalog.
-    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
-    return row["data_type"]
+def compacted_days(spark: SparkSession, table: str, small: int) -> DataFrame:
+    """Rows of the days of small files, laid out anew; no other day is read, and each goes through
+    one exchange."""
+    return by_day(rows_of_days(spark, table, days_of_small_files(spark, table, small)))
 
 
-def stage_small_days(spark: SparkSession, table: str, staging: str, small: int) -> None:
-    """Write the days of small files, compacted, to a folder of their own."""
-    days = days_of_small_files(spark, _location(spark, table), small)
-    # A bar without a timestamp has no day, which an equality would lose.
-    days = days.select(F.col(DAY).alias("_day"))
-    picked = spark.table(table).join(days, F.col(DAY).eqNullSafe(F.col("_day")), "left_semi")
-    write_warehouse(picked, f"{staging}/days")
-
-
-def swap_staged_days(spark: SparkSession, table: str, staging: str) -> None:
-    """Put the staged days in the place of the table's."""
-    schema = spark.table(table).schema
-    staged = spark.read.schema(schema).parquet(f"{staging}/days")
-    write_warehouse(staged, _location(spark, table), table, days_only=True)
-
-
-def compact(spark: SparkSession, table: str, staging: str, small: int = 64 << 20) -> DataFrame:
+def compact(spark: SparkSession, table: str, small: int = 64 << 20) -> DataFrame:
     """Rewrite the days of a day-partitioned table that have small files, and only those.
 
-    The days are first written to ``staging``, then marked as whole, then put in the table's place,
-    then ``staging`` is removed. A run that stops anywhere is made good by the next one with the
-    same ``staging``: before the mark it starts anew from the table, which is untouched; after it
-    the days are put in place again. Between such runs nothing may be loaded into the table.
-    Returns the row count of the refreshed statistics.
+    They are exchanged one by one (``exchange.exchange_days``): readers see every day as it was or as it is
+    then, and a run that stops anywhere is made good by the next one. What is out of use stays until
+    ``exchange.vacuum``. Returns the row count of the refreshed statistics.
     """
-    whole = f"{staging}/_whole"
-    if not exists(spark, whole):
-        remove(spark, staging)
-        stage_small_days(spark, table, staging, small)
-        make_folder(spark, whole)
-    swap_staged_days(spark, table, staging)
-    remove(spark, staging)
+    finish(spark, table)
+    exchange_days(compacted_days(spark, table, small), table)
     return refresh_stats(spark, table, ["tstamp", "volume"])

@@ -10,25 +10,34 @@ from pyspark.sql import functions as F
 from barmill.operators.averages import avg_close
 from barmill.operators.bars import in_time_order, row_count, traded, typed_bars
 from barmill.operators.strict import clean_lines, first_per_key, newest_snapshot, strict_counters
-from barmill.plans.layout import refresh_stats, write_warehouse
+from barmill.plans.exchange import exchange_days
+from barmill.plans.layout import by_day, refresh_stats, write_warehouse
 from barmill.schema import FIELDS, SYMBOL
 from barmill.sources.sinks import save_table, write_jdbc
 
 
-def clean_once(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Cleaned lines, one per key, or per symbol and key where lines have a symbol.
+def newest_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Cleaned lines with symbol and snapshot, one per symbol and key, from the newest dump.
 
-    Lines that come with their snapshot are taken from the newest dump. Those of a dump whose name
-    told neither symbol nor snapshot are left out; ``strict_counters`` counts them.
+    Those of a dump whose name told neither symbol nor snapshot are left out; ``strict_counters``
+    counts them.
     """
     cleaned = clean_lines(lines, column)
     symbol = [SYMBOL] if SYMBOL in cleaned.columns else []
-    if "snapshot" not in cleaned.columns:
-        return first_per_key(cleaned.select(*symbol, "key", "line"), [*symbol, "key"])
     for name in (*symbol, "snapshot"):
         cleaned = cleaned.where(F.col(name).isNotNull())
-    newest = newest_snapshot(cleaned.select(*symbol, "key", "line", "snapshot"), [*symbol, "key"])
-    return newest.select(*symbol, "key", "line")
+    return newest_snapshot(cleaned.select(*symbol, "key", "line", "snapshot"), [*symbol, "key"])
+
+
+def clean_once(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Cleaned lines, one per key, or per symbol and key where lines have a symbol.
+
+    Lines that come with their snapshot are taken from the newest dump, as by ``newest_lines``.
+    """
+    symbol = [SYMBOL] if SYMBOL in lines.columns else []
+    if "snapshot" not in lines.columns:
+        return first_per_key(clean_lines(lines, column).select(*symbol, "key", "line"), [*symbol, "key"])
+    return newest_lines(lines, column).select(*symbol, "key", "line")
 
 
 def load_bars(
@@ -44,7 +53,8 @@ class LoadTargets:
     """Where the stages of a load write. Each has its own path and replaces what was there.
 
     With ``jdbc`` options the bars go to a relational table instead of the warehouse. With
-    ``days_only`` only the days that were loaded are replaced in the warehouse.
+    ``days_only`` only the days that were loaded are replaced in a warehouse table that is there
+    already, each as a whole (``exchange.exchange_days``).
     """
 
     cleaned: str
@@ -89,8 +99,11 @@ def run_daily_load(
     if to.jdbc:
         write_jdbc(bars, to.jdbc)
         loaded = row_count(bars)
+    elif to.days_only and spark.catalog.tableExists(to.warehouse_table):
+        exchange_days(by_day(bars, partitions), to.warehouse_table)
+        loaded = refresh_stats(spark, to.warehouse_table, ["tstamp", "volume"])
     else:
-        write_warehouse(bars, to.warehouse, to.warehouse_table, days_only=to.days_only, partitions=partitions)
+        write_warehouse(bars, to.warehouse, to.warehouse_table, partitions=partitions)
         loaded = refresh_stats(spark, to.warehouse_table, ["tstamp", "volume"])
     found = counted.get
     return loaded.select("n_rows", *(F.lit(found[name]).alias(name) for name in found))

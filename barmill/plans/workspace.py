@@ -38,6 +38,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(there)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, in order; none if it is not there."""
+    files, there = _located(spark, path)
+    if not files.exists(there):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(there) if s.isDirectory())
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     files, there = _located(spark, path)
     files.mkdirs(there)

@@ -18,10 +18,12 @@ from barmill.functions.timings import percent_reduction, timing_ms
 from barmill.operators import averages, lenient, strict
 from barmill.operators import bars as ops
 from barmill.plans.compare import compare_layouts, files_left, measure, report
-from barmill.plans.layout import compact, data_files, refresh_stats, write_warehouse
+from barmill.plans.exchange import exchange_days, table_files, vacuum
+from barmill.plans.layout import by_day, compact, data_files, refresh_stats, write_warehouse
 from barmill.plans.load import LoadTargets, load_bars, run_daily_load
+from barmill.plans.merge import history_bars, merge_lines
 from barmill.plans.workspace import make_folder, work_dir
-from barmill.schema import AVERAGE, FIELDS, SYMBOL
+from barmill.schema import AVERAGE, DAY, FIELDS, SYMBOL
 from barmill.sources import files, sinks, tables
 from barmill.streaming.landing import ingest_landing
 
@@ -311,10 +313,24 @@ def compacted_table(spark, sf_dir):
     for part in range(3):
         writer = dated.where(F.col("volume") % 3 == part).write.partitionBy("tstamp_date")
         writer.mode("append").option("path", f"{home}/small").saveAsTable(name)
-    compact(spark, name, f"{home}/staging")
+    compact(spark, name)
     return spark.table(name).select(*FIELDS)
 
 
+@query
+def vacuumed_table(spark, sf_dir):
+    """A table whose days were exchanged twice and vacuumed: its bars, each with the number of folders
+    that are left of its day."""
+    name, home = _fresh("exchanged"), work_dir(spark, "exchange")
+    dated = with_day(adapters.intraday_bars(spark, sf_dir))
+    write_warehouse(dated.where("volume < 5").withColumn("close", F.lit(0.0)), f"{home}/table", name)
+    exchange_days(by_day(dated.where("volume < 5")), name)
+    exchange_days(by_day(dated), name)
+    vacuum(spark, name, keep_seconds=0)
+    left = table_files(spark, name).groupBy(DAY).agg(F.count_distinct("folder").alias("n_folders"))
+    return spark.table(name).join(left, DAY).select(*FIELDS, "n_folders")
+
+
 def _two_layouts(spark, sf_dir, home):
     bars = adapters.intraday_bars(spark, sf_dir)
     bars.write.parquet(f"{home}/before")
@@ -414,6 +430,17 @@ def daily_load_symbols(spark, sf_dir):
     return tables.scan_table(spark, targets.warehouse_table).select(SYMBOL, *FIELDS)
 
 
+@query
+def incremental_load(spark, sf_dir):
+    """Dumps merged one snapshot after the other, the earliest one last."""
+    name, home = _fresh("history"), work_dir(spark, "merge")
+    lines = adapters.intraday_feed(spark, sf_dir)
+    for n, snapshot in enumerate((1, 2, 0)):
+        adapters.write_dumps(lines, f"{home}/raw{n}", adapters.SNAPSHOTS[snapshot : snapshot + 1])
+        merge_lines(files.scan_lines(spark, f"{home}/raw{n}/stock_*.csv", identity=True), name, f"{home}/history")
+    return history_bars(spark, name).select(SYMBOL, *FIELDS)
+
+
 @query
 def daily_load_means(spark, sf_dir):
     """The means that such a load leaves."""

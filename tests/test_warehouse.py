@@ -1,6 +1,6 @@
 import glob
 import os
-import shutil
+import re
 from datetime import date
 
 import duckdb
@@ -9,9 +9,10 @@ from conftest import plan
 from pyspark.sql import functions as F
 
 from barmill.functions.times import time_range, with_day
-from barmill.plans import layout, load
+from barmill.plans import load
 from barmill.plans.compare import compare_layouts, files_left, report
-from barmill.plans.layout import by_day, compact, refresh_stats, write_warehouse
+from barmill.plans.exchange import table_files, vacuum
+from barmill.plans.layout import by_day, compact, compacted_days, refresh_stats, write_warehouse
 from barmill.plans.load import LoadTargets, load_bars, run_daily_load
 from barmill.schema import BAR_OF_SYMBOL
 from barmill.sources.files import scan_lines, scan_logs
@@ -136,54 +137,40 @@ def days_of(home):
     return {d: set(os.listdir(f"{home}/{d}")) for d in os.listdir(home) if d.startswith("tstamp_date")}
 
 
+def current(spark, name):
+    """Files in use by day."""
+    files = table_files(spark, name).where("current").collect()
+    return {str(r.tstamp_date): {f.path for f in files if f.tstamp_date == r.tstamp_date} for r in files}
+
+
 def test_compaction_rewrites_days_of_small_files_only(spark, four_days, tmp_path):
-    home, staging = str(tmp_path / "small"), str(tmp_path / "staging")
+    home = str(tmp_path / "small")
     small_files(spark, four_days, home, "bars_small")
-    before = days_of(home)
-    assert compact(spark, "bars_small", staging).first().n_rows == 1152
-    after = days_of(home)
-    changed = {d for d in before if before[d] != after[d]}
-    assert changed == {"tstamp_date=2025-09-30"}
-    assert len([f for f in after["tstamp_date=2025-09-30"] if f.endswith(".parquet")]) == 1
+    before = current(spark, "bars_small")
+    assert compact(spark, "bars_small").first().n_rows == 1152
+    after = current(spark, "bars_small")
+    assert {d for d in before if before[d] != after[d]} == {"2025-09-30"}
+    assert len(before["2025-09-30"]) == 6 and len(after["2025-09-30"]) == 1
     table = spark.table("bars_small")
     assert table.drop("tstamp_date").exceptAll(four_days).isEmpty() and table.count() == 1152
     assert time_range(table, "2025-10-02").count() == 287
-    assert not os.path.exists(staging)
     # Nothing is left to do.
-    compact(spark, "bars_small", staging)
-    assert days_of(home) == after
+    compact(spark, "bars_small")
+    assert current(spark, "bars_small") == after
+    vacuum(spark, "bars_small", keep_seconds=0)
+    assert current(spark, "bars_small") == after and len(glob.glob(f"{home}/**/*.parquet", recursive=True)) == 4
+    assert table.count() == 1152
     spark.sql("DROP TABLE bars_small")
 
 
-@pytest.mark.parametrize(
-    "step", ["stage_small_days", "make_folder", "swap_staged_days", "after the swap", "in the swap"]
-)
-def test_a_compaction_that_stops_is_made_good(spark, four_days, tmp_path, monkeypatch, step):
-    home, staging = str(tmp_path / "small"), str(tmp_path / "staging")
-    small_files(spark, four_days, home, "bars_stop")
-    swap = layout.swap_staged_days
-
-    def stop(spark, table, staging, *rest):
-        if step == "after the swap":
-            swap(spark, table, staging)
-        if step == "in the swap":  # the day is gone and its new file not yet there
-            spark.sql(f"ALTER TABLE {table} DROP PARTITION (tstamp_date='2025-09-30')")
-            shutil.rmtree(f"{home}/tstamp_date=2025-09-30")
-        raise InterruptedError
-
-    def stop_folder(*args):
-        raise InterruptedError
-
-    with monkeypatch.context() as patch:
-        name = "swap_staged_days" if "the swap" in step else step
-        patch.setattr(layout, name, stop_folder if name == "make_folder" else stop)
-        with pytest.raises(InterruptedError):
-            compact(spark, "bars_stop", staging)
-    assert compact(spark, "bars_stop", staging).first().n_rows == 1152
-    table = spark.table("bars_stop")
-    assert table.drop("tstamp_date").exceptAll(four_days).isEmpty() and table.count() == 1152
-    assert all(len([f for f in files if f.endswith(".parquet")]) == 1 for files in days_of(home).values())
-    spark.sql("DROP TABLE bars_stop")
+def test_compaction_reads_its_days_only_and_shuffles_once(spark, four_days, tmp_path):
+    small_files(spark, four_days, str(tmp_path / "small"), "bars_scan")
+    rows = compacted_days(spark, "bars_scan", 64 << 20)
+    text = plan(rows)
+    assert "PartitionFilters: [isnotnull(tstamp_date" in text and "dynamicpruningexpression(tstamp_date" in text
+    assert len(set(re.findall(r"REBALANCE_PARTITIONS_BY_COL, \[plan_id=\d+", text))) == 1
+    assert "SortMergeJoin" not in text and rows.count() == 288
+    spark.sql("DROP TABLE bars_scan")
 
 
 def test_only_the_days_loaded_are_replaced(spark, bars_of, tmp_path):
