@@ -54,6 +54,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sent(small: DataFrame, rows: int, most: int) -> DataFrame:
+    """A written table for a join: to all tasks if it has no more than ``most`` rows, else by a shuffle."""
+    return F.broadcast(small) if rows <= most else small.hint("merge")
+
+
 def trim() -> None:
     """Give back what Arrow and the C library hold in reserve.
 

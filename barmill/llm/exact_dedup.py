@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barmill.llm.common import binary, prepare, table, trimmed, written
+from barmill.llm.common import binary, prepare, sent, table, trimmed, written
 
 BLANKS = b"\x09\x0a\x0b\x0c\x0d\x20"
 #: Runs that meet in one merge.
@@ -28,6 +28,8 @@ RUN_ROWS = 200_000
 #: Digests in a range once everything is merged.
 RANGE_ROWS = 100_000
 LEAST_RANGES = 64
+#: Groups of several rows whose digests (some 100 bytes each) are sent to all tasks; more are joined by a shuffle.
+GROUPS_SENT = 200_000
 #: Stands for a null id inside runs, so that nulls lose every tie.
 NO_ID = np.iinfo(np.int64).max
 
@@ -169,23 +171,36 @@ def exact_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(documents: DataFrame) -> DataFrame:
-    """``documents`` without the rows that ``exact_duplicates`` does not keep, all columns kept."""
+    """``documents`` without the rows that ``exact_duplicates`` does not keep, all columns kept.
+
+    Texts that stand once are no matter of a join: of each larger group the digest and the id that
+    stays are held against all rows, which are not shuffled while there are ``GROUPS_SENT`` groups at most.
+    """
     names = documents.columns
+    larger = exact_duplicates(documents).where("group_size > 1")
+    # A group may have several rows of the id that stays, equal but for blanks.
+    same = F.coalesce("doc_id", F.lit(NO_ID)) == F.coalesce("keep_id", F.lit(NO_ID))
+    groups = larger.groupBy(F.unhex("text_sha256").alias("group")).agg(
+        F.min(F.coalesce("keep_id", F.lit(NO_ID))).alias("stays"), (F.count_if(same) > 1).alias("again")
+    )
+    groups = written(groups, "groups")
     held = documents.select(F.struct("*").alias("row"))
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     held = held.select(
         "row",
         F.coalesce(F.col("row.doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"),
-        F.length(text).alias("length"),
-        F.sha2(F.translate(text, BLANKS.decode(), ""), 256).alias("sha"),
-    )
-    stay = exact_duplicates(documents).where("kept").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("text_sha256").alias("sha")
+        F.unhex(F.sha2(F.translate(text, BLANKS.decode(), ""), 256)).alias("sha"),
     )
-    # Rows that repeat the id of the one that stays differ in blanks at most: the longest of them.
-    first = Window.partitionBy("sha", "id").orderBy(F.col("length").desc())
-    left = held.join(stay, ["sha", "id"], "left_semi").withColumn("nth", F.row_number().over(first))
-    return left.where("nth = 1").select(*[F.col("row").getField(n).alias(n) for n in names])
+    n = groups.count()
+    found = held.join(sent(groups, n, GROUPS_SENT), F.col("sha") == F.col("group"), "left")
+    stays = found.where("group IS NULL OR (id = stays AND NOT again)").select("row")
+    if not groups.where("again").isEmpty():
+        # The longest of them; each task sends one row of a group.
+        length = F.length(F.coalesce(F.col("row.text").cast("string"), F.lit("")))
+        first = Window.partitionBy("sha").orderBy(length.desc())
+        several = found.where("id = stays AND again").withColumn("nth", F.row_number().over(first))
+        stays = stays.union(several.where("nth = 1").select("row"))
+    return stays.select(*[F.col("row").getField(n).alias(n) for n in names])
 
 
 def op7_exact_dedup(spark, sf_dir):

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.common import mix64, prepare, table, trimmed, written
+from barmill.llm.common import mix64, prepare, sent, table, trimmed, written
 from barmill.llm.components import connected
 from barmill.llm.filters import filter_of, passes
 
@@ -36,6 +36,9 @@ BANDS = 2 * HASHES // ROWS
 #: Classes of a bucket that are compared in one task.
 CHUNK = 256
 
+#: Ids of documents to be dropped that are sent to all tasks; more are joined by a shuffle.
+IDS_SENT = 1_000_000
+
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 _OFFSETS = _random.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -265,9 +268,13 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
-    """``documents`` with one document of each component, all columns kept."""
+    """``documents`` with one document of each component, all columns kept.
+
+    Documents are not shuffled while ``IDS_SENT`` ids at most are to go.
+    """
     gone = near_duplicates(documents).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, documents["doc_id"] == F.col("_gone"), "left_anti")
+    gone = written(gone, "gone")
+    return documents.join(sent(gone, gone.count(), IDS_SENT), documents["doc_id"] == F.col("_gone"), "left_anti")
 
 
 def op4_near_dedup(spark, sf_dir):

@@ -14,10 +14,12 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barmill.llm.common import held_out, mix64, one_text_each, prepare, table, texts, trimmed
+from barmill.llm.common import held_out, mix64, one_text_each, prepare, table, texts, trim, trimmed
 
 #: Terms are hashed to this many slots.
 SLOTS = 1 << 18
@@ -251,9 +253,16 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Machine:
 
 
 def _fit_group(rows: pa.Table) -> pa.Table:
-    rows = rows.sort_by("doc_id")
-    slots = [np.array(s, np.int64) for s in rows["slots"].to_pylist()]
-    return pa.table({"model": [fit(slots, rows["label"].to_numpy().astype(float)).to_bytes()]})
+    order = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
+    held = rows["slots"].combine_chunks()
+    held = held.chunk(0) if isinstance(held, pa.ChunkedArray) else held
+    # Views of one array: as Python numbers the slots would take ten times the room.
+    ends, flat = held.offsets.to_numpy(), held.values.to_numpy()
+    slots = [flat[ends[i] : ends[i + 1]] for i in order]
+    model = fit(slots, rows["label"].to_numpy()[order].astype(float)).to_bytes()
+    del held, flat, slots, rows
+    trim()
+    return pa.table({"model": [model]})
 
 
 def train(documents: DataFrame, labels: DataFrame, most_rows: int = TRAINING_ROWS) -> Machine:
@@ -288,10 +297,11 @@ def _score_rows(shared):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Machine.from_bytes(shared.value)
         for batch in batches:
-            scores = [machine.score(slots_of(t)) for t in texts(batch["text"])]
-            others = [batch[name] for name in batch.schema.names if name != "text"]
+            # Whole rows come as a struct, which has the text.
+            column = pc.struct_field(batch["row"], "text") if "row" in batch.schema.names else batch["text"]
+            scores = [machine.score(slots_of(t)) for t in texts(column.cast(pa.string()))]
             names = [name for name in batch.schema.names if name != "text"]
-            yield pa.RecordBatch.from_arrays([*others, pa.array(scores, pa.float64())], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(scores, pa.float64())], [*names, "score"])
 
     return rows
 
@@ -314,8 +324,7 @@ def drop_toxic(documents: DataFrame, machine: Machine) -> DataFrame:
     names = documents.columns
     shared = documents.sparkSession.sparkContext.broadcast(machine.to_bytes())
     held = documents.select(F.struct("*").alias("row"))
-    held = held.select("row", F.col("row.text").cast("string").alias("text"))
-    scored = held.mapInArrow(_score_rows(shared), held.select("row").schema.add("score", "double"))
+    scored = held.mapInArrow(_score_rows(shared), T.StructType([*held.schema, T.StructField("score", T.DoubleType())]))
     return scored.where("score < 0.5").select(*[F.col("row").getField(n).alias(n) for n in names])
 
 

@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from cases import edges, frame, rows_of
+from conftest import plan
 
 from barmill.llm import exact_dedup
 
@@ -40,13 +41,21 @@ def test_no_rows(spark):
     assert exact_dedup.exact_duplicates(frame(spark, [])).collect() == []
 
 
-def test_drop_keeps_columns_and_one_row_per_group(spark):
-    rows = edges()
+@pytest.mark.parametrize("most_sent", [exact_dedup.GROUPS_SENT, 0])
+def test_drop_keeps_columns_and_one_row_per_group(spark, monkeypatch, most_sent):
+    monkeypatch.setattr(exact_dedup, "GROUPS_SENT", most_sent)
+    rows = edges() + [(30, "a b"), (30, "ab"), (30, "a  b"), (31, "a b"), (40, "c d")] + [(None, "e f")] * 3
     documents = frame(spark, rows)
     left = exact_dedup.drop_exact_duplicates(documents)
     assert left.schema == documents.schema
     texts = [(t or "").translate(BLANKS) for _, t in rows_of(left, "doc_id", "text")]
     assert sorted(texts) == sorted({(t or "").translate(BLANKS) for _, t in rows})
+    assert (30, "a  b") in rows_of(left, "doc_id", "text")
+
+
+def test_drop_does_not_shuffle_texts(spark):
+    left = exact_dedup.drop_exact_duplicates(frame(spark, [(1, "a"), (2, "a"), (3, "b")]))
+    assert "Exchange hashpartitioning" not in plan(left) and "BroadcastHashJoin" in plan(left)
 
 
 def test_merge_is_the_same_in_any_grouping():

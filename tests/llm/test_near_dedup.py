@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from cases import WORDS, edges, frame, prose, rows_of
 
 from barmill.llm import near_dedup as ops
@@ -82,7 +83,9 @@ def test_no_rows_and_no_words(spark):
     assert sorted(rows_of(ops.near_duplicates(frame(spark, rows)), *COLUMNS)) == expected(rows)
 
 
-def test_drop_keeps_one_of_each_and_all_columns(spark):
+@pytest.mark.parametrize("most_sent", [ops.IDS_SENT, 0])
+def test_drop_keeps_one_of_each_and_all_columns(spark, monkeypatch, most_sent):
+    monkeypatch.setattr(ops, "IDS_SENT", most_sent)
     rows = [*family(24, 20, 3), (1, "alone and unlike all others here"), (2, None)]
     documents = frame(spark, rows)
     left = ops.drop_near_duplicates(documents)
