@@ -93,10 +93,11 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_scanned(table(spark, sf_dir, "lineitem").select(_lineitem_line()))
 
 
-def intraday_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A typed bar for every row of ``events``: few days, many times of day."""
+def symbol_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``intraday_bars`` with a symbol, the kind of event."""
     price = F.col("value")
     return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("symbol"),
         F.col("ts").alias("tstamp"),
         price.alias("open"),
         (price + 1).alias("high"),
@@ -106,6 +107,11 @@ def intraday_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def intraday_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A typed bar for every row of ``events``: few days, many times of day."""
+    return symbol_bars(spark, sf_dir).drop("symbol")
+
+
 def intraday_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw line for every row of ``events``, its time cut to seconds."""
     price = F.col("value")

@@ -47,6 +47,11 @@ def close_pairs(lines: DataFrame, column: str = "value") -> DataFrame:
     return classify_lines(lines, column).where(F.col("line_class") == VALID).select("tstamp", "close")
 
 
+def class_counts(classified: DataFrame) -> DataFrame:
+    """The counters of ``parse_counters`` from lines that were classified before."""
+    return classified.agg(*_counters())
+
+
 def _counters(line_class: str = "line_class"):
     of = F.col(line_class)
     return [

@@ -123,12 +123,33 @@ classed AS (
   FROM parts)"""
 )
 
+# The same with the whole line and where it came from.
+_REJECTED = (
+    _RAW
+    + r""",
+trimmed AS (
+  SELECT value, symbol, snapshot, regexp_replace(value, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS line FROM raw),
+parts AS (
+  SELECT *, string_split(rtrim(line, ','), ',') AS p FROM trimmed),
+rejected AS (
+  SELECT CASE WHEN len(p) < 6 OR p[1] = '' OR p[5] = '' THEN 'InvalidLineLength'
+              ELSE 'InvalidNumberFormat' END AS line_class, symbol, snapshot, value AS line
+  FROM parts
+  WHERE NOT starts_with(line, 'timestamp') AND line <> ''
+    AND (len(p) < 6 OR p[1] = '' OR p[5] = '' OR TRY_CAST(trim(p[5]) AS FLOAT) IS NULL))"""
+)
+
 _MEAN = "CAST(sum(CAST(close AS DECIMAL(12,2))) AS DOUBLE) / count(close) AS avg_close"
 _FLOAT_MEAN = "CAST(avg(CAST(close AS DOUBLE)) AS FLOAT) AS avg_close"
 
 _AVG_CLOSE = f"WITH {_BARS} SELECT tstamp AS timestamp, {_MEAN} FROM bars GROUP BY tstamp"
 _AVG_PRESENT = f"""WITH {_GAPS}
 SELECT tstamp AS timestamp, {_MEAN} FROM gaps WHERE close IS NOT NULL GROUP BY tstamp"""
+_AVG_GAPS = f"""WITH {_GAPS}
+SELECT tstamp AS timestamp,
+       CASE WHEN count(close) > 0
+            THEN CAST(sum(CAST(close AS DECIMAL(12,2))) AS DOUBLE) / count(close) END AS avg_close
+FROM gaps GROUP BY tstamp"""
 _AVG_FLOAT = f"""WITH {_LENIENT}
 SELECT tstamp, {_FLOAT_MEAN} FROM classed WHERE line_class = 'ValidLines' GROUP BY tstamp"""
 _ALL_BARS = f"WITH {_BARS} SELECT * FROM bars"
@@ -166,18 +187,24 @@ one AS (
   QUALIFY row_number() OVER (PARTITION BY symbol, key ORDER BY snapshot DESC, line) = 1),
 typed AS (SELECT symbol, key, {_FIELDS.format(p="string_split(line, ',')")} FROM one)"""
 
-ORACLE: dict[str, str] = {
-    "strict_line_clean": f"WITH {_STRICT} SELECT key, line FROM strict",
-    "lenient_close_pairs": f"""WITH {_LENIENT}
-SELECT tstamp, close FROM classed WHERE line_class = 'ValidLines'""",
-    "parse_counters": f"""WITH {_LENIENT}
+_COUNTERS = f"""WITH {_LENIENT}
 SELECT count(*) AS "ProcessedLines",
        count(*) FILTER (line_class = 'Skipped') AS "Skipped",
        count(*) FILTER (line_class = 'ValidLines') AS "ValidLines",
        count(*) FILTER (line_class = 'InvalidNumberFormat') AS "InvalidNumberFormat",
        CAST(0 AS BIGINT) AS "InvalidLineFormat",
        count(*) FILTER (line_class = 'InvalidLineLength') AS "InvalidLineLength"
-FROM classed""",
+FROM classed"""
+
+ORACLE: dict[str, str] = {
+    "strict_line_clean": f"WITH {_STRICT} SELECT key, line FROM strict",
+    "lenient_close_pairs": f"""WITH {_LENIENT}
+SELECT tstamp, close FROM classed WHERE line_class = 'ValidLines'""",
+    "parse_counters": _COUNTERS,
+    "reject_counts": _COUNTERS,
+    "rejected_lines": f"WITH {_REJECTED} SELECT * FROM rejected",
+    "rejects_by_dump": f"""WITH {_REJECTED}
+SELECT symbol, snapshot, line_class, count(*) AS n_lines, min(line) AS example FROM rejected GROUP BY ALL""",
     "first_line_per_key": f"WITH {_STRICT} SELECT key, min(line) AS line FROM strict GROUP BY key",
     "first_row_per_key": f"WITH {_BARS}, {_FIRST_BAR} SELECT * FROM one",
     "newest_snapshot_rows": f"""WITH {_STRICT}
@@ -198,11 +225,8 @@ SELECT o_orderkey, tstamp, try_strptime(tstamp, '%Y-%m-%d %H:%M:%S') AS parsed F
     "timestamp_retype": _ALL_BARS,
     "tstamp_date": "SELECT event_id AS tick_id, ts, CAST(ts AS DATE) AS tstamp_date FROM events",
     "avg_close": _AVG_CLOSE,
-    "avg_close_with_gaps": f"""WITH {_GAPS}
-SELECT tstamp AS timestamp,
-       CASE WHEN count(close) > 0
-            THEN CAST(sum(CAST(close AS DECIMAL(12,2))) AS DOUBLE) / count(close) END AS avg_close
-FROM gaps GROUP BY tstamp""",
+    "avg_close_with_gaps": _AVG_GAPS,
+    "mean_states": _AVG_GAPS,
     "avg_close_nonnull": _AVG_PRESENT,
     "avg_close_deduplicated": f"""WITH {_BARS}, {_FIRST_BAR}
 SELECT tstamp AS timestamp, close AS avg_close FROM one""",
@@ -236,6 +260,13 @@ SELECT strftime(tstamp, '%Y-%m-%d %H:%M:%S') AS timestamp, {_MEAN} FROM bars GRO
     "range_pruned": _LATE,
     "stats_refresh": "SELECT count(*) AS n_rows FROM events",
     "compacted_table": f"WITH {_INTRADAY_BARS} SELECT * FROM bars",
+    "curve_layout": """
+SELECT event_type AS symbol, ts AS tstamp, value AS open, value + 1 AS high, value - 1 AS low, value AS close,
+       user_id % 10 AS volume
+FROM events WHERE user_id % 10 = 9""",
+    "zone_pruned": f"""WITH {_INTRADAY_BARS}
+SELECT * FROM bars WHERE tstamp > TIMESTAMP '2024-01-20 12:00:00' AND volume = 9""",
+    "curve_files": "SELECT count(*) AS n_rows, true AS fewer_files FROM events WHERE user_id % 10 = 9",
     "vacuumed_table": f"WITH {_INTRADAY_BARS} SELECT *, CAST(1 AS BIGINT) AS n_folders FROM bars",
     "log_report": """
 SELECT event_type AS run,
@@ -250,6 +281,7 @@ SELECT event_type AS run,
             ELSE 'not available' END AS reduction
 FROM events GROUP BY event_type""",
     "landing_ingest": f"WITH {_RAW} SELECT value AS line, symbol, snapshot FROM raw",
+    "ledger_ingest": f"WITH {_RAW} SELECT value AS line, symbol, snapshot FROM raw",
     "daily_load_symbols": f"""{_NEWEST}
 SELECT symbol, tstamp, open, high, low, close, volume FROM typed WHERE volume > 0""",
     "incremental_load": f"""{_NEWEST}

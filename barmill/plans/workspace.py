@@ -57,6 +57,15 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(there, True)
 
 
+def move(spark: SparkSession, path: str, folder: str) -> None:
+    """Move a file into a folder, below which it keeps its whole path; nothing if it is gone already."""
+    files, there = _located(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}{there.toUri().getPath()}")
+    if files.exists(there):
+        files.mkdirs(target.getParent())
+        files.rename(there, target)
+
+
 def clean_up(spark: SparkSession) -> None:
     """Remove the work folders of earlier runs and the tables that lie in them.
 

@@ -18,14 +18,18 @@ from barmill.functions.timings import percent_reduction, timing_ms
 from barmill.operators import averages, lenient, strict
 from barmill.operators import bars as ops
 from barmill.plans.compare import compare_layouts, files_left, measure, report
+from barmill.plans.curve import CELL, meets, rows_by_zones, write_curve, write_zones, zones
 from barmill.plans.exchange import exchange_days, table_files, vacuum
 from barmill.plans.layout import by_day, compact, data_files, refresh_stats, write_warehouse
 from barmill.plans.load import LoadTargets, load_bars, run_daily_load
+from barmill.plans.means import add_states, fold, means
 from barmill.plans.merge import history_bars, merge_lines
+from barmill.plans import rejects
 from barmill.plans.workspace import make_folder, work_dir
 from barmill.schema import AVERAGE, DAY, FIELDS, SYMBOL
 from barmill.sources import files, sinks, tables
 from barmill.streaming.landing import ingest_landing
+from barmill.streaming.ledger import ingest_by_ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +68,31 @@ def parse_counters(spark, sf_dir):
     return lenient.parse_counters(adapters.raw_lines(spark, sf_dir))
 
 
+def _classified(spark, sf_dir):
+    home = work_dir(spark, "classified")
+    lines = adapters.feed_lines(spark, sf_dir)
+    for part in range(2):
+        rejects.write_classified(lines.where(F.length("value") % 2 == part), home, load=f"part-{part}")
+    return home
+
+
+@query
+def rejected_lines(spark, sf_dir):
+    """Rejected lines with reason, symbol and snapshot, after two loads."""
+    return rejects.rejected_lines(spark, _classified(spark, sf_dir))
+
+
+@query
+def reject_counts(spark, sf_dir):
+    """The counters, from what the loads have written."""
+    return rejects.counted_lines(spark, _classified(spark, sf_dir))
+
+
+@query
+def rejects_by_dump(spark, sf_dir):
+    return rejects.rejects_by_dump(spark, _classified(spark, sf_dir))
+
+
 @query
 def first_line_per_key(spark, sf_dir):
     """One line per untrimmed text key."""
@@ -133,6 +162,19 @@ def avg_close_nonnull(spark, sf_dir):
     return averages.avg_close_present(adapters.bars_with_gaps(spark, sf_dir), exact=MONEY)
 
 
+@query
+def mean_states(spark, sf_dir):
+    """Means from the states of three loads, two of them folded, one of those added a second time."""
+    home = work_dir(spark, "states")
+    bars = adapters.bars_with_gaps(spark, sf_dir)
+    for n, part in enumerate((0, 1, 0, 2)):
+        loaded = bars.where(F.pmod(F.xxhash64("tstamp", "close"), F.lit(3)) == part)
+        add_states(loaded, home, f"load-{part}", MONEY)
+        if n == 1:
+            fold(spark, home)
+    return means(spark, home)
+
+
 @query
 def avg_close_deduplicated(spark, sf_dir):
     """After one row per timestamp is kept, the mean is the close itself."""
@@ -331,6 +373,49 @@ def vacuumed_table(spark, sf_dir):
     return spark.table(name).join(left, DAY).select(*FIELDS, "n_folders")
 
 
+LARGE = (9, 9)
+
+
+@query
+def curve_layout(spark, sf_dir):
+    """Bars of one volume, from a table on a curve over time, volume and symbol."""
+    home = work_dir(spark, "curve")
+    write_curve(adapters.symbol_bars(spark, sf_dir), f"{home}/bars")
+    write_zones(spark, f"{home}/bars", CELL, f"{home}/zones")
+    rows, zone_rows = spark.read.parquet(f"{home}/bars"), spark.read.parquet(f"{home}/zones")
+    return rows_by_zones(rows, zone_rows, CELL, volumes=LARGE).select(SYMBOL, *FIELDS)
+
+
+@query
+def zone_pruned(spark, sf_dir):
+    """Late bars of a volume from a table by day, its days chosen by the zones of its files."""
+    home = work_dir(spark, "zones")
+    write_warehouse(adapters.intraday_bars(spark, sf_dir), f"{home}/bars")
+    write_zones(spark, f"{home}/bars", DAY, f"{home}/zones")
+    rows, zone_rows = spark.read.parquet(f"{home}/bars"), spark.read.parquet(f"{home}/zones")
+    return rows_by_zones(rows, zone_rows, DAY, after=LATE_START, volumes=LARGE).select(*FIELDS)
+
+
+@query
+def curve_files(spark, sf_dir):
+    """For a filter on the volume: the rows it finds, and whether fewer files have to be opened for them on the
+    curve than by day."""
+    home = work_dir(spark, "both")
+    bars = adapters.symbol_bars(spark, sf_dir)
+    write_warehouse(bars, f"{home}/by_day")
+    write_curve(bars, f"{home}/curve")
+    sides = []
+    for layout, by in (("by_day", DAY), ("curve", CELL)):
+        rows = spark.read.parquet(f"{home}/{layout}")
+        opened = zones(rows, by).where(meets(volumes=LARGE)).select(F.lit(0).alias("n"), F.lit(layout).alias("file_of"))
+        found = rows.where(F.col("volume").between(*LARGE)).select(F.lit(1).alias("n"), F.lit(layout).alias("file_of"))
+        sides += [opened, found]
+    both = sides[0].union(sides[1]).union(sides[2]).union(sides[3])
+    n_files = [F.count_if((F.col("n") == 0) & (F.col("file_of") == layout)) for layout in ("curve", "by_day")]
+    n_rows = F.count_if((F.col("n") == 1) & (F.col("file_of") == "curve"))
+    return both.agg(n_rows.alias("n_rows"), (n_files[0] < n_files[1]).alias("fewer_files"))
+
+
 def _two_layouts(spark, sf_dir, home):
     bars = adapters.intraday_bars(spark, sf_dir)
     bars.write.parquet(f"{home}/before")
@@ -396,6 +481,18 @@ def landing_ingest(spark, sf_dir):
     return taken
 
 
+@query
+def ledger_ingest(spark, sf_dir):
+    """The same dumps taken by a ledger."""
+    home = work_dir(spark, "ledger")
+    lines = adapters.feed_lines(spark, sf_dir)
+    make_folder(spark, f"{home}/landing")
+    for snapshots in ((), adapters.SNAPSHOTS[:2], (), adapters.SNAPSHOTS[2:]):
+        adapters.write_dumps(lines, f"{home}/landing", snapshots)
+        taken = ingest_by_ledger(spark, f"{home}/landing", f"{home}/taken", archive=f"{home}/archive")
+    return taken
+
+
 def _loaded(spark, lines, home):
     targets = LoadTargets(
         cleaned=f"{home}/cleaned",

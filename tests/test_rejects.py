@@ -1,0 +1,98 @@
+"""Lines written by what became of them."""
+
+import re
+
+import pytest
+from conftest import plan
+from pyspark.sql import functions as F
+
+from barmill.operators.lenient import close_pairs, parse_counters
+from barmill.plans import rejects
+from barmill.plans.load import LoadTargets, run_daily_load
+
+HEADER = "timestamp,open,high,low,close,volume"
+LINES = [
+    (HEADER, "A", "s1"),
+    ("2025-09-30 04:00:00,1,2,3,4,5", "A", "s1"),
+    ("", "A", "s1"),
+    ("t,1,2,3,4", "A", "s1"),
+    ("t,1,2,3,,5", "B", "s1"),
+    ("t,1,2,3,abc,5", "B", "s2"),
+    ("t,1,2,3,abd,5", "B", "s2"),
+    (",1,2,3,4,5", None, None),
+    ("\t t,1,2,3,4.5,5 ", None, None),
+]
+
+
+@pytest.fixture
+def lines(spark):
+    return spark.createDataFrame(LINES, "value string, symbol string, snapshot string")
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_every_line_is_kept_once(spark, lines, tmp_path):
+    home = str(tmp_path / "t")
+    rejects.write_classified(lines, home)
+    assert rows(rejects.classified_lines(spark, home).select("line", "symbol", "snapshot")) == rows(lines)
+    assert rows(rejects.rejected_lines(spark, home)) == sorted(
+        [
+            ("InvalidLineLength", "A", "s1", "t,1,2,3,4"),
+            ("InvalidLineLength", "B", "s1", "t,1,2,3,,5"),
+            ("InvalidNumberFormat", "B", "s2", "t,1,2,3,abc,5"),
+            ("InvalidNumberFormat", "B", "s2", "t,1,2,3,abd,5"),
+            ("InvalidLineLength", None, None, ",1,2,3,4,5"),
+        ],
+        key=repr,
+    )
+    assert rows(rejects.valid_pairs(spark, home)) == rows(close_pairs(lines))
+    assert rows(rejects.counted_lines(spark, home)) == rows(parse_counters(lines))
+    by_dump = {(r.symbol, r.snapshot, r.line_class): (r.n_lines, r.example) for r in rejects.rejects_by_dump(spark, home).collect()}
+    assert by_dump["B", "s2", "InvalidNumberFormat"] == (2, "t,1,2,3,abc,5") and len(by_dump) == 4
+
+
+def test_a_load_takes_its_own_place(spark, lines, tmp_path):
+    home = str(tmp_path / "t")
+    odd = lines.where("symbol = 'B'")
+    for some, name in ((lines.where("symbol = 'A'"), "1"), (odd, "2"), (odd, "2"), (lines.where("symbol IS NULL"), "3")):
+        rejects.write_classified(some, home, load=name)
+    assert rows(rejects.counted_lines(spark, home)) == rows(parse_counters(lines))
+    rejects.write_classified(odd.limit(0), home, load="2")
+    assert rows(rejects.counted_lines(spark, home)) == rows(parse_counters(lines.where("symbol IS DISTINCT FROM 'B'")))
+
+
+def test_one_scan_and_no_shuffle(spark, lines, tmp_path):
+    lines.select("value").write.text(str(tmp_path / "raw"))
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("classified", "")
+    rejects.write_classified(spark.read.text(str(tmp_path / "raw")), str(tmp_path / "t"))
+    spark.sparkContext.setJobGroup("rest", "")
+    ids = jobs.getJobIdsForGroup("classified")
+    assert len(ids) == 1 and len(jobs.getJobInfo(ids[0]).stageIds) == 1
+    text = plan(rejects.rejected_lines(spark, str(tmp_path / "t")))
+    assert "PartitionFilters" in plan(rejects.valid_pairs(spark, str(tmp_path / "t")))
+    assert "Filter" not in re.sub("PartitionFilters", "", text) and "line_class" in text.split("PartitionFilters")[1].split("\n")[0]
+
+
+def test_nothing_there(spark, lines, tmp_path):
+    assert rejects.rejected_lines(spark, str(tmp_path / "none")).count() == 0
+    rejects.write_classified(lines.limit(0), str(tmp_path / "t"))
+    assert rows(rejects.counted_lines(spark, str(tmp_path / "t"))) == [(0,) * 6]
+
+
+def test_only_rejects_of_one_kind(spark, tmp_path):
+    bad = spark.range(5000).select(F.lit("t,1,2,3,abc,5").alias("value"))
+    rejects.write_classified(bad, str(tmp_path / "t"))
+    assert rejects.rejected_lines(spark, str(tmp_path / "t")).count() == 5000
+    assert rejects.valid_pairs(spark, str(tmp_path / "t")).count() == 0
+
+
+def test_valid_lines_are_loaded(spark, lines, tmp_path):
+    rejects.write_classified(lines, str(tmp_path / "t"))
+    targets = LoadTargets(*(str(tmp_path / d) for d in ("c", "w", "a")), "bars_valid", "means_valid")
+    row = run_daily_load(rejects.valid_lines(spark, str(tmp_path / "t")), targets, "line").first()
+    assert (row.n_rows, row.lines, row.malformed, row.unnamed) == (1, 2, 0, 1)
+    for name in ("bars_valid", "means_valid"):
+        spark.sql(f"DROP TABLE {name}")
