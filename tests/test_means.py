@@ -1,0 +1,113 @@
+"""Means from partial states."""
+
+import os
+from decimal import Decimal
+
+import pytest
+from conftest import plan
+from pyspark.sql import functions as F
+
+from barmill.operators.averages import avg_close, mean_of_states, mean_states, merged_states
+from barmill.plans import means as ops
+from barmill.plans.means import add_states, fold, means
+
+MONEY = (12, 2)
+
+
+@pytest.fixture
+def bars(spark):
+    """A third of all rows at one time; closes whose sums as doubles depend on their order; some NULL."""
+    rows = [("A" if n % 4 else "B", f"t{0 if n % 3 == 0 else n % 50}", None if n % 7 == 0 else n / 100) for n in range(3000)]
+    rows += [("C", "none", None), (None, None, 1.25)]
+    return spark.createDataFrame(rows, "symbol string, tstamp string, close double")
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def parts(bars, n):
+    return [bars.where(F.pmod(F.xxhash64("tstamp", "close"), F.lit(n)) == p) for p in range(n)]
+
+
+def test_states_of_parts_make_the_mean_of_all(bars):
+    states = [mean_states(p, MONEY) for p in parts(bars, 3)]
+    merged = merged_states(merged_states(states[2].union(states[0])).union(states[1]))
+    assert rows(mean_of_states(merged)) == rows(avg_close(bars, exact=MONEY))
+    assert dict(merged.dtypes)["close_sum"] == "decimal(38,2)"
+
+
+@pytest.mark.parametrize("folds", [(), (0,), (0, 1, 2), (2, 2, 2)])
+def test_loads_add_up(spark, bars, tmp_path, folds):
+    home = str(tmp_path / "m")
+    for n, part in enumerate(parts(bars, 3)):
+        add_states(part, home, f"load.{n}", MONEY)
+        add_states(part, home, f"load.{n}", MONEY)
+        for _ in range(folds.count(n)):
+            fold(spark, home)
+        add_states(part, home, f"load.{n}", MONEY)  # folded already or not
+    assert rows(means(spark, home)) == rows(avg_close(bars, exact=MONEY))
+    assert len(ops._generations(spark, home)) <= 2
+
+
+def test_a_fold_that_stops_changes_nothing(spark, bars, tmp_path, monkeypatch):
+    home = str(tmp_path / "m")
+    for n, part in enumerate(parts(bars, 2)):
+        add_states(part, home, f"{n}", MONEY)
+    before = rows(means(spark, home))
+
+    def stop(*args):
+        raise InterruptedError
+
+    for name in ("make_folder", "remove"):
+        with monkeypatch.context() as patch:
+            patch.setattr(ops, name, stop)
+            for _ in range(2):  # the second fold has an old generation to remove
+                try:
+                    fold(spark, home)
+                except InterruptedError:
+                    pass
+        assert rows(means(spark, home)) == before
+        add_states(parts(bars, 2)[0], home, "0", MONEY)
+        assert rows(means(spark, home)) == before
+    fold(spark, home)
+    assert rows(means(spark, home)) == before
+
+
+def test_reading_merges_before_its_one_exchange(spark, bars, tmp_path):
+    home = str(tmp_path / "m")
+    add_states(bars, home, "1", MONEY)
+    text = plan(means(spark, home))
+    assert text.count("hashpartitioning") == 1 and "partial_sum" in text
+
+
+def test_a_load_reads_nothing_of_the_others(spark, bars, tmp_path):
+    home = str(tmp_path / "m")
+    add_states(bars, home, "1", MONEY)
+    stored = {f: os.stat(f"{home}/0/batch=1/{f}").st_mtime_ns for f in os.listdir(f"{home}/0/batch=1")}
+    add_states(bars.limit(10), home, "2", MONEY)
+    assert stored == {f: os.stat(f"{home}/0/batch=1/{f}").st_mtime_ns for f in os.listdir(f"{home}/0/batch=1")}
+
+
+def test_faults_are_loud(spark, bars, tmp_path):
+    home = str(tmp_path / "m")
+    with pytest.raises(ValueError, match="not the name"):
+        add_states(bars, home, "a/b", MONEY)
+    with pytest.raises(ValueError, match="no states"):
+        means(spark, home)
+    fold(spark, home)
+    with pytest.raises(Exception, match="no decimal"):
+        add_states(bars.withColumn("close", F.lit(0.123)), home, "1", MONEY)
+    huge = spark.createDataFrame([("t", Decimal(9 * 10**35), 1)] * 2, "timestamp string, close_sum decimal(38,2), close_count bigint")
+    with pytest.raises(Exception, match="38 digits|overflow|OVERFLOW"):
+        merged_states(huge).collect()
+
+
+def test_few_rows(spark, bars, tmp_path):
+    home = str(tmp_path / "m")
+    add_states(bars.limit(0), home, "1", MONEY)
+    assert means(spark, home).count() == 0
+    fold(spark, home)
+    one = spark.createDataFrame([("t", None)], "tstamp string, close double")
+    add_states(one, str(tmp_path / "n"), "1", MONEY)
+    assert rows(means(spark, str(tmp_path / "n"))) == [("t", None)]
