@@ -11,13 +11,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barmill.plans.workspace import work_dir
 
-#: Rows per Arrow batch. Documents are long; the default of 10,000 would hold tens of MB.
-BATCH_ROWS = 1000
+#: Rows and bytes per Arrow batch. Documents are long; the defaults of 10,000 rows and 64 MB would take
+#: several times that of every executor, in the JVM outside its heap and in Python.
+BATCH_ROWS, BATCH_BYTES = 1000, 2 << 20
 
 _shipped: set[str] = set()
 
@@ -29,7 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def prepare(spark: SparkSession) -> None:
     """Send this package to the executors once and keep Arrow batches small.
 
-    Executors that were started without the package on their path get it as a zip file.
+    The bounds of batches stay set in the session, since Spark reads them when a result is asked for;
+    smaller ones of the caller's are left as they are. Executors that were started without the package on their path get it as a zip file.
     """
     context = spark.sparkContext
     if context.applicationId not in _shipped:
@@ -45,6 +48,9 @@ def prepare(spark: SparkSession) -> None:
         context.addPyFile(path)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    # As text, since the default is given with its unit.
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") in ("67108864b", "64m", "64MB"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -107,6 +113,15 @@ def batches_of(rows: Iterable[pa.RecordBatch], most_bytes: int) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+def byte_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``BATCH_BYTES`` of a binary column, at least a row each."""
+    sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy()
+    unit = np.cumsum(sizes) // BATCH_BYTES
+    starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]]) if len(sizes) else []
+    for lo, hi in zip(starts, [*starts[1:], len(sizes)]):
+        yield batch.slice(lo, hi - lo)
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """A bijective mixer of 64-bit words (the finaliser of splitmix64)."""
     values = values ^ (values >> np.uint64(30))

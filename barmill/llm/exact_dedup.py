@@ -117,15 +117,14 @@ def _merge(key: tuple, runs: pa.Table) -> pa.Table:
     return pa.table({"range": [key[0].as_py()], "node": [key[1].as_py()], "run": [merged]})
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for blob in batch["run"].to_pylist():
-            run = np.frombuffer(blob, _ENTRY)
-            # numpy cuts zero bytes off the end of an "S" value when it is taken out.
-            digest = pa.array([run["digest"][i].ljust(32, b"\0") for i in range(len(run))], pa.binary())
-            keep = pa.array(run["doc"], mask=run["doc"] == NO_ID)
-            arrays = [digest, keep, pa.array(run["row"]), pa.array(run["count"])]
-            yield pa.RecordBatch.from_arrays(arrays, ["digest", "keep_id", "keep_row", "group_size"])
+def _merge_all(key: tuple, runs: pa.Table) -> pa.Table:
+    """The last merge of a range, its entries as rows."""
+    run = _melt(np.concatenate([np.frombuffer(b, _ENTRY) for b in runs["run"].to_pylist()]))
+    # numpy cuts zero bytes off the end of an "S" value when it is taken out.
+    digest = pa.array([d.ljust(32, b"\0") for d in run["digest"].tolist()], pa.binary())
+    keep = pa.array(run["doc"], mask=run["doc"] == NO_ID)
+    arrays = [digest, keep, pa.array(run["row"]), pa.array(run["count"])]
+    return pa.table(arrays, ["digest", "keep_id", "keep_row", "group_size"])
 
 
 def merged_runs(rows: DataFrame, n_rows: int, leaves: int) -> DataFrame:
@@ -136,13 +135,12 @@ def merged_runs(rows: DataFrame, n_rows: int, leaves: int) -> DataFrame:
     runs = rows.mapInArrow(_leaf_runs(ranges), schema)
     while True:
         runs = runs.withColumn("node", F.expr(f"node div {FAN_IN}"))
-        runs = runs.groupBy("range", "node").applyInArrow(_merge, schema)
         leaves = -(-leaves // FAN_IN)
         if leaves <= 1:
             break
-    return runs.mapInArrow(
-        _unpack, "digest binary, keep_id bigint, keep_row bigint, group_size bigint"
-    )
+        runs = runs.groupBy("range", "node").applyInArrow(_merge, schema)
+    entries = "digest binary, keep_id bigint, keep_row bigint, group_size bigint"
+    return runs.groupBy("range", "node").applyInArrow(_merge_all, entries)
 
 
 def exact_duplicates(documents: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barmill.llm.common import mix64, prepare, sent, table, trimmed, written
+from barmill.llm.common import byte_slices, mix64, prepare, sent, table, trimmed, written
 from barmill.llm.components import connected
 from barmill.llm.filters import filter_of, passes
 
@@ -33,8 +33,9 @@ SHINGLE = 5
 PERCENT, PERCENT_UNION = 75, 100
 HASHES, ROWS = 144, 6
 BANDS = 2 * HASHES // ROWS
-#: Classes of a bucket that are compared in one task.
-CHUNK = 256
+#: Classes of a bucket, and shingles of them all, that are compared in one task (8 bytes each, some ten times
+#: that while they are); both on average, as classes are dealt out by hash.
+CHUNK, CHUNK_SHINGLES = 256, 1 << 20
 
 #: Ids of documents to be dropped that are sent to all tasks; more are joined by a shuffle.
 IDS_SENT = 1_000_000
@@ -118,7 +119,7 @@ def _set_rows(shared):
             if batch.num_rows:
                 sets = [s.tobytes() for s in shingle_sets(batch["text"])]
                 arrays = [batch["doc_id"], pa.array(sets, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["rep", "shingles"])
+                yield from byte_slices(pa.RecordBatch.from_arrays(arrays, ["rep", "shingles"]), "shingles")
 
     return rows
 
@@ -174,19 +175,25 @@ def shared_buckets(classes: DataFrame) -> DataFrame:
 
     Classes are told apart by their digest, since rows of one id may be in several of them.
     """
-    keyed = classes.select("rep", "digest", F.explode("bands").alias("bucket"))
+    keyed = classes.select("rep", "digest", "n_shingles", F.explode("bands").alias("bucket"))
     buckets = (
         keyed.groupBy("bucket")
         .agg(
             F.count(F.lit(1)).alias("n"),
+            F.sum("n_shingles").alias("size"),
             F.bit_xor(F.xxhash64("digest")).alias("x"),
             F.bit_xor(F.xxhash64("digest", F.lit(1))).alias("y"),
         )
         .where("n > 1")
     )
-    one_each = buckets.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"))
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")
-    return keyed.drop("digest").join(one_each.select("bucket", chunks), "bucket")
+    one_each = buckets.groupBy("n", "size", "x", "y").agg(F.min("bucket").alias("bucket"))
+    chunks = _parts(F.col("n"), F.col("size")).alias("chunks")
+    return keyed.drop("digest", "n_shingles").join(one_each.select("bucket", chunks, "size", "n"), "bucket")
+
+
+def _parts(n, size):
+    """Into how many parts so many classes of so many shingles are dealt."""
+    return F.greatest(F.ceil(n / CHUNK), F.ceil(size / CHUNK_SHINGLES)).cast("int")
 
 
 def _chunk(chunks, salt: int = 0):
@@ -202,12 +209,17 @@ def _across(members: DataFrame, roots: DataFrame) -> DataFrame | None:
     if large.isEmpty():
         return None
     named = large.join(roots, large["rep"] == roots["node"], "left")
-    named = written(named.select("bucket", "chunks", "rep", F.coalesce("root", "rep").alias("root")), "large")
-    sizes = named.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    root = F.coalesce("root", "rep").alias("root")
+    named = written(named.select("bucket", "chunks", "rep", root, (F.col("size") / F.col("n")).alias("mean")), "large")
+    sizes = named.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.max("mean").alias("mean"))
     per = sizes.groupBy("bucket").agg(
-        F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("main")
+        F.sum("n").alias("n"),
+        F.max("n").alias("most"),
+        F.max_by("root", F.struct("n", "root")).alias("main"),
+        F.max("mean").alias("mean"),
     )
-    parts = F.ceil((F.col("n") - F.col("most")) / CHUNK).cast("int").alias("parts")
+    apart = F.col("n") - F.col("most")
+    parts = _parts(apart, apart * F.col("mean")).alias("parts")
     named = named.join(per.where("n > most").select("bucket", "main", parts), "bucket")
     own = named.select(
         "bucket",
@@ -240,7 +252,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     schema = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>"
     rows = written(chosen.mapInArrow(_signature_rows, schema), "signatures")
     full = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
+    classes = full.groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("n_shingles").alias("n_shingles")
+    )
     members = written(shared_buckets(classes), "buckets")
     hashed = members.select("rep").distinct().mapInArrow(_hash_rows, "h bigint")
     shared = spark.sparkContext.broadcast(filter_of(hashed, F.col("h")))

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from cases import WORDS, edges, frame, prose, rows_of
 
 from barmill.llm import near_dedup as ops
@@ -73,7 +74,8 @@ def test_buckets_larger_than_a_chunk(spark, monkeypatch):
 def test_buckets_of_ids_with_several_texts(spark):
     """Two texts of one id cancel in no bucket; buckets of the same texts are still one."""
     rows = [(1, b"a", [10, 30]), (1, b"b", [10, 30]), (2, b"c", [20]), (2, b"d", [20]), (3, b"e", [10, 20, 30])]
-    found = ops.shared_buckets(spark.createDataFrame(rows, "rep bigint, digest binary, bands array<bigint>"))
+    given = spark.createDataFrame(rows, "rep bigint, digest binary, bands array<bigint>")
+    found = ops.shared_buckets(given.withColumn("n_shingles", F.lit(3)))
     assert sorted(rows_of(found, "bucket", "rep")) == [(10, 1), (10, 1), (10, 3), (20, 2), (20, 2), (20, 3)]
 
 
@@ -112,3 +114,29 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.root for r in connected(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
     want = {i: 100 for i in range(100, 161)} | {i: 9 for i in [9, *range(500, 580)]}
     assert got == want
+
+
+def test_groups_of_long_texts_are_dealt_by_size(spark, monkeypatch):
+    # Near-copies of long texts: few classes, but more shingles than a task should hold.
+    words = prose(7, 900).split(" ")
+    rows = [(500 + n, " ".join([*words[: 60 * n], f"changed{n}", *words[60 * n :]])) for n in range(12)] + family(8, 10, 3)
+    want = expected(rows)
+    monkeypatch.setattr(ops, "CHUNK_SHINGLES", 2_000)
+    assert sorted(rows_of(ops.near_duplicates(frame(spark, rows)), *COLUMNS)) == want
+    docs = frame(spark, rows).select("doc_id", "text")
+    schema = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>"
+    signed = docs.mapInArrow(ops._signature_rows, schema).selectExpr("*", "doc_id AS rep")
+    shared = ops.shared_buckets(signed).groupBy("bucket").agg(F.max("chunks").alias("chunks"), F.max("size").alias("size")).collect()
+    assert max(r["chunks"] for r in shared) > 3 and all(r["size"] <= 2_000 * r["chunks"] for r in shared)
+
+
+def test_sets_are_sent_in_small_pieces():
+    import pyarrow as pa
+
+    from barmill.llm.common import BATCH_BYTES, byte_slices
+
+    blobs = [b"x" * n for n in (10, 3 * BATCH_BYTES, 5, BATCH_BYTES // 2, BATCH_BYTES // 2, 0, 7)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(blobs, pa.binary())], ["rep", "shingles"])
+    cut = list(byte_slices(batch, "shingles"))
+    assert [v for piece in cut for v in piece["rep"].to_pylist()] == list(range(8)) and len(cut) > 2
+    assert list(byte_slices(batch.slice(0, 0), "shingles")) == []
