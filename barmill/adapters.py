@@ -120,6 +120,27 @@ def intraday_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_scanned(table(spark, sf_dir, "events").select(line))
 
 
+def mixed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of several kinds as text, for every row of ``lineitem``, and the ``part`` (0 to 2) it comes in.
+
+    Some fields change their kind in the last part only.
+    """
+    line, late = F.col("l_linenumber"), F.col("l_orderkey") % 3 == 2
+    time = F.date_format("l_shipdate", TIMESTAMP_FORMAT)
+    whole, money = (F.col("l_quantity").cast("bigint") + 1).cast("string"), _money(F.col("l_extendedprice"))
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("key"),
+        money.alias("price"),
+        F.when(late & (line == 1), money).otherwise(whole).alias("quantity"),
+        time.alias("tstamp"),
+        F.when(late & (line == 2), "unknown").otherwise(time).alias("arrived"),
+        F.when(line % 2 == 0, whole).alias("sometimes"),
+        F.lit(None).cast("string").alias("never"),
+        F.when(line == 3, time).otherwise(whole).alias("either"),
+        (F.col("l_orderkey") % 3).alias("part"),
+    )
+
+
 #: Symbols and snapshots of the dumps. Some symbols are encoded in a path, one looks like two.
 SYMBOLS = ("BRK_B", "^GSPC", "A+ B%")
 SNAPSHOTS = ("20250901_040000", "20250902_040000", "20250903_040000")
@@ -191,6 +212,26 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ticks_in_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ticks`` with the ``landing``, 0 to 2, they come in: ten days each, but for some that come later.
+
+    Of the first ten days one in 97 comes with the last, far too late, and of the last hour before the
+    third part one in five, which is still in time.
+    """
+    ts, tick = F.col("ts"), F.col("tick_id")
+
+    def until(text: str) -> Column:
+        return ts < F.lit(text).cast("timestamp_ntz")
+
+    landing = (
+        F.when(until("2024-01-11"), F.when(tick % 97 == 0, 2).otherwise(0))
+        .when(until("2024-01-21") & ~until("2024-01-20 23:00:00") & (tick % 5 == 0), 2)
+        .when(until("2024-01-21"), 1)
+        .otherwise(2)
+    )
+    return ticks(spark, sf_dir).withColumn("landing", landing)
+
+
 def timing_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The texts of a pair of timing logs for every event, some without a timing, some absent."""
     event = F.col("event_id")

@@ -36,6 +36,27 @@ def with_day(bars: DataFrame, column: str = "tstamp") -> DataFrame:
     return bars.withColumn(DAY, F.to_date(column))
 
 
+def micros_of(time: Column) -> Column:
+    """Microseconds from 1970 to a timestamp without zone. ``timestampdiff`` would go through the session's zone
+    and put an hour that summer time skips after the next one."""
+    plain = time.cast("timestamp_ntz")
+    day = F.unix_date(plain.cast("date")).cast("bigint")
+    seconds = F.extract(F.lit("SECOND"), plain) * F.lit(1_000_000)  # a decimal, with its fraction
+    minutes = day * 1440 + F.hour(plain) * 60 + F.minute(plain)
+    return minutes * F.lit(60_000_000) + seconds.cast("bigint")
+
+
+def utc_instant(time: Column) -> Column:
+    """A timestamp without zone as the instant it is in UTC, whatever the session's zone."""
+    return F.timestamp_micros(micros_of(time))
+
+
+def utc_time(instant: Column) -> Column:
+    """The timestamp without zone that an instant is in UTC, whatever the session's zone."""
+    seconds = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def moment(value: str | datetime) -> Column:
     """Timestamp literal without zone; a value that has one is refused, since bars have none."""
     if isinstance(value, datetime) and value.tzinfo is not None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barmill.functions.times import parse_timestamp
+from barmill.functions.times import micros_of, parse_timestamp
 from barmill.schema import BAR, FIELDS
 
 
@@ -70,9 +70,7 @@ _WHOLE = {"tinyint", "smallint", "int", "bigint"}
 def _packed(time: str, tie_break: str) -> Column:
     """Microseconds, then the tie-break moved above zero, as one number in the same order; a tie-break
     that is missing comes first."""
-    epoch = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-    micros = F.expr(f"timestampdiff(MICROSECOND, {epoch}, cast(`{time}` AS timestamp_ntz))")
-    high = micros.cast("decimal(19,0)") * F.lit(str(2**64)).cast("decimal(20,0)")
+    high = micros_of(F.col(time)).cast("decimal(19,0)") * F.lit(str(2**64)).cast("decimal(20,0)")
     low = F.col(tie_break).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")
     return (high + F.coalesce(low, F.lit(0).cast("decimal(20,0)"))).cast("decimal(38,0)")
 
@@ -92,14 +90,19 @@ def interval_bars(
     numbers is packed with the time into one number, which a hash aggregate can keep; others make
     a struct, for which ticks are sorted first.
     """
+    started = ticks.withColumn("tstamp", F.window(time, interval).start)
+    grouped = started.groupBy("tstamp", F.col(symbol).alias("symbol"))
+    return grouped.agg(*bar_aggregates(ticks, time, price, tie_break)).select("symbol", *FIELDS)
+
+
+def bar_aggregates(ticks: DataFrame, time: str, price: str, tie_break: str) -> list[Column]:
+    """What makes a bar of the ticks of a group, in the order of ``FIELDS``."""
     moment = _packed(time, tie_break) if dict(ticks.dtypes)[tie_break] in _WHOLE else F.struct(time, tie_break)
     value = F.col(price)
-    started = ticks.withColumn("tstamp", F.window(time, interval).start)
-    grouped = started.groupBy("tstamp", F.col(symbol).alias("symbol")).agg(
+    return [
         F.min_by(value, moment).alias("open"),
         F.max(value).alias("high"),
         F.min(value).alias("low"),
         F.max_by(value, moment).alias("close"),
         F.count(F.lit(1)).alias("volume"),
-    )
-    return grouped.select("symbol", *FIELDS)
+    ]

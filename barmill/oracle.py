@@ -196,6 +196,19 @@ SELECT count(*) AS "ProcessedLines",
        count(*) FILTER (line_class = 'InvalidLineLength') AS "InvalidLineLength"
 FROM classed"""
 
+# Ticks with the landing they come in, and whether the watermark has passed their hour by then.
+_LANDINGS = """
+arrived AS (
+  SELECT event_type AS symbol, ts, value, event_id, time_bucket(INTERVAL '1 hour', ts) AS tstamp,
+         CASE WHEN ts < TIMESTAMP '2024-01-11' THEN CASE WHEN event_id % 97 = 0 THEN 2 ELSE 0 END
+              WHEN ts >= TIMESTAMP '2024-01-20 23:00:00' AND ts < TIMESTAMP '2024-01-21' AND event_id % 5 = 0 THEN 2
+              WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS landing
+  FROM events WHERE ts IS NOT NULL),
+told AS (
+  SELECT *, tstamp + INTERVAL '1 hour' <= (
+           SELECT max(b.ts) - INTERVAL '10 minutes' FROM arrived b WHERE b.landing < a.landing) AS late
+  FROM arrived a)"""
+
 ORACLE: dict[str, str] = {
     "strict_line_clean": f"WITH {_STRICT} SELECT key, line FROM strict",
     "lenient_close_pairs": f"""WITH {_LENIENT}
@@ -268,6 +281,38 @@ FROM events WHERE user_id % 10 = 9""",
 SELECT * FROM bars WHERE tstamp > TIMESTAMP '2024-01-20 12:00:00' AND volume = 9""",
     "curve_files": "SELECT count(*) AS n_rows, true AS fewer_files FROM events WHERE user_id % 10 = 9",
     "vacuumed_table": f"WITH {_INTRADAY_BARS} SELECT *, CAST(1 AS BIGINT) AS n_folders FROM bars",
+    "resumed_load": f"WITH {_INTRADAY_RAW} {_STRICT_ROWS}, {_LOADED}",
+    "resumed_stages": f"""WITH {_INTRADAY_RAW} {_STRICT_ROWS}, loaded AS (SELECT * FROM (WITH {_LOADED.lstrip()}))
+SELECT run, stage, ran, CASE WHEN stage = 'bars' THEN (SELECT count(*) FROM loaded) END AS n_rows
+FROM (VALUES (0, 'cleaned', true), (1, 'cleaned', false), (1, 'means', true), (2, 'cleaned', false), (2, 'means', false),
+             (2, 'bars', true), (3, 'cleaned', false), (3, 'means', false), (3, 'bars', false)) t(run, stage, ran)""",
+    "inferred_types": r"""
+WITH fields AS (
+  SELECT l_orderkey % 3 = 2 AS late, l_linenumber AS line, CAST(l_orderkey AS VARCHAR) AS key,
+         CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
+         CAST(CAST(l_quantity AS BIGINT) + 1 AS VARCHAR) AS whole, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS time
+  FROM lineitem),
+seen AS (
+  SELECT unnest([
+    {'p': 0, 'field': 'key', 'v': key}, {'p': 1, 'field': 'price', 'v': price},
+    {'p': 2, 'field': 'quantity', 'v': CASE WHEN late AND line = 1 THEN price ELSE whole END},
+    {'p': 3, 'field': 'tstamp', 'v': time},
+    {'p': 4, 'field': 'arrived', 'v': CASE WHEN late AND line = 2 THEN 'unknown' ELSE time END},
+    {'p': 5, 'field': 'sometimes', 'v': CASE WHEN line % 2 = 0 THEN whole END}, {'p': 6, 'field': 'never', 'v': NULL},
+    {'p': 7, 'field': 'either', 'v': CASE WHEN line = 3 THEN time ELSE whole END}]) AS s
+  FROM fields),
+kinds AS (
+  SELECT s.p AS position, s.field AS field,
+         CASE WHEN s.v IS NULL THEN NULL
+              WHEN regexp_full_match(s.v, '[+-]?\d+') AND TRY_CAST(s.v AS BIGINT) IS NOT NULL THEN 'whole'
+              WHEN TRY_CAST(s.v AS DOUBLE) IS NOT NULL THEN 'number'
+              WHEN try_strptime(s.v, '%Y-%m-%d %H:%M:%S') IS NOT NULL THEN 'time' ELSE 'text' END AS kind
+  FROM seen)
+SELECT CAST(position AS INTEGER) AS position, field,
+       CASE WHEN bool_and(kind = 'whole') THEN 'bigint' WHEN bool_and(kind IN ('whole', 'number')) THEN 'double'
+            WHEN bool_and(kind = 'time') THEN 'timestamp_ntz' ELSE 'string' END AS type,
+       count(kind) AS n_values
+FROM kinds GROUP BY position, field""",
     "log_report": """
 SELECT event_type AS run,
        CASE WHEN event_type <> 'signup' THEN CAST(length(event_type) * 1.5 AS DOUBLE) END AS before_ms,
@@ -281,6 +326,12 @@ SELECT event_type AS run,
             ELSE 'not available' END AS reduction
 FROM events GROUP BY event_type""",
     "landing_ingest": f"WITH {_RAW} SELECT value AS line, symbol, snapshot FROM raw",
+    "streamed_bars": f"""WITH {_LANDINGS}
+SELECT symbol, tstamp, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low,
+       arg_max(value, (ts, event_id)) AS close, count(*) AS volume
+FROM told WHERE late IS NOT TRUE GROUP BY symbol, tstamp""",
+    "late_ticks": f"""WITH {_LANDINGS}
+SELECT symbol, tstamp, count(*) AS n_late FROM told WHERE late GROUP BY symbol, tstamp""",
     "ledger_ingest": f"WITH {_RAW} SELECT value AS line, symbol, snapshot FROM raw",
     "daily_load_symbols": f"""{_NEWEST}
 SELECT symbol, tstamp, open, high, low, close, volume FROM typed WHERE volume > 0""",

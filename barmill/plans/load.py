@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barmill.operators.averages import avg_close
@@ -85,15 +85,40 @@ def run_daily_load(
     per key, means, layout. Nothing is put in a global order, since no reader asks for one.
     """
     spark = lines.sparkSession
+    found = write_cleaned(lines, to, column, strict_timestamps)
+    write_means(spark, to)
+    loaded = write_bars(spark, to, partitions)
+    return spark.createDataFrame([(loaded["n_rows"],)], "n_rows bigint").select(
+        "n_rows", *(F.lit(found[name]).alias(name) for name in found)
+    )
+
+
+def write_cleaned(
+    lines: DataFrame, to: LoadTargets, column: str = "value", strict_timestamps: bool = False
+) -> dict[str, int]:
+    """First stage: lines cleaned, one per key, and typed, as Parquet; how many fell out for what reason."""
+    spark = lines.sparkSession
     counted = Observation("load")
     identity = {"symbol", "snapshot"} <= set(lines.columns)
     observed = lines.observe(counted, *strict_counters(F.col(column), identity))
     typed = typed_bars(clean_once(observed, column), "line", strict_timestamps)
     typed.write.mode("overwrite").parquet(to.cleaned)
+    return dict(counted.get)
+
+
+def _cleaned(spark: SparkSession, to: LoadTargets) -> DataFrame:
+    return spark.read.parquet(to.cleaned)
+
+
+def write_means(spark: SparkSession, to: LoadTargets) -> dict[str, int]:
+    """Second stage: means of what was cleaned."""
+    save_table(avg_close(_cleaned(spark, to), "key"), to.averages_table, to.averages)
+    return {}
 
-    cleaned = spark.read.schema(typed.schema).parquet(to.cleaned)
-    save_table(avg_close(cleaned, "key"), to.averages_table, to.averages)
 
+def write_bars(spark: SparkSession, to: LoadTargets, partitions: int | None = None) -> dict[str, int]:
+    """Third stage: traded bars to the warehouse; how many the table has."""
+    cleaned = _cleaned(spark, to)
     symbol = [SYMBOL] if SYMBOL in cleaned.columns else []
     bars = traded(cleaned).select(*symbol, *FIELDS)
     if to.jdbc:
@@ -105,5 +130,4 @@ def run_daily_load(
     else:
         write_warehouse(bars, to.warehouse, to.warehouse_table, partitions=partitions)
         loaded = refresh_stats(spark, to.warehouse_table, ["tstamp", "volume"])
-    found = counted.get
-    return loaded.select("n_rows", *(F.lit(found[name]).alias(name) for name in found))
+    return {"n_rows": loaded.first()["n_rows"]}

@@ -25,9 +25,12 @@ from barmill.plans.load import LoadTargets, load_bars, run_daily_load
 from barmill.plans.means import add_states, fold, means
 from barmill.plans.merge import history_bars, merge_lines
 from barmill.plans import rejects
+from barmill.plans.stages import run_resumable_load
 from barmill.plans.workspace import make_folder, work_dir
 from barmill.schema import AVERAGE, DAY, FIELDS, SYMBOL
-from barmill.sources import files, sinks, tables
+from barmill.sources import files, infer, sinks, tables
+from barmill.streaming.bars import TICK, build_bars, open_bars
+from barmill.streaming.bars import late_ticks as count_late
 from barmill.streaming.landing import ingest_landing
 from barmill.streaming.ledger import ingest_by_ledger
 
@@ -276,6 +279,18 @@ def header_csv_average(spark, sf_dir):
     return means.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+@query
+def inferred_types(spark, sf_dir):
+    """Types of the fields of files with a header that come in three parts, one of them twice."""
+    home = work_dir(spark, "types")
+    rows = adapters.mixed_fields(spark, sf_dir)
+    for part in (0, 1, 1, 2):
+        some = rows.where(F.col("part") == part).drop("part")
+        some.write.mode("overwrite").option("header", True).csv(f"{home}/raw/{part}")
+        infer.add_types(spark, f"{home}/raw/{part}", f"{home}/states", f"part{part}")
+    return infer.inferred_types(spark, f"{home}/states")
+
+
 @query
 def tsv_round_trip(spark, sf_dir):
     """Means to tab-separated text and back."""
@@ -481,6 +496,29 @@ def landing_ingest(spark, sf_dir):
     return taken
 
 
+def _streamed(spark, sf_dir):
+    home = work_dir(spark, "ticks")
+    ticks = adapters.ticks_in_landings(spark, sf_dir)
+    for n in range(3):
+        ticks.where(F.col("landing") == n).drop("landing").write.mode("append").parquet(f"{home}/landing/{n}")
+        final = build_bars(spark, f"{home}/landing", f"{home}/built", "1 hour")
+    return home, final.union(open_bars(spark, f"{home}/built"))
+
+
+@query
+def streamed_bars(spark, sf_dir):
+    """Bars from a stream over three landings, some ticks late: the final ones and those still open."""
+    return _streamed(spark, sf_dir)[1]
+
+
+@query
+def late_ticks(spark, sf_dir):
+    """How many ticks came too late for their bar."""
+    home, bars = _streamed(spark, sf_dir)
+    taken = spark.read.schema(TICK).option("recursiveFileLookup", True).parquet(f"{home}/landing")
+    return count_late(taken, bars, "1 hour")
+
+
 @query
 def ledger_ingest(spark, sf_dir):
     """The same dumps taken by a ledger."""
@@ -514,6 +552,35 @@ def daily_load(spark, sf_dir):
     return tables.scan_table(spark, targets.warehouse_table).select(*FIELDS)
 
 
+def _resumed(spark, sf_dir):
+    home = work_dir(spark, "resumed")
+    adapters.intraday_lines(spark, sf_dir).write.text(f"{home}/raw")
+    targets = LoadTargets(
+        *(f"{home}/{name}" for name in ("cleaned", "warehouse", "averages")), _fresh("bars"), _fresh("means")
+    )
+    runs = []
+    for until in ("cleaned", "means", None, None):
+        runs.append(run_resumable_load(spark, [f"{home}/raw"], targets, f"{home}/records", identity=False, until=until))
+    return targets, runs
+
+
+@query
+def resumed_load(spark, sf_dir):
+    """The load in four runs, each of which goes on where the one before has ended."""
+    targets, _ = _resumed(spark, sf_dir)
+    return tables.scan_table(spark, targets.warehouse_table).select(*FIELDS)
+
+
+@query
+def resumed_stages(spark, sf_dir):
+    """Which stages the four runs ran, and how many rows the load reported each time."""
+    _, runs = _resumed(spark, sf_dir)
+    numbered = [r.withColumn("run", F.lit(n)) for n, r in enumerate(runs)]
+    every = numbered[0].union(numbered[1]).union(numbered[2]).union(numbered[3])
+    rows = F.get_json_object("report", "$.n_rows").cast("bigint")
+    return every.select("run", "stage", "ran", rows.alias("n_rows"))
+
+
 def _load_of_symbols(spark, sf_dir):
     home = work_dir(spark, "symbols")
     adapters.write_dumps(adapters.intraday_feed(spark, sf_dir), f"{home}/raw")

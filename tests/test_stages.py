@@ -1,0 +1,118 @@
+"""Loads that go on where they were stopped."""
+
+import json
+import os
+
+import pytest
+
+from barmill.plans import load, stages
+from barmill.plans.load import LoadTargets, run_daily_load
+from barmill.plans.stages import fingerprint, run_resumable_load
+from barmill.sources.files import scan_lines
+
+HEADER = "timestamp,open,high,low,close,volume"
+
+
+@pytest.fixture
+def loading(spark, tmp_path, request):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    name = f"resume_{abs(hash(request.node.name))}"
+
+    class Loading:
+        targets = LoadTargets(*(str(tmp_path / d) for d in ("cleaned", "warehouse", "averages")), name, f"{name}_means")
+
+        @staticmethod
+        def land(file, *lines):
+            (raw / file).write_text("\n".join([HEADER, *lines]))
+
+        @staticmethod
+        def run(until=None):
+            done = run_resumable_load(spark, [str(raw)], Loading.targets, str(tmp_path / "records"), until=until)
+            return {r.stage: (r.ran, json.loads(r.report)) for r in done.collect()}
+
+        @staticmethod
+        def bars():
+            return sorted((str(r.tstamp), r.close) for r in spark.table(name).collect())
+
+        @staticmethod
+        def means():
+            return sorted(map(tuple, spark.table(f"{name}_means").collect()))
+
+    Loading.raw = str(raw)
+    Loading.land("stock_IBM_20250930_100000.csv", "2025-09-30 04:00:00,1,1,1,1.5,5", "2025-09-30 04:05:00,1,1,1,2.5,0", "broken")
+    yield Loading
+    for table in (name, f"{name}_means"):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def ran(done):
+    return {stage: r for stage, (r, _) in done.items()}
+
+
+def test_what_has_not_changed_is_left_out(spark, loading):
+    first = loading.run()
+    assert ran(first) == {"cleaned": True, "means": True, "bars": True}
+    assert first["cleaned"][1] == {"lines": 4, "headers": 1, "malformed": 1, "unnamed": 0}
+    assert first["bars"][1] == {"n_rows": 1}
+    again = loading.run()
+    assert ran(again) == {"cleaned": False, "means": False, "bars": False}
+    assert [r for _, r in again.values()] == [r for _, r in first.values()]
+    loading.land("stock_IBM_20251001_100000.csv", "2025-10-01 04:00:00,1,1,1,3.5,7")
+    assert ran(loading.run()) == {"cleaned": True, "means": True, "bars": True}
+    assert loading.bars() == [("2025-09-30 04:00:00", 1.5), ("2025-10-01 04:00:00", 3.5)] and len(loading.means()) == 3
+
+
+@pytest.mark.parametrize("stop", ["write_cleaned", "write_means", "write_bars", "cleaned", "means"])
+def test_a_stopped_load_goes_on(spark, loading, monkeypatch, stop):
+    if stop.startswith("write"):
+        def fail(*args, **kwargs):
+            if stop != "write_cleaned":
+                getattr(load, stop)(*args, **kwargs)  # the work is done, its record not yet written
+            raise InterruptedError
+
+        with monkeypatch.context() as patch:
+            patch.setattr(stages, stop, fail)
+            with pytest.raises(InterruptedError):
+                loading.run()
+        left = {"write_cleaned": 3, "write_means": 2, "write_bars": 1}[stop]
+    else:
+        loading.run(until=stop)
+        left = {"cleaned": 2, "means": 1}[stop]
+    done = loading.run()
+    assert sum(ran(done).values()) == left
+    bars, means = loading.bars(), loading.means()
+    targets = LoadTargets(*(f"{loading.raw}_{d}" for d in ("c", "w", "a")), "resume_whole", "resume_whole_means")
+    run_daily_load(scan_lines(spark, loading.raw, identity=True), targets)
+    assert bars == sorted((str(r.tstamp), r.close) for r in spark.table("resume_whole").collect())
+    assert means == sorted(map(tuple, spark.table("resume_whole_means").collect()))
+    for table in ("resume_whole", "resume_whole_means"):
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_changes_that_count(spark, loading, tmp_path):
+    loading.run()
+    # A dump replaced by another of the same length.
+    path = f"{loading.raw}/stock_IBM_20250930_100000.csv"
+    text = open(path).read().replace("1.5", "1.7")
+    os.remove(path)
+    open(path, "w").write(text)
+    assert all(ran(loading.run()).values()) and loading.bars() == [("2025-09-30 04:00:00", 1.7)]
+    # An output that has gone.
+    os.rename(loading.targets.averages, str(tmp_path / "elsewhere"))
+    assert ran(loading.run()) == {"cleaned": False, "means": True, "bars": False}
+    # Other options.
+    done = run_resumable_load(spark, [loading.raw], loading.targets, str(tmp_path / "records"), strict_timestamps=True)
+    assert done.where("ran").count() == 3
+
+
+def test_fingerprints(spark, tmp_path):
+    home = tmp_path / "in"
+    home.mkdir()
+    empty = fingerprint(spark, [str(home)])
+    (home / "a.csv").write_text("1")
+    one = fingerprint(spark, [str(home)])
+    (home / "b.csv").write_text("1")
+    two = fingerprint(spark, [str(home)])
+    assert len({empty, one, two, fingerprint(spark, [str(home)], "x")}) == 4
+    assert two == fingerprint(spark, [str(home)])

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barmill.functions.times import parse_timestamp, retype_timestamp, time_range, with_day
+from barmill.functions.times import micros_of, parse_timestamp, retype_timestamp, time_range, utc_instant, utc_time, with_day
 from barmill.functions.timings import percent_reduction, percent_text, timing_ms
 from barmill.schema import TIMESTAMP_FORMAT
 
@@ -130,3 +130,15 @@ def test_percent_reduction(spark, before, after, text):
     got = df.select(reduction.alias("r"), percent_text(reduction).alias("t")).first()
     assert got.t == text
     assert (got.r is None) == (text == "not available")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin", "America/New_York", "Pacific/Apia"])
+def test_micros_do_not_depend_on_the_zone(spark, conf, zone):
+    conf(spark__sql__session__timeZone=zone)
+    texts = ["2025-03-30 02:30:00.123456", "2025-03-30 03:10:00", "2025-10-26 02:30:00", "1969-12-31 23:59:59.999999"]
+    texts += ["1582-10-10 00:00:00", "0001-01-01 00:00:00", "9999-12-31 23:59:59.999999", "2011-12-30 12:00:00"]
+    times = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast("timestamp_ntz"))
+    back = times.select(micros_of(F.col("t")), utc_time(utc_instant(F.col("t"))) == F.col("t")).collect()
+    epoch = datetime(1970, 1, 1)
+    want = [(datetime.fromisoformat(t) - epoch) // timedelta(microseconds=1) for t in texts]
+    assert [r[0] for r in back] == want and all(r[1] for r in back)
