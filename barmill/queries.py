@@ -17,7 +17,7 @@ from barmill.functions.times import parse_timestamp, retype_timestamp, time_rang
 from barmill.functions.timings import percent_reduction, timing_ms
 from barmill.operators import averages, lenient, strict
 from barmill.operators import bars as ops
-from barmill.plans.compare import compare_layouts, files_left, measure, report
+from barmill.plans.compare import access_paths, compare_layouts, files_left, measure, report
 from barmill.plans.curve import CELL, meets, rows_by_zones, write_curve, write_zones, zones
 from barmill.plans.exchange import exchange_days, table_files, vacuum
 from barmill.plans.layout import by_day, compact, data_files, refresh_stats, write_warehouse
@@ -472,6 +472,22 @@ def layout_rows(spark, sf_dir):
     )
 
 
+@query
+def access_path(spark, sf_dir):
+    """From the logs of the range query on either layout: whether folders are chosen, and what is pushed to the files."""
+    home = work_dir(spark, "access")
+    for stage, path in _two_layouts(spark, sf_dir, home).items():
+        measure(spark, spark.read.parquet(path), LATE_START, f"{home}/logs/0/{stage}.log")
+    paths = access_paths(files.scan_logs(spark, f"{home}/logs"))
+    return paths.select(
+        "stage",
+        "scan",
+        F.col("partition_filters").isNotNull().alias("folders_chosen"),
+        F.col("pushed_filters").contains("GreaterThan(tstamp,2024-01-20T12:00").alias("time_pushed"),
+        (F.size(F.split("read_schema", ",")) == len(FIELDS)).alias("six_fields"),
+    )
+
+
 @query
 def log_report(spark, sf_dir):
     """Timing logs as files, a pair per kind of event; some lack the timing or the second log."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from barmill.functions.times import time_range, with_day
 from barmill.plans import load
-from barmill.plans.compare import compare_layouts, files_left, report
+from barmill.plans.compare import access_paths, compare_layouts, files_left, measure, report
 from barmill.plans.exchange import table_files, vacuum
 from barmill.plans.layout import by_day, compact, compacted_days, refresh_stats, write_warehouse
 from barmill.plans.load import LoadTargets, load_bars, run_daily_load
@@ -202,6 +202,22 @@ def test_a_table_compared_with_itself_is_no_different(spark, four_days, tmp_path
     assert row.before_files == row.after_files == 2
 
 
+def test_access_paths(spark, four_days, tmp_path):
+    plain, arranged, logs = (str(tmp_path / name) for name in ("plain", "by_day", "logs"))
+    four_days.repartition(6).write.parquet(plain)
+    write_warehouse(four_days, arranged)
+    for stage, path in (("before", plain), ("after", arranged)):
+        measure(spark, spark.read.parquet(path), "2025-10-02", f"{logs}/1/{stage}.log")
+    os.makedirs(f"{logs}/2")
+    with open(f"{logs}/2/before.log", "w") as log:
+        log.write("Execution Time: 3 ms\n")
+    got = {(r.run, r.stage): r for r in access_paths(scan_logs(spark, logs)).collect()}
+    assert got["1", "before"].partition_filters is None and "2025-10-02T00:00" in got["1", "before"].pushed_filters
+    assert "tstamp_date" in got["1", "after"].partition_filters and got["1", "after"].scan == "parquet"
+    assert got["2", "before"].scan is None
+    assert report(scan_logs(spark, logs)).where("run = '1'").first().before_ms > 0
+
+
 def test_report_tolerates_missing_logs(spark, tmp_path):
     for name, text in {
         "a/before": "Execution Time: 0.282 ms",
