@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,6 +35,9 @@ CONTEXT_WORDS, CONTEXT_CHARS = 8, 160
 LABELS = 8
 THRESHOLD = 0.9
 
+#: Counts that a task holds before it hands them on.
+MOST_COUNTS = 200_000
+
 #: Words that a task remembers the answer for.
 MOST_WORDS = 150_000
 
@@ -98,6 +102,24 @@ def _is_term(word: str) -> bool:
     return len(word) >= 3 and not word.isdigit()
 
 
+class _Covered:
+    """Which places of a text lie in spans, asked for one by one: the spans put together, and a search by halves."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted((a, b) for _, a, b in spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end) - 1
+        return at >= 0 and self.ends[at] > start
+
+
 def contexts(text: str, spans: list[tuple[str, int, int]]) -> dict[tuple[str, str], set[str]]:
     """By value and term near it, the words around the term; words within base spans are no terms.
 
@@ -105,7 +127,7 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> dict[tuple[str, st
     soon that there are fewer than ``CONTEXT_WORDS``.
     """
     found: dict[tuple[str, str], set[str]] = {}
-    covered = sorted((a, b) for _, a, b in spans)
+    covered = _Covered(spans)
     for kind, start, end in spans:
         value = text[start:end].lower() if kind in ("email", "ip") else _NOT_DIGIT.sub("", text[start:end])
         lo, hi = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS)
@@ -120,7 +142,7 @@ def contexts(text: str, spans: list[tuple[str, int, int]]) -> dict[tuple[str, st
         for words, others in (sides, sides[::-1]):
             around = words + others[: max(0, CONTEXT_WORDS - len(words))]
             for word, x, y in words[:CONTEXT_WORDS]:
-                if _is_term(word) and not any(x < q and p < y for p, q in covered):
+                if _is_term(word) and not covered.meets(x, y):
                     rest = found.setdefault((f"{kind}:{value}", word), set())
                     rest.update(w for w, _, _ in around if w != word)
     return found
@@ -165,7 +187,7 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 for value, n in near.items():
                     counts[value, None, -1, 0] += 1
                     counts[value, None, -2, 0] += max(1, round(SHARE * min(1, n / max(distinct, 1))))
-            if len(counts) > 200_000:
+            if len(counts) > MOST_COUNTS:
                 yield rows()
                 counts.clear()
     yield rows()
@@ -226,11 +248,18 @@ def _count_rows(shared):
     @trimmed
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = _Words(shared.value), Counter()
+
+        def rows():
+            columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["term", "n"])
+
         for batch in batches:
             for text in texts(batch["text"]):
                 counts.update(words.passing({w for w in _WORD.findall(text.lower()) if _is_term(w)}))
-        columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["term", "n"])
+            if len(counts) > MOST_COUNTS:
+                yield rows()
+                counts.clear()
+        yield rows()
 
     return rows
 
@@ -316,10 +345,10 @@ def _span_rows(shared):
                 lower = text.lower() if words.any else ""
                 passing = words.passing({w for w in _WORD.findall(lower) if _is_term(w)})
                 if passing:
-                    covered = sorted((a, b) for _, a, b in spans)
+                    covered = _Covered(spans)
                     for m in _WORD.finditer(text):
                         word = m[0].lower()
-                        if word in passing and not any(m.start() < q and p < m.end() for p, q in covered):
+                        if word in passing and not covered.meets(*m.span()):
                             found.append({"term": word, "start": m.start(), "end": m.end()})
                 hits.append(found)
             others = [batch[name] for name in batch.schema.names if name != "text"]

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barmill.llm.common import held_out, one_text_each, prepare, table, trimmed, written
@@ -126,13 +126,25 @@ def _evidence_rows(model: np.ndarray):
     return rows
 
 
+#: Evidence is added up in whole units of this size, so that sums do not depend on the order of the rows.
+UNIT = 2.0**-30
+
+
+def _units(value) -> Column:
+    return F.round(value / F.lit(UNIT)).cast("decimal(24,0)")
+
+
+def _sum(value) -> Column:
+    return F.sum(_units(value)).cast("double") * F.lit(UNIT)
+
+
 def _weight(means: DataFrame, within: float) -> float:
     """Documents that the parent's mean counts for: chance variance over variance beyond chance.
 
     ``means`` has ``n``, ``mean`` and ``parent``. Moments are taken by Spark, one row comes back.
     """
     gap = F.col("n") * (F.col("mean") - F.col("parent")) ** 2
-    row = means.agg(F.sum(gap).alias("ss"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).first()
+    row = means.agg(_sum(gap).alias("ss"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).first()
     if not row["k"]:
         return MOST_WEIGHT
     beyond = (row["ss"] - row["k"] * within) / row["n"]
@@ -148,7 +160,8 @@ def quality(documents: DataFrame, model: np.ndarray) -> DataFrame:
     itself), ``score`` (0 to 1, higher: better).
 
     Null ``source`` and ``lang`` are sites of their own. Null and empty texts are judged by their
-    measures. Repeated rows count as documents each. Other columns are neither read nor returned.
+    measures, very long ones like others. Repeated rows count as documents each. Scores are the same however
+    the rows lie. Other columns are neither read nor returned.
     """
     prepare(documents.sparkSession)
     host = F.coalesce(F.col("source").cast("string"), F.lit(""))
@@ -162,11 +175,13 @@ def quality(documents: DataFrame, model: np.ndarray) -> DataFrame:
     schema = "doc_id bigint, host string, path string, p double"
     rows = written(chosen.mapInArrow(_evidence_rows(model), schema), "evidence")
     # Only ever as many rows as there are sites, which Spark joins as it sees fit.
-    paths = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s"))
+    paths = rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), _sum(F.col("p")).alias("s"))
     paths = written(paths, "paths")
-    total = rows.agg(F.avg("p").alias("mean"), F.var_pop("p").alias("within")).first()
-    mean, within = total["mean"] or 0.5, max(total["within"] or 0.0, 1e-9)
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s"))
+    p = F.col("p")
+    total = rows.agg(F.count(F.lit(1)).alias("n"), _sum(p).alias("s"), _sum(p * p).alias("squares")).first()
+    mean = total["s"] / total["n"] if total["n"] else 0.5
+    within = max(total["squares"] / total["n"] - mean**2 if total["n"] else 0.0, 1e-9)
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), _sum(F.col("s")).alias("host_s"))
     host_weight = _weight(
         hosts.select(F.col("host_n").alias("n"), (F.col("host_s") / F.col("host_n")).alias("mean"), F.lit(mean).alias("parent")),
         within,

@@ -59,3 +59,57 @@ def test_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     model = ops.train(frame(spark, edges()), labels)
     assert {s for _, s in rows_of(ops.quality(frame(spark, edges()), model), "doc_id", "evidence")} == {0.5}
+
+
+def posteriors(rows, p):
+    """Evidence, site and score by the formulas, one document at a time."""
+    n = len(p)
+    mean = sum(p) / n
+    within = max(sum((x - mean) ** 2 for x in p) / n, 1e-9)
+
+    def grouped(key):
+        groups = {}
+        for k, (source, lang) in enumerate(rows):
+            groups.setdefault(key(source or "", lang or ""), []).append(p[k])
+        return groups
+
+    def weight(groups, parent):
+        ss = sum(len(g) * (sum(g) / len(g) - parent(k)) ** 2 for k, g in groups.items())
+        beyond = (ss - len(groups) * within) / n
+        return min(ops.MOST_WEIGHT, within / beyond) if beyond > within / ops.MOST_WEIGHT else ops.MOST_WEIGHT
+
+    hosts, paths = grouped(lambda s, _: s), grouped(lambda s, g: (s, g))
+    host_weight = weight(hosts, lambda _: mean)
+    drawn = {h: (sum(g) + host_weight * mean) / (len(g) + host_weight) for h, g in hosts.items()}
+    path_weight = weight(paths, lambda k: drawn[k[0]])
+    out = []
+    for (source, lang), own in zip(rows, p):
+        h, g = hosts[source or ""], paths[source or "", lang or ""]
+        rest = (sum(h) - own + host_weight * mean) / (len(h) - 1 + host_weight)
+        site = (sum(g) - own + path_weight * rest) / (len(g) - 1 + path_weight)
+        logits = [np.log(x / (1 - x)) for x in (own, site, mean)]
+        out.append((site, 1 / (1 + np.exp(-(logits[0] + logits[1] - logits[2])))))
+    return out, host_weight, path_weight
+
+
+@pytest.mark.parametrize("spread", ["sites differ", "sites are alike"])
+def test_posteriors_are_those_of_the_formulas(spark, model, spread):
+    random = np.random.default_rng(8)
+    places, texts = [], []
+    for source, lang, n, share in [
+        ("a", "en", 40, 0.9), ("a", "de", 7, 0.2), ("b", "en", 25, 0.1), ("b", None, 1, 1.0), (None, "en", 3, 0.5),
+        ("c", "en", 1, 0.0), ("hot", "en", 90, 0.6),
+    ]:
+        for k in range(n):
+            places.append((source, lang))
+            good = random.random() < (share if spread == "sites differ" else 0.6)
+            texts.append(prose(len(texts), 30) if good else prose(len(texts), 30).replace(" ", "### "))
+    rows = [(n, t, lang, source, 0, *["x"] * len(CLASHES.split(","))) for n, (t, (source, lang)) in enumerate(zip(texts, places))]
+    documents = spark.createDataFrame(rows, frame(spark, []).schema)
+    found = sorted(rows_of(ops.quality(documents.repartition(5), model), "doc_id", "evidence", "site", "score"))
+    want, host_weight, path_weight = posteriors(places, [r[1] for r in found])
+    if spread == "sites differ":
+        assert host_weight < ops.MOST_WEIGHT and path_weight < ops.MOST_WEIGHT
+    assert np.allclose([r[2:] for r in found], want, atol=1e-6)
+    # Not a digit depends on how the rows lie.
+    assert found == sorted(rows_of(ops.quality(documents.repartition(13, "text"), model), "doc_id", "evidence", "site", "score"))

@@ -101,3 +101,53 @@ def test_drop_keeps_clean_rows_whole(spark):
     left = ops.drop_toxic(documents, ops.train(documents, labels))
     assert left.schema == documents.schema
     assert sorted(rows_of(left, "doc_id", "text")) == [r for r in rows if r[0] % 3]
+
+
+def test_scores_are_the_sum_over_all_pairs():
+    """The short form (square of sums less sum of squares) against every pair of terms, one by one."""
+    random = np.random.default_rng(4)
+    known = (random.random(ops.SLOTS) < 0.5).astype(np.float32)
+    linear, factors = random.normal(0, 0.3, ops.SLOTS), random.normal(0, 0.2, (ops.SLOTS, ops.FACTORS))
+    machine = ops.Machine(-0.4, known, linear, factors)
+    for n in (0, 1, 2, 30):
+        slots = np.sort(random.choice(ops.SLOTS, n, replace=False))
+        own = [s for s in slots if known[s]]
+        total = -0.4 + sum(linear[s] for s in own)
+        total += sum(float(factors[a] @ factors[b]) for i, a in enumerate(own) for b in own[:i])
+        assert abs(machine.score(slots) - 1 / (1 + np.exp(-total))) < 1e-9
+
+
+def test_chosen_pairs_are_those_of_the_definitions():
+    """Every pair of frequent terms, counted and held against chance one by one."""
+    random = np.random.default_rng(9)
+    rows, labels = [], []
+    for i in range(1500):
+        slots = set(random.choice(40, random.integers(1, 7), replace=False).tolist())
+        toxic = random.random() < 0.08 or {3, 5} <= slots or ({7, 8} <= slots and random.random() < 0.9)
+        toxic = toxic and not ({11, 12} <= slots)
+        rows.append(np.array(sorted(slots)))
+        labels.append(float(toxic))
+    labels = np.array(labels)
+    share = (labels.sum() + 1) / (len(labels) + 2)
+    often = np.flatnonzero(np.bincount(np.concatenate(rows), minlength=ops.SLOTS) >= ops.LEAST_DOCUMENTS)
+    sets, needed, chosen = [set(r.tolist()) for r in rows], 2 * np.log2(len(often)), set()
+    for label, base in ((1, share), (0, 1 - share)):
+        def alone(a):
+            docs = [y for s, y in zip(sets, labels) if a in s]
+            return (sum(y == label for y in docs) + base) / (len(docs) + 1)
+
+        least = max(1, int(np.ceil(needed / -np.log2(base))))
+        for i, a in enumerate(often):
+            for b in often[:i]:
+                both = [y for s, y in zip(sets, labels) if a in s and b in s]
+                hit, n = sum(y == label for y in both), len(both)
+                if hit < least:
+                    continue
+                x, y = alone(a), alone(b)
+                odds = x / (1 - x) * y / (1 - y) * (1 - base) / base
+                chance = min(max(base, x, y, odds / (1 + odds)), 1 - 1e-9)
+                found = hit / n
+                bits = hit * np.log2(found / chance) + ((n - hit) * np.log2((1 - found) / (1 - chance)) if hit < n else 0)
+                if hit > n * chance and bits >= needed:
+                    chosen |= {int(a), int(b)}
+    assert {3, 5} <= chosen and set(ops._paired(rows, labels, often, share).tolist()) == chosen
