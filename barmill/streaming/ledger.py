@@ -65,15 +65,21 @@ class Batch:
     files: DataFrame
 
 
+def _batch(files: DataFrame) -> Batch | None:
+    """A bounded number of files as a batch; none if there are none."""
+    each = F.xxhash64(*_FILE)
+    digest = F.concat_ws("-", F.hex(F.bit_xor(each)), F.hex(F.bit_xor(F.hash(*_FILE))), F.count(F.lit(1)))
+    row = files.agg(digest.alias("name"), F.collect_list(F.struct(*_FILE)).alias("files")).first()
+    if not row["files"]:
+        return None
+    return Batch(row["name"], [f["path"] for f in row["files"]], files.sparkSession.createDataFrame(row["files"], FILE))
+
+
 def opened(spark: SparkSession, home: str) -> Batch | None:
     """The batch that is under way, as it was written down; none if there is none."""
     if not exists(spark, f"{home}/open/_whole"):
         return None
-    files = spark.read.schema(FILE).parquet(f"{home}/open/files")
-    each = F.xxhash64(*_FILE)
-    digest = F.concat_ws("-", F.hex(F.bit_xor(each)), F.hex(F.bit_xor(F.hash(*_FILE))), F.count(F.lit(1)))
-    row = files.agg(digest.alias("name"), F.collect_list("path").alias("paths")).first()
-    return Batch(row["name"], row["paths"], files) if row["paths"] else None
+    return _batch(spark.read.schema(FILE).parquet(f"{home}/open/files"))
 
 
 def open_batch(
@@ -88,9 +94,11 @@ def open_batch(
         order = Window.orderBy("modificationTime", "path")  # over most_files rows
         before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
         first = first.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < most_bytes)
-    first.select(*_FILE).coalesce(1).write.mode("overwrite").parquet(f"{home}/open/files")
-    make_folder(spark, f"{home}/open/_whole")
-    return opened(spark, home)
+    batch = _batch(first.select(*_FILE))
+    if batch:
+        batch.files.coalesce(1).write.mode("overwrite").parquet(f"{home}/open/files")
+        make_folder(spark, f"{home}/open/_whole")
+    return batch
 
 
 def _plain(path: str) -> str:
@@ -110,9 +118,9 @@ def commit_batch(spark: SparkSession, home: str, batch: Batch) -> None:
     batch.files.coalesce(1).write.mode("overwrite").parquet(f"{home}/ledger/batch={batch.name}")
 
 
-def close_batch(spark: SparkSession, home: str, batch: Batch | None, archive: str | None = None) -> None:
+def close_batch(spark: SparkSession, home: str, batch: Batch, archive: str | None = None) -> None:
     """Move the files away, if asked for, and take the mark from the batch."""
-    if archive and batch:
+    if archive:
         for path in batch.paths:
             move(spark, path, archive)
     remove(spark, f"{home}/open")
@@ -141,7 +149,6 @@ def ingest_by_ledger(
         if not left_open and len(batch.paths) < most_files and not most_bytes:
             break  # those were all
         left_open = None
-    close_batch(spark, home, None)
     return ingested(spark, home)
 
 
