@@ -247,7 +247,7 @@ def _decode_rows(path: str, kind: str):
 def encode(documents: DataFrame, model: str | None = None, kind: str = "bpe") -> DataFrame:
     """``doc_id``, ``text`` and ``ids`` of every row.
 
-    A null or empty text has no ids. Characters that the vocabulary lacks become byte pieces.
+    A null or empty text has no ids. A very long one is encoded whole, in a unit of its own. Characters that the vocabulary lacks become byte pieces.
     Repeated rows are encoded each. Other columns are neither read nor returned.
     """
     prepare(documents.sparkSession)

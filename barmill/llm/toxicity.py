@@ -309,7 +309,7 @@ def _score_rows(shared):
 def score(documents: DataFrame, machine: Machine) -> DataFrame:
     """``doc_id`` and ``score`` (0 to 1) of every row. Null and empty texts get the bias alone.
 
-    Words the machine has not learned count for nothing. Nothing but the text goes into a score;
+    Very long texts are scored whole; a text's distinct words are held at once. Words the machine has not learned count for nothing. Nothing but the text goes into a score;
     repeated rows get equal scores. Other columns are neither read nor returned.
     """
     prepare(documents.sparkSession)
@@ -319,8 +319,13 @@ def score(documents: DataFrame, machine: Machine) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, machine: Machine) -> DataFrame:
-    """``documents`` without the rows that score 0.5 or more, all columns kept."""
+    """``documents`` without the rows that score 0.5 or more, all columns kept.
+
+    A machine that has learned no term, as without labels, tells no documents apart, and all stay.
+    """
     prepare(documents.sparkSession)
+    if not machine.known.any():
+        return documents
     names = documents.columns
     shared = documents.sparkSession.sparkContext.broadcast(machine.to_bytes())
     held = documents.select(F.struct("*").alias("row"))

@@ -80,6 +80,7 @@ def test_without_labels(spark):
     labels = spark.createDataFrame([(None, 1, 1), (4, 1, None)], "doc_id bigint, quality int, toxic int")
     machine = ops.train(frame(spark, edges()), labels)
     assert {s for _, s in rows_of(ops.score(frame(spark, edges()), machine), "doc_id", "score")} == {0.5}
+    assert ops.drop_toxic(frame(spark, edges()), machine).count() == len(edges())
 
 
 def test_one_text_of_each_sampled_id(spark):
