@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barmill.llm.common import prepare, table
+from barmill.llm.common import prepare, table, written
 
 K = 5
 #: Components become floor(SCALE * x).
@@ -29,7 +29,7 @@ _WHOLE = np.iinfo(np.int64)
 
 
 def whole_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """``vec_id`` and ``whole``, the components scaled and rounded down.
+    """``row`` (a number), ``vec_id`` and ``whole``, the components scaled and rounded down.
 
     Rows with a null id or vector, or a null or non-finite component, are left out; components
     beyond the range of a long become its ends.
@@ -42,11 +42,13 @@ def whole_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
         scaled = F.floor(F.greatest(F.least(v * scale, F.lit(9.2e18)), F.lit(-9.2e18)))
         return scaled.cast("bigint")
 
-    return chosen.where(finite).select("vec_id", F.transform("x", whole).alias("whole"))
+    row = F.monotonically_increasing_id().alias("row")
+    # Written, so that a row has one number whatever is made of the result.
+    return written(chosen.where(finite).select(row, "vec_id", F.transform("x", whole).alias("whole")), "vectors")
 
 
-def _matrix(rows: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """Ids, ascending and distinct, and their vectors by dimension, short ones padded with 0."""
+def _matrix(rows: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, ascending, numbers of their rows, and their vectors by dimension, short ones padded with 0."""
     column = rows[name].combine_chunks()
     column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
     sizes = np.diff(column.offsets.to_numpy())
@@ -54,10 +56,9 @@ def _matrix(rows: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     data = np.zeros((len(sizes), dims), np.int64)
     data[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
-    ids = rows["vec_id"].to_numpy()
-    order = np.lexsort((*data.T[::-1], ids)) if dims else np.argsort(ids, kind="stable")
-    first = np.r_[True, ids[order][1:] != ids[order][:-1]]
-    return ids[order][first], np.ascontiguousarray(data[order][first].T)
+    ids, numbers = rows["vec_id"].to_numpy(), rows["row"].to_numpy()
+    order = np.lexsort((numbers, ids))
+    return ids[order], numbers[order], np.ascontiguousarray(data[order].T)
 
 
 def _left_norms(by_dim: np.ndarray, steps: list[int]) -> np.ndarray:
@@ -66,9 +67,9 @@ def _left_norms(by_dim: np.ndarray, steps: list[int]) -> np.ndarray:
     return np.stack([np.sqrt(squares[s:].sum(0)) * (1 + 1e-9) for s in steps])
 
 
-def best(query_id: int, query: np.ndarray, ids: np.ndarray, by_dim: np.ndarray, left: np.ndarray, steps: list[int], k: int):
-    """The k highest scores of one query, ties to the lesser id: ids and scores."""
-    rows = np.flatnonzero(ids != query_id)
+def best(own_row: int, query: np.ndarray, ids: np.ndarray, by_dim: np.ndarray, left: np.ndarray, steps: list[int], k: int, numbers: np.ndarray):
+    """The k highest scores of one query among all rows but its own, ties to the lesser id: ids and scores."""
+    rows = np.flatnonzero(numbers != own_row)
     scores = np.zeros(len(rows), np.int64)
     whole = len(rows) == len(ids)
     own = _left_norms(query[:, None], steps)[:, 0]
@@ -90,10 +91,10 @@ def best(query_id: int, query: np.ndarray, ids: np.ndarray, by_dim: np.ndarray,
     return ids[rows[order]], scores[order]
 
 
-def _best_unbounded(query_id: int, query: np.ndarray, ids: np.ndarray, by_dim: np.ndarray, k: int):
+def _best_unbounded(own_row: int, query: np.ndarray, ids: np.ndarray, by_dim: np.ndarray, k: int, numbers: np.ndarray):
     """The same for components so large that sums could leave the range of a long."""
     scored = []
-    for j in np.flatnonzero(ids != query_id):
+    for j in np.flatnonzero(numbers != own_row):
         total = sum(int(a) * int(b) for a, b in zip(query, by_dim[:, j]))
         scored.append((-min(max(total, _WHOLE.min), _WHOLE.max), int(ids[j])))
     scored = sorted(scored)[:k]
@@ -104,23 +105,23 @@ def _search(k: int):
     def search(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, ...]] = []
         if candidates.num_rows and queries.num_rows:
-            ids, by_dim = _matrix(candidates, "whole")
-            query_ids, asked = _matrix(queries, "whole")
+            ids, numbers, by_dim = _matrix(candidates, "whole")
+            query_ids, query_rows, asked = _matrix(queries, "whole")
             dims = max(len(by_dim), len(asked))
             by_dim = np.pad(by_dim, ((0, dims - len(by_dim)), (0, 0)))
             asked = np.pad(asked, ((0, dims - len(asked)), (0, 0)))
             steps = list(range(0, dims, STEP))
             left = _left_norms(by_dim, steps)
             most = float(np.abs(by_dim.astype(float)).max(initial=0)) * float(np.abs(asked.astype(float)).max(initial=0))
-            for j, query_id in enumerate(query_ids):
+            for j, (query_id, own) in enumerate(zip(query_ids, query_rows)):
                 query = np.ascontiguousarray(asked[:, j])
                 if most * max(dims, 1) < 2.0**52:
-                    hits, scores = best(query_id, query, ids, by_dim, left, steps, k)
+                    hits, scores = best(own, query, ids, by_dim, left, steps, k, numbers)
                 else:
-                    hits, scores = _best_unbounded(query_id, query, ids, by_dim, k)
-                found.append((np.full(len(hits), query_id), hits, scores))
-        columns = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3)]
-        return pa.table({"query_id": columns[0], "vec_id": columns[1], "score": columns[2]})
+                    hits, scores = _best_unbounded(own, query, ids, by_dim, k, numbers)
+                found.append((np.full(len(hits), own), np.full(len(hits), query_id), hits, scores))
+        columns = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(4)]
+        return pa.table(dict(zip(("row", "query_id", "vec_id", "score"), columns)))
 
     return search
 
@@ -128,9 +129,9 @@ def _search(k: int):
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """The k candidates of highest inner product for every query, by ``rank`` from 1.
 
-    Both come from ``whole_vectors``. A query is no candidate of its own: rows with its id are
-    passed over. Ties go to the lesser id. Of rows that share an id only the least vector counts.
-    Vectors of unequal length are padded with 0. Scores beyond a long become its ends. Fewer than
+    ``vectors`` come from ``whole_vectors``, ``queries`` are some of their rows. Every row but the query's
+    own is a candidate, also rows of its id. Ties go to the lesser id. Rows that are repeated count each,
+    as queries too. Vectors of unequal length are padded with 0. Scores beyond a long become its ends. Fewer than
     k candidates give all of them; no candidates, no rows.
     """
     prepare(vectors.sparkSession)
@@ -139,18 +140,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     asked = max(-(-n_queries // QUERIES), 1)
 
     def dealt(df: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-        mine = F.pmod(F.xxhash64("vec_id"), F.lit(own_n)).cast("int").alias(own)
+        mine = F.pmod(F.xxhash64("row"), F.lit(own_n)).cast("int").alias(own)
         every = F.explode(F.sequence(F.lit(0), F.lit(other_n - 1))).alias(other)
-        return df.select("vec_id", "whole", mine, every)
+        return df.select("row", "vec_id", "whole", mine, every)
 
     left = dealt(vectors, "block", blocks, "asked", asked)
     right = dealt(queries, "asked", asked, "block", blocks)
     hits = (
         left.groupBy("block", "asked")
         .cogroup(right.groupBy("block", "asked"))
-        .applyInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint")
+        .applyInArrow(_search(k), "row bigint, query_id bigint, vec_id bigint, score bigint")
     )
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
@@ -162,16 +163,16 @@ def op9_topk_search(spark, sf_dir):
 
 OP9_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.r <> c.r
   WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score
 FROM scored
-WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+WINDOW best AS (PARTITION BY r ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 5
 """

@@ -10,16 +10,16 @@ SCHEMA = "vec_id bigint, embedding array<float>, score string, rank string"
 
 
 def expected(rows, asked, k=5):
-    best = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            whole = [math.floor(256 * float(np.float32(x))) for x in v]
-            best[i] = min(best.get(i, whole), whole)
+    some = [
+        (i, [math.floor(256 * float(np.float32(x))) for x in v])
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = []
-    for q in best:
+    for n, (q, own) in enumerate(some):
         if q % asked == 0:
-            scored = sorted((-sum(a * b for a, b in zip(best[q], v)), i) for i, v in best.items() if i != q)
-            out += [(q, n, i, -s) for n, (s, i) in enumerate(scored[:k], 1)]
+            scored = sorted((-sum(a * b for a, b in zip(own, v)), i) for m, (i, v) in enumerate(some) if m != n)
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
@@ -59,6 +59,6 @@ def test_bounds_never_drop_a_hit():
         data[:, random.integers(0, 200, 60)] = data[:, :1]
         query = random.integers(-40, 40, 32)
         ids, steps = np.sort(random.choice(10_000, 200, replace=False)), list(range(0, 32, ops.STEP))
-        hits, scores = ops.best(int(ids[3]), query, ids, data, ops._left_norms(data, steps), steps, 5)
+        hits, scores = ops.best(3, query, ids, data, ops._left_norms(data, steps), steps, 5, np.arange(200))
         want = sorted((-int(query @ data[:, j]), int(ids[j])) for j in range(200) if j != 3)[:5]
         assert list(zip((-scores).tolist(), hits.tolist())) == want
