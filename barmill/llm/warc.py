@@ -31,6 +31,8 @@ VERSION = b"WARC/1.1"
 
 #: An empty skippable frame in ASCII characters.
 SEPARATOR = struct.pack("<II", SKIPPABLE_MAGIC, 0).decode("ascii")
+#: Records of an archive, which a reader holds whole (2 GB at most); the next begins with a dictionary of its own.
+ARCHIVE_RECORDS = 10_000
 #: The dictionary of an archive is made from so many of its first records, cut to so many bytes.
 SAMPLE_RECORDS, SAMPLE_BYTES, DICTIONARY_BYTES = 128, 1 << 13, 1 << 15
 LEVEL = 3
@@ -98,33 +100,54 @@ def archive_frames(records: Iterator[bytes]) -> Iterator[bytes]:
         start = b""
 
 
-def _frame_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def records() -> Iterator[bytes]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                payload = row["payload"]
-                digest = base64.b32encode(bytes.fromhex(row["digest"])).decode("ascii")
-                yield record(row["page_id"], row["url"], payload, digest, row["refers_to"], row["revisit"])
-
-    held: list[bytes] = []
-    size = 0
-    for frame in archive_frames(records()):
-        held.append(frame)
-        size += len(frame)
-        if size > 1 << 22:
+def _frame_rows(archive_records: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def records() -> Iterator[bytes]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    payload = row["payload"]
+                    digest = base64.b32encode(bytes.fromhex(row["digest"])).decode("ascii")
+                    yield record(row["page_id"], row["url"], payload, digest, row["refers_to"], row["revisit"])
+
+        stream = records()
+
+        def frames() -> Iterator[bytes]:
+            while True:  # the writer begins another file after as many
+                archive = archive_frames(islice(stream, archive_records))
+                first = next(archive, None)
+                if first is None:
+                    return
+                yield first
+                yield from archive
+
+        held: list[bytes] = []
+        size = 0
+        for frame in frames():
+            held.append(frame)
+            size += len(frame)
+            if size > 1 << 22:
+                yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["frame"])
+                held, size = [], 0
+        if held:
             yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["frame"])
-            held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["frame"])
+
+    return rows
 
 
-def write_archives(pages: DataFrame, path: str, least_revisit_bytes: int = LEAST_REVISIT_BYTES) -> None:
+def write_archives(
+    pages: DataFrame,
+    path: str,
+    least_revisit_bytes: int = LEAST_REVISIT_BYTES,
+    archive_records: int = ARCHIVE_RECORDS,
+) -> None:
     """Write a record for every row of ``page_id``, ``url``, ``html``.
 
     Of rows with equal payloads of at least ``least_revisit_bytes``, those with the least page_id
     are responses (more than one only if rows repeat that id), the others revisit it. A null html
     is an empty payload, a null url leaves its header out, a null page_id comes last. Other columns
-    are not read. An empty table gives an empty folder.
+    are not read. An empty table gives an empty folder. A task writes an archive for each
+    ``archive_records`` of its records; equal payloads are split over tasks by adaptive execution, as the
+    sides of any join.
     """
     prepare(pages.sparkSession)
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
@@ -143,9 +166,10 @@ def write_archives(pages: DataFrame, path: str, least_revisit_bytes: int = LEAST
     )
     revisit = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     joined = rows.join(firsts, "digest", "left").withColumn("revisit", revisit)
-    frames = joined.mapInArrow(_frame_rows, "frame binary")
+    frames = joined.mapInArrow(_frame_rows(archive_records), "frame binary")
     lines = frames.select(F.col("frame").cast("string").alias("value"))
-    lines.write.mode("overwrite").option("lineSep", SEPARATOR).text(path)
+    writer = lines.write.mode("overwrite").option("lineSep", SEPARATOR)
+    writer.option("maxRecordsPerFile", archive_records).text(path)
 
 
 def frames_of(data: bytes) -> Iterator[tuple[int, int, int]]:

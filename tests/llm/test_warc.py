@@ -55,6 +55,20 @@ def test_no_pages(spark):
     assert ops.read_archives(spark, path).collect() == []
 
 
+def test_archives_are_of_bounded_size(spark):
+    """Each file has a dictionary of its own at its head and no more records than were asked for."""
+    rows = [(i, f"http://x.example/{i}", f"<p>page {i % 90}</p>" * 20) for i in range(330)]
+    path = work_dir(spark, "warc_test")
+    ops.write_archives(pages(spark, rows), path, archive_records=40)
+    sizes = []
+    for row in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect():
+        magics = [m for m, _, _ in ops.frames_of(bytes(row.content))]
+        assert magics[0] == ops.DICTIONARY_MAGIC and magics.count(ops.DICTIONARY_MAGIC) == 1
+        sizes.append(magics.count(ops.ZSTD_MAGIC))
+    assert sum(sizes) == 330 and max(sizes) <= 40 and len(sizes) >= 9
+    assert sorted(rows_of(ops.read_archives(spark, path), *COLUMNS), key=str) == expected(rows)
+
+
 def archive(n=300):
     records = (ops.record(i, f"http://x.example/{i}", b"<p>page</p>" * (i % 9), ops.base32_sha1(b"<p>page</p>" * (i % 9)), None, False) for i in range(n))
     return ops.SEPARATOR.encode().join(ops.archive_frames(records))
