@@ -99,5 +99,6 @@ def compact(spark: SparkSession, table: str, small: int = 64 << 20) -> DataFrame
     ``exchange.vacuum``. Returns the row count of the refreshed statistics.
     """
     finish(spark, table)
-    exchange_days(compacted_days(spark, table, small), table)
+    if not days_of_small_files(spark, table, small).isEmpty():
+        exchange_days(compacted_days(spark, table, small), table)
     return refresh_stats(spark, table, ["tstamp", "volume"])

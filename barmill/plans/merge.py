@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from barmill.functions.times import with_day
 from barmill.operators.bars import traded, typed_bars
 from barmill.operators.strict import newest_snapshot, strict_counters
-from barmill.plans.exchange import exchange_days, rows_of_days
+from barmill.plans.exchange import exchange_days, finish, rows_of_days
 from barmill.plans.layout import by_day
 from barmill.plans.load import newest_lines
 from barmill.plans.workspace import remove, work_dir
@@ -65,6 +65,7 @@ def merge_lines(
     """
     spark = lines.sparkSession
     create_history(spark, table, path)
+    finish(spark, table)
     counted = Observation("merge")
     observed = lines.observe(counted, *strict_counters(F.col(column), True))
     staged = work_dir(spark, "merge")
