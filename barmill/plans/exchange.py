@@ -81,12 +81,16 @@ def switch_day(spark: SparkSession, table: str, folder: str, name: str) -> None:
 
 
 def switch_days(spark: SparkSession, table: str, folder: str) -> None:
-    """Switch all days of a whole version: new ones at once, the others one after the other."""
+    """Switch all days of a whole version: those the table did not have at once, the others one after the other."""
     names = [name for name in folders(spark, folder) if name.startswith(f"{DAY}=")]
-    if names:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(" ".join(_place(folder, n)) for n in names))
+    # Names of days, of which there are few.
+    known = {row["partition"] for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()}
+    added = [" ".join(_place(folder, name)) for name in names if name not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
     for name in names:
-        switch_day(spark, table, folder, name)
+        if name in known:
+            switch_day(spark, table, folder, name)
     make_folder(spark, f"{folder}/{DONE}")
 
 

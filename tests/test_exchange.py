@@ -77,7 +77,7 @@ def test_readers_never_see_half_a_day(spark, bars_of, tmp_path, table, monkeypat
 
     def stop_at_day(spark, name, folder, day):
         seen.append(closes(spark, name))
-        if len(switched) == {"before the days": 0, "first day": 1, "third day": 3}[step]:
+        if len(switched) == {"before the days": 0, "first day": 1, "third day": 2}[step]:
             raise InterruptedError
         switch(spark, name, folder, day)
         switched.append(day)
