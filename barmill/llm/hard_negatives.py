@@ -36,7 +36,7 @@ ANCHORS = 4_096
 #: Boxes that are sent to all tasks at once (16 bytes a coordinate).
 BOXES = 32_768
 #: Rows of a leaf and children of a node.
-LEAF, FAN = 64, 16
+LEAF, FAN = 128, 16
 
 _LONG = np.iinfo(np.int64)
 
@@ -194,51 +194,65 @@ class Tree:
         Only rows of the same label, or only of others, and never the row itself.
         """
         best: list[list[tuple[int, int, int]]] = [[] for _ in windows]
-
-        def least(i: int) -> float:
-            return max(windows[i][0], -best[i][-1][0]) if len(best[i]) == k else windows[i][0]
-
-        def take(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> None:
-            fits = ((labels == label) == same) & (rows != row) & (scores >= min(map(least, range(len(windows)))))
-            some = np.flatnonzero(fits)
-            for i, (_, most) in enumerate(windows):
-                at = some[(scores[some] >= least(i)) & (scores[some] <= most)] if len(some) else some
-                if len(at):
-                    found = zip((-scores[at]).tolist(), ids[at].tolist(), rows[at].tolist())
-                    best[i] = sorted([*best[i], *((int(s), d, r) for s, d, r in found)])[:k]
-
-        def exact(whole: np.ndarray) -> np.ndarray:
-            return np.clip((whole * query.astype(object)).sum(1), _LONG.min, _LONG.max)
+        # From where on a score counts in each window: its lower end, later the k-th best there.
+        least = [float(low) for low, _ in windows]
+        most = [float(high) for _, high in windows]
+
+        def offer(i: int, found: list[tuple[int, int, int]]) -> None:
+            best[i] = sorted(best[i] + found)[:k]
+            if len(best[i]) == k:
+                least[i] = max(least[i], float(-best[i][-1][0]))
+
+        def exact(whole: np.ndarray, ids: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> None:
+            """Rows scored in whole numbers of any size."""
+            scores = np.clip((whole * query.astype(object)).sum(1), _LONG.min, _LONG.max)
+            fits = ((labels == label) == same) & (rows != row)
+            for i, (low, high) in enumerate(windows):
+                offer(i, [(-int(scores[j]), int(ids[j]), int(rows[j])) for j in np.flatnonzero(fits) if low <= scores[j] <= high])
+
+        def leaf(node: int) -> None:
+            some = slice(node * LEAF, (node + 1) * LEAF)
+            scores = self.data[some] @ asked
+            at = np.flatnonzero((scores >= min(least)) & (scores <= max(most)))
+            if len(at):
+                at = at[((self.labels[some][at] == label) == same) & (self.rows[some][at] != row)]
+            if not len(at):
+                return
+            scores, ids, rows = scores[at], self.ids[some][at], self.rows[some][at]
+            for i in range(len(windows)):
+                own = np.flatnonzero((scores >= least[i]) & (scores <= most[i]))
+                if len(own) > k:  # ties with the k-th stay
+                    own = own[scores[own] >= np.partition(scores[own], len(own) - k)[len(own) - k]]
+                if len(own):
+                    negated = (-scores[own]).astype(np.int64).tolist()
+                    offer(i, list(zip(negated, ids[own].tolist(), rows[own].tolist())))
 
         if len(self.wild[0]):
-            take(exact(self.wild[3]), *self.wild[:3])
+            exact(self.wild[3], *self.wild[:3])
         if self.levels and np.abs(query.astype(float)).max(initial=0) >= self.limit:
-            take(exact(self.data.astype(np.int64).astype(object)), self.ids, self.rows, self.labels)
+            exact(self.data.astype(np.int64).astype(object), self.ids, self.rows, self.labels)
         elif self.levels:
-            over, under = np.maximum(query, 0).astype(float), np.minimum(query, 0).astype(float)
+            asked = query.astype(float)
+            over, under = np.maximum(asked, 0), np.minimum(asked, 0)
             queue: list[tuple[float, int, int]] = []
 
             def push(level: int, lo: int, hi: int) -> None:
                 low, high, from_label, to_label = (side[lo:hi] for side in self.levels[level])
                 top, bottom = high @ over + low @ under, low @ over + high @ under
                 fits = (from_label <= label) & (label <= to_label) if same else (from_label != label) | (to_label != label)
-                useful = np.zeros(len(top), bool)
-                for i, (_, most) in enumerate(windows):
-                    useful |= (top >= least(i)) & (bottom <= most)
-                for j in np.flatnonzero(fits & useful):
-                    heappush(queue, (-float(top[j]), level, lo + int(j)))
+                fits &= ((top[:, None] >= np.array(least)) & (bottom[:, None] <= np.array(most))).any(1)
+                for j in np.flatnonzero(fits).tolist():
+                    heappush(queue, (-float(top[j]), level, lo + j))
 
             push(len(self.levels) - 1, 0, 1)
-            exact_query = query.astype(float)
             while queue:
                 bound, level, node = heappop(queue)
-                if -bound < min(map(least, range(len(windows)))):
+                if -bound < min(least):
                     break
                 if level:
                     push(level - 1, node * FAN, min((node + 1) * FAN, len(self.levels[level - 1][2])))
                 else:
-                    some = slice(node * LEAF, (node + 1) * LEAF)
-                    take(self.data[some] @ exact_query, self.ids[some], self.rows[some], self.labels[some])
+                    leaf(node)
         return [[(-s, d, r) for s, d, r in some] for some in best]
 
 
