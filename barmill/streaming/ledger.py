@@ -89,9 +89,11 @@ def open_batch(
 
     A batch has at least one file, however large.
     """
-    first = not_taken(spark, landing, home).orderBy("modificationTime", "path").limit(most_files)
+    order = Window.orderBy("modificationTime", "path")
+    # Spark takes the first rows of each task before it numbers them.
+    numbered = not_taken(spark, landing, home).withColumn("_n", F.row_number().over(order))
+    first = numbered.where(F.col("_n") <= most_files)
     if most_bytes:
-        order = Window.orderBy("modificationTime", "path")  # over most_files rows
         before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
         first = first.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < most_bytes)
     batch = _batch(first.select(*_FILE))

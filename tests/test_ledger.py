@@ -4,6 +4,8 @@ import os
 
 import pytest
 from conftest import plan
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from barmill.plans.load import LoadTargets, run_daily_load
 from barmill.streaming import ledger as ops
@@ -124,6 +126,13 @@ def test_a_batch_run_twice_adds_nothing(spark, home):
     assert ingested(spark, home.taken).count() == 2 and ledger(spark, home.taken).count() == 1
 
 
+def test_no_task_gets_all_files_to_number_them(spark):
+    files = spark.range(0, 50_000, 1, 10).selectExpr("cast(id AS string) AS path", "id AS length", "timestamp_micros(id) AS modificationTime")
+    order = Window.orderBy("modificationTime", "path")
+    first = files.withColumn("_n", F.row_number().over(order)).where("_n <= 100")
+    assert "TakeOrderedAndProject" in plan(first) or "LocalLimit" in plan(first) or "WindowGroupLimit" in plan(first)
+
+
 def test_reading_is_a_scan(spark, home):
     home.land(NAMES[0], "a")
     text = plan(ingest_by_ledger(spark, home.landing, home.taken))
