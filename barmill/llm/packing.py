@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from barmill.llm.common import batches_of, prepare, table, trim, trimmed
 
@@ -33,12 +33,17 @@ END = 2
 VOCABULARY = "word_bpe_49k.json"
 #: Bytes of text that are packed together.
 UNIT_BYTES = 6_000_000
+#: Words that a task remembers, and the bytes of the longest.
+REMEMBERED, REMEMBERED_BYTES = 1 << 18, 32
 
 # Where a letter or digit is followed by neither (nor a blank), the tokenizer always cuts.
 _LETTER = "a-zß-öø-ÿªµº0-9"
 _CUT = f"([{_LETTER}])([^{_LETTER}\\s])"
 # Texts that are taken as they are: characters beyond Latin-1, or a special token spelt out.
 _OTHER = "[^\\x{00}-\\x{ff}]|<\\|"
+_LOWER_CASE = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿªµº"
+_LETTERS = f"^[{_LOWER_CASE}]+$"
+_IDS = pa.list_(pa.uint32())
 
 
 class WordTokenizer:
@@ -46,23 +51,71 @@ class WordTokenizer:
 
     The tokenizer never joins anything across blanks, so a text's ids are those of its words.
     Latin-1 texts are lower-cased and their words cut from the punctuation after them first, which
-    it does too; that leaves fewer distinct words.
+    it does too; that leaves fewer distinct words. Words of small letters alone, which it neither
+    changes nor cuts, are cut at blanks instead of by its patterns. The short words met last are
+    remembered from call to call.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.by_blanks = Tokenizer(self.tokenizer.model)
+        self.by_blanks.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        # Other rules than those of the vocabulary above are left to its own tokenizer.
+        sample = f"{_LOWER_CASE} {_LOWER_CASE}"
+        both = [t.encode(sample, add_special_tokens=False) for t in (self.tokenizer, self.by_blanks)]
+        self.same = both[0].ids == both[1].ids and both[0].word_ids == both[1].word_ids
+        self.remembered = remembered
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], _IDS)
 
-    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words end to end, and how many each has."""
-        ids, sizes = [], []
-        for lo in range(0, len(words), 2000):
-            some = words[lo : lo + 2000]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+    def _encode(self, words: list[str], letters: bool) -> pa.ListArray:
+        """Ids of each of these words, which are all of letters alone or taken as any."""
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        for lo in range(0, len(words), 250):
+            some = words[lo : lo + 250]
+            found = (self.by_blanks if letters else self.tokenizer).encode(" ".join(some), add_special_tokens=False)
             ids.append(np.array(found.ids, np.uint32))
-            ends = np.cumsum([len(w) + 1 for w in some])
-            at = np.array([a for a, _ in found.offsets], np.int64)
-            sizes.append(np.bincount(np.searchsorted(ends, at, "right"), minlength=len(some)))
-        return np.concatenate(ids or [np.zeros(0, np.uint32)]), np.concatenate(sizes or [np.zeros(0, np.int64)])
+            if letters:
+                word = np.array(found.word_ids, np.int64)
+            else:
+                ends = np.cumsum([len(w) + 1 for w in some])
+                word = np.searchsorted(ends, np.array([a for a, _ in found.offsets], np.int64), "right")
+            sizes.append(np.bincount(word, minlength=len(some)))
+        return pa.ListArray.from_arrays(np.cumsum(np.concatenate(sizes)).astype(np.int32), np.concatenate(ids))
+
+    def _ids_of(self, words: pa.Array) -> pa.ListArray:
+        """Ids of each of these distinct words, which take the place of those not met for longest."""
+        known = pc.index_in(words, value_set=self.words)
+        new, letters = known.is_null(), pc.and_(pc.match_substring_regex(words, _LETTERS), pa.scalar(self.same))
+        others = pc.and_not(new, letters)
+        letters = pc.and_(new, letters)
+        coded = pa.concat_arrays(
+            [
+                self.ids,
+                self._encode(words.filter(letters).to_pylist(), True),
+                self._encode(words.filter(others).to_pylist(), False),
+            ]
+        )
+        at = pc.fill_null(known, 0).to_numpy().astype(np.int64)
+        first = len(self.words)
+        for some in (letters, others):
+            rows = np.flatnonzero(some.to_numpy(zero_copy_only=False))
+            at[rows] = np.arange(first, first + len(rows))
+            first += len(rows)
+        unmet = np.ones(first, bool)
+        unmet[at] = False
+        unmet = pa.array(unmet[: len(self.words)])
+        coded = coded.take(pa.array(at))
+        short = pc.less_equal(pc.binary_length(words), REMEMBERED_BYTES)
+        self.words, self.ids = (
+            pa.concat_arrays([met, older.filter(unmet)[: self.remembered - len(met)]])
+            for met, older in (
+                (words.filter(short)[: self.remembered], self.words),
+                (coded.filter(short)[: self.remembered], self.ids),
+            )
+        )
+        return coded
 
     def encode(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each closed by ``end``, and how many each has."""
@@ -70,18 +123,16 @@ class WordTokenizer:
         plain = pc.replace_substring_regex(pc.utf8_lower(column), _CUT, r"\1 \2")
         column = pc.if_else(pc.match_substring_regex(column, _OTHER), column, plain)
         words = pc.ascii_split_whitespace(column)
-        per_text = pc.list_value_length(words).to_numpy()
+        closed = np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)
         coded = words.flatten().dictionary_encode()
-        ids, sizes = self._encode_words(coded.dictionary.to_pylist())
-        codes = coded.indices.to_numpy()
-        starts = np.cumsum(sizes) - sizes
-        counts = sizes[codes]
-        ends = np.cumsum(counts)
-        within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - counts, counts)
-        flat = ids[np.repeat(starts[codes], counts) + within]
-        before = np.r_[0, ends][np.r_[0, np.cumsum(per_text)]]
-        lengths = np.diff(before)
-        return np.insert(flat, before[1:], np.uint32(end)), lengths + 1
+        del column, plain, words
+        distinct = pa.concat_arrays([self._ids_of(coded.dictionary), pa.array([[end]], _IDS)])
+        # The end mark is one more word, after those of each text.
+        codes = np.insert(coded.indices.to_numpy(), closed, len(distinct) - 1)
+        begins = distinct.offsets.to_numpy()
+        ends = np.cumsum(np.diff(begins)[codes], dtype=np.int64)
+        flat = distinct.take(pa.array(codes)).flatten().to_numpy()
+        return flat, np.diff(ends[closed + np.arange(len(closed))], prepend=0)
 
 
 def pack(lengths: list[int], largest: int = LARGEST, smallest: int = SMALLEST) -> list[tuple[int, int, int, int, int]]:

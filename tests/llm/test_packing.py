@@ -7,7 +7,7 @@ import pyarrow as pa
 from cases import edges, frame, prose, rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, trainers
 
 from barmill.llm import packing as ops
 
@@ -26,6 +26,43 @@ def test_ids_are_those_of_the_tokenizer():
         assert part.tolist() == reference.encode(text, add_special_tokens=False).ids + [ops.END], text
 
 
+def test_words_met_before_are_not_encoded_again():
+    column = pa.array([*(prose(i, 300) for i in range(20)), "Don't, l'été 12."])
+    tokenizer = ops.WordTokenizer(PATH)
+    first = tokenizer.encode(column, ops.END)
+    tokenizer.tokenizer = tokenizer.by_blanks = None
+    again = tokenizer.encode(column.take(pa.array([20, *range(20)])), ops.END)
+    n = int(first[1][-1])
+    assert again[0].tolist() == first[0][-n:].tolist() + first[0][:-n].tolist()
+    assert again[1].tolist() == [n, *first[1][:-1].tolist()]
+
+
+def test_few_words_are_remembered():
+    reference = Tokenizer.from_file(PATH)
+    tokenizer = ops.WordTokenizer(PATH, remembered=7)
+    for texts in (TEXTS, [prose(1, 50), "x" * 5000], TEXTS[::-1], [""], [prose(1, 50), *TEXTS], ["a b c d e f g h i j"]):
+        ids, lengths = tokenizer.encode(pa.array(texts), ops.END)
+        want = [reference.encode(t, add_special_tokens=False).ids + [ops.END] for t in texts]
+        assert lengths.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [x for text in want for x in text]
+        held = tokenizer.words.to_pylist()
+        assert len(tokenizer.ids) == len(held) == len(set(held)) <= 7
+        assert all(len(w.encode()) <= ops.REMEMBERED_BYTES for w in held)
+    assert tokenizer.words.to_pylist() == list("abcdefg")
+
+
+def test_a_vocabulary_with_other_rules(tmp_path):
+    texts = ["L'été, déjà vu: l'été dernier. Ça va, déjà?", "Où l'été va", ""]
+    other = Tokenizer(models.BPE())
+    other.normalizer, other.pre_tokenizer = normalizers.Lowercase(), pre_tokenizers.Whitespace()
+    other.train_from_iterator(texts, trainers.BpeTrainer(vocab_size=60, show_progress=False))
+    other.save(path := str(tmp_path / "other.json"))
+    ids, lengths = ops.WordTokenizer(path).encode(pa.array(texts), 1000)
+    want = [[*other.encode(t).ids, 1000] for t in texts]
+    assert lengths.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [x for text in want for x in text]
+
+
 @settings(deadline=None, max_examples=150)
 @given(st.lists(st.integers(1, 20_000), max_size=60))
 def test_packing_covers_everything_without_padding(lengths):
