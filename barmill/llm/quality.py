@@ -119,7 +119,9 @@ def _evidence_rows(model: np.ndarray):
         centre, scale, w = model
         for batch in batches:
             x = (measures(batch["text"]) - centre[:-1]) / np.where(scale[:-1] == 0, 1, scale[:-1])
-            p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -15, 15)))
+            # Measure by measure: the last digits of a matrix product depend on how many rows a batch has.
+            logit = sum((x[:, k] * w[k] for k in range(MEASURES)), w[-1])
+            p = 1 / (1 + np.exp(-np.clip(logit, -15, 15)))
             others = [batch[n] for n in ("doc_id", "host", "path")]
             yield pa.RecordBatch.from_arrays([*others, pa.array(p, pa.float64())], ["doc_id", "host", "path", "p"])
 
